@@ -38,7 +38,7 @@ SQL_P3 = f"""
 WITH w AS (SELECT {SQL_WHITE} AS ws),
 raw AS (SELECT line_id, lower(trim(layout, ws)) AS layout, line, ws FROM corpus_lines, w WHERE trim(coalesce(line, ''), ws) <> ''),
 csv AS (SELECT line_id, regexp_extract(line, '^{_FIELD},{_FIELD},{_FIELD}\\z', ['a', 'b', 'c']) AS f, regexp_matches(line, '^{_FIELD},{_FIELD},{_FIELD}\\z') AS ok, ws FROM raw WHERE layout = 'csv'),
-js AS (SELECT line_id, ws, CASE WHEN json_valid(line) THEN line::JSON END AS j FROM raw WHERE layout = 'jsonl'),
+js AS (SELECT line_id, ws, CASE WHEN json_valid(line) AND NOT regexp_matches(regexp_replace(line, '"(?:[^"\\\\]|\\\\.)*"', '""', 'g'), ',\\s*[}}\\]]') THEN line::JSON END AS j FROM raw WHERE layout = 'jsonl'),
 good AS (
   SELECT line_id FROM csv WHERE ok AND trim(f.a, ws || '"') <> '' AND trim(f.c, ws || '"') <> ''
   UNION ALL
