@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..queries import SQL_WHITE, Query, table
+from .encoding import encode_corpus
 from .near_duplicates import NearDuplicates
+from .token_budget import texts_of_docs, texts_of_queries, token_budget
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -52,3 +54,14 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def p1_groups(spark: SparkSession, folder: str) -> DataFrame:
     return NearDuplicates().groups(table(spark, folder, "docs"))
+
+
+@query()
+def p2_token_budget(spark: SparkSession, folder: str) -> DataFrame:
+    texts = texts_of_docs(table(spark, folder, "docs")).unionByName(texts_of_queries(table(spark, folder, "queries")))
+    return token_budget(texts, ["kind", "source", "lang", "domain"])
+
+
+@query()
+def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return encode_corpus(table(spark, folder, "documents"))
