@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..queries import SQL_WHITE, Query, table
 from .encoding import encode_corpus
 from .near_duplicates import NearDuplicates
+from .neighbours import Neighbours, similar_pairs
 from .token_budget import texts_of_docs, texts_of_queries, token_budget
 
 QUERIES: dict[str, Query] = {}
@@ -65,3 +66,27 @@ def p2_token_budget(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode_corpus(table(spark, folder, "documents"))
+
+
+SQL_P4 = """
+WITH v AS (
+  SELECT DISTINCT query_id, query_embedding::DOUBLE[] AS e FROM query_vectors
+  WHERE query_id IS NOT NULL AND len(query_embedding) = 128
+    AND len(list_filter(query_embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(query_embedding, lambda x: x <> 0)) > 0),
+near AS (
+  SELECT a.query_id AS a, b.query_id AS b, list_cosine_similarity(a.e, b.e) AS c FROM v a JOIN v b ON a.query_id <> b.query_id
+  QUALIFY row_number() OVER (PARTITION BY a.query_id ORDER BY c DESC, b.query_id) <= 5)
+SELECT DISTINCT least(a, b) AS query_id_a, greatest(a, b) AS query_id_b FROM near WHERE c >= 0.85
+"""
+
+
+@query(SQL_P4)
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return similar_pairs(table(spark, folder, "query_vectors"), "query_id", "query_embedding", 0.85).toDF("query_id_a", "query_id_b")
+
+
+@query()
+def p4_recall(spark: SparkSession, folder: str) -> DataFrame:
+    how = Neighbours()
+    tree, _, visits, recall = how.index(how.classes(table(spark, folder, "query_vectors"), "query_id", "query_embedding")[1])
+    return spark.createDataFrame([(how.k, tree.leaves if tree else 0, visits, recall)], "k int, leaves int, visited int, recall double")
