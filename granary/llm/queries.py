@@ -11,6 +11,7 @@ from ..queries import SQL_WHITE, Query, table
 from .encoding import encode_corpus
 from .near_duplicates import NearDuplicates
 from .neighbours import Neighbours, similar_pairs
+from .subjects import Subjects
 from .token_budget import texts_of_docs, texts_of_queries, token_budget
 
 QUERIES: dict[str, Query] = {}
@@ -90,3 +91,19 @@ def p4_recall(spark: SparkSession, folder: str) -> DataFrame:
     how = Neighbours()
     tree, _, visits, recall = how.index(how.classes(table(spark, folder, "query_vectors"), "query_id", "query_embedding")[1])
     return spark.createDataFrame([(how.k, tree.leaves if tree else 0, visits, recall)], "k int, leaves int, visited int, recall double")
+
+
+@query()
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return Subjects().found(table(spark, folder, "documents"), table(spark, folder, "subject_examples"))
+
+
+@query()
+def p9_composition(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    judged = Subjects().judge(documents, table(spark, folder, "subject_examples")).select("doc_id", "sentences", F.inline("mixture"))
+    return judged.groupBy("subject").agg(
+        F.count_if(F.col("share") >= 0.25).alias("documents"),
+        F.round(F.sum(F.col("weight") * F.col("sentences")), 3).alias("sentence_mass"),
+        F.sum(F.round(F.col("share") * F.col("sentences")).cast("long")).alias("sentences"),
+    )
