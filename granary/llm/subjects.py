@@ -1,15 +1,18 @@
 """Subject areas of texts.
 
-The sentence-term matrix of the whole corpus is factored into non-negative parts, X ~ W H, by alternating multiplicative
-updates (of the divergence, so a row of W is a mixture). Components are seeded: one per subject from labelled examples,
-one for phrasing that all subjects share, and `free` ones from terms that are frequent in the corpus but not in the
-examples. The subjects' components stay anchored: their seed enters every update of H as pseudo-counts. A row of W is then
-directly the subject mixture of its sentence, its shared phrasing left out.
-
-A sentence is about a subject that has more than `share` of its mixture; a document is about each subject that at least
-`quota` of its sentences are about.
-
-W never leaves the executors: each update of H sums, per term, what the sentences of all texts contribute. Terms of fewer
+The document-term matrix of the whole corpus is factored into non-negative parts, X ~ W H, by alternating multiplicative
+updates (of the divergence, so a row of W is a mixture). There are components per language of the examples, and a text
+takes part in those of the language that most of its terms speak for. They are seeded: one per subject from the labelled
+examples, one for phrasing that all subjects share, and `free` ones from terms that are frequent in the corpus but not in
+the examples. The subjects' components stay anchored: their seed enters every update of H as pseudo-counts. Half-way,
+terms that texts of all subjects use (their average mixture leaves no subject more than `even`) are taken from the
+subjects' components and stay out, as a multiplicative update keeps zeros.
+
+With H fixed, each sentence is a row of its own: its mixture of the components, its terms weighted by how much they tell.
+A sentence is about a subject that has more than `share` of that; a document is about each subject that at least `quota`
+of its sentences are about. Sentences without any telling term aren't counted. A document's mixture is the mean of theirs.
+
+W never leaves the executors: each update of H sums, per term, what all texts contribute. Terms of fewer
 than max(least_docs, least_share of the texts) texts are no evidence (mostly names), so the vocabulary has at most
 (distinct terms a text) / least_share entries and H is bounded whatever the corpus size.
 
@@ -38,11 +41,13 @@ _TAG = regex.compile(r"<[^<>]{1,200}>")
 _ABBREVIATION = regex.compile(r"\b(dr|prof|mrs?|ms|vs|etc|approx|ca|bzw|nr|no|p|pp|e\.g|i\.e|z\.b|d\.h|p\.ej|fig|sec|art|vol|[a-z])\.(?=\s|$)")
 _ITEM = regex.compile(r"(?m)^\s*(?:\d+[.)]|[-*•])\s+")
 _END = regex.compile(r"[.!?…]+[\"'”’»)\]]*(?:\s+|$)|[。！？]+|\n\s*\n")
+_BRACKET = regex.compile(r"\)\s+(?=\p{Lu}\p{Ll})")  # a bracket that ends a sentence without a stop
 _TERM = regex.compile(r"[一-鿿]+|[\p{L}--[一-鿿]]+", regex.V1)
 
 
 def sentences(text: str) -> list[str]:
     """The sentences of a text that have a word, folded to lower case without accents and markup."""
+    text = _BRACKET.sub(").\n\n", text)
     folded = _MARKS.sub("", unicodedata.normalize("NFKD", html.unescape(text))).lower()
     folded = _ABBREVIATION.sub(r"\1", _ITEM.sub("", _TAG.sub(" ", folded)))
     return [s for s in _END.split(folded) if _TERM.search(s)]
@@ -93,133 +98,196 @@ def sentence_terms(texts: DataFrame, key: str, text: str) -> DataFrame:
 
 
 class Matrix:
-    """A batch of sentence_terms as a sparse matrix: the row (sentence) and column (known term) of each entry."""
+    """A batch of sentence_terms as sparse matrices: each entry's known term (column), document and sentence."""
 
     def __init__(self, batch: pa.RecordBatch, vocabulary: np.ndarray):
         values, ends = batch.column("terms"), batch.column("ends")
         first = values.offsets.to_numpy()
         flat = values.values.to_numpy(zero_copy_only=False)[first[0] : first[-1]]
         starts = first[:-1] - first[0]
-        per_doc = np.diff(ends.offsets.to_numpy())
-        last = ends.values.to_numpy(zero_copy_only=False)[ends.offsets.to_numpy()[0] : ends.offsets.to_numpy()[-1]]
-        stop = last + np.repeat(starts, per_doc)
-        self.docs, self.rows = len(batch), len(stop)
-        self.doc_of_row = np.repeat(np.arange(self.docs), per_doc)
-        row = np.searchsorted(stop, np.arange(len(flat)), side="right")
+        marks = ends.offsets.to_numpy()
+        per_doc = np.diff(marks)
+        stop = ends.values.to_numpy(zero_copy_only=False)[marks[0] : marks[-1]] + np.repeat(starts, per_doc)
+        self.docs, self.sentences = len(batch), len(stop)
+        self.doc_of_sentence = np.repeat(np.arange(self.docs), per_doc)
+        sentence = np.searchsorted(stop, np.arange(len(flat)), side="right")
         at = np.minimum(np.searchsorted(vocabulary, flat), len(vocabulary) - 1)
         known = vocabulary[at] == flat
-        self.row, self.column = row[known], at[known]
+        self.column, self.sentence = at[known], sentence[known]
+        self.doc = self.doc_of_sentence[self.sentence]
+
 
-    def sums(self, entries: np.ndarray) -> np.ndarray:
-        """The entries (one line each) summed by row."""
-        return np.stack([np.bincount(self.row, e, minlength=self.rows) for e in entries.T], axis=1) if self.rows else np.zeros((0, entries.shape[1]))
+def row_sums(row: np.ndarray, rows: int, entries: np.ndarray) -> np.ndarray:
+    return np.stack([np.bincount(row, e, minlength=rows) for e in entries.T], axis=1)
 
 
-def mixtures(m: Matrix, h: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """W after `rounds` multiplicative updates from an even start, and each entry's split over the components."""
-    near = h.T[m.column]
-    w = np.ones((m.rows, h.shape[0]))
+def mixtures(row: np.ndarray, rows: int, near: np.ndarray, rounds: int, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """W after `rounds` multiplicative updates from an even start, and each entry's split over the components. near: of
+    each entry, its term's column of H."""
+    w = np.ones((rows, near.shape[1]))
+    split = near
     for _ in range(rounds):
-        split = w[m.row] * near
+        split = w[row] * near
         split /= np.maximum(split.sum(1, keepdims=True), 1e-300)
-        w = m.sums(split)
+        w = row_sums(row, rows, split if weight is None else split * weight[:, None])
     return w, split
 
 
+def scaled(h: np.ndarray) -> np.ndarray:
+    return h / np.maximum(h.sum(-1, keepdims=True), 1e-300)
+
+
+@dataclass
+class Model:
+    """subjects; the sorted hashes of the vocabulary; speaks: (languages, terms), the share of each language in a term's
+    use by the examples; h: (languages, subjects + shared + free, terms)."""
+
+    subjects: list[str]
+    vocabulary: np.ndarray
+    speaks: np.ndarray
+    h: np.ndarray
+
+    def language(self, m: Matrix) -> np.ndarray:
+        return np.stack([np.bincount(m.doc, s[m.column], minlength=m.docs) for s in self.speaks], axis=1).argmax(1)
+
+    def evidence(self) -> tuple[np.ndarray, np.ndarray]:
+        """Per language: each term's chances of the subjects and of none, and how much it tells (0 to 1)."""
+        n = len(self.subjects)
+        topical = np.concatenate([self.h[:, :n], self.h[:, n + 1 :].sum(1, keepdims=True)], axis=1)
+        most = topical.max(1)
+        chances = topical / np.maximum(topical.sum(1, keepdims=True), 1e-300)
+        tells = np.maximum(chances.max(1) - 1 / (n + 1), 0) / (1 - 1 / (n + 1))
+        return chances, tells**1.5 * most / np.maximum(most + self.h[:, n], 1e-300)
+
+
 @dataclass(frozen=True)
 class Subjects:
     quota: float = 0.25
     share: float = 0.5
-    free: int = 2
-    updates: int = 4
-    rounds: int = 8
-    anchor: float = 0.5
+    least_mass: float = 0.3
+    free: int = 1
+    updates: tuple[int, int] = (5, 4)
+    rounds: int = 6
+    anchor: float = 0.4
+    even: float = 0.4
     least_docs: int = 5
     least_share: float = 0.0005
+    most_examples: int = 20_000
     seed: int = 11
 
-    def seeds(self, examples: list[tuple[str, str]], vocabulary: np.ndarray, df: np.ndarray) -> tuple[list[str], np.ndarray]:
-        """The subjects in order, and the seeded components (subjects, shared phrasing, free ones), each summing to 1."""
-        names = sorted({s for s, _ in examples})
-        counts = np.zeros((len(names), len(vocabulary)))
-        for s, t in examples:
+    def fit(self, rows: DataFrame, examples: DataFrame) -> Model:
+        """The model of a table of sentence_terms. Of the examples at most most_examples (those of least hash) are used."""
+        lang = F.coalesce(F.col("lang"), F.lit("")) if "lang" in examples.columns else F.lit("")
+        labelled = examples.where(F.col("subject").isNotNull() & F.col("text").isNotNull()).select("subject", lang.alias("lang"), "text")
+        taken = [(r.subject, r.lang, r.text) for r in labelled.orderBy(F.xxhash64("subject", "text"), "lang").limit(self.most_examples).collect()]
+        least = max(self.least_docs, int(self.least_share * rows.count()))
+        known = rows.select(F.explode(F.array_distinct("terms")).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+        vocabulary = np.sort(known.select("t").toArrow()["t"].to_numpy())
+        subjects, langs = sorted({x[0] for x in taken}), sorted({x[1] for x in taken})
+        n, free = len(subjects), self.free
+        counts = np.zeros((len(langs), n, len(vocabulary)))
+        if not counts.size:
+            return Model([], vocabulary, np.zeros((0, len(vocabulary))), np.zeros((0, 0, len(vocabulary))))
+        for s, lang, t in taken:
             for sentence in sentences(t):
                 ids = np.array(sorted({term_id(w) for w in terms(sentence)}), dtype=np.int64)
                 at = np.minimum(np.searchsorted(vocabulary, ids), len(vocabulary) - 1)
-                counts[names.index(s), at[vocabulary[at] == ids]] += 1
-        total = counts.sum(0)
-        p = counts / np.maximum(counts.sum(1, keepdims=True), 1)
-        own = p / np.maximum(p.sum(0), 1e-12)
-        even = np.where(total > 0, 1 - (own.max(0) - 1 / len(names)) / (1 - 1 / len(names)), 0)
-        f = df / max(df.sum(), 1)
+                counts[langs.index(lang), subjects.index(s), at[vocabulary[at] == ids]] += 1
+        total = counts.sum(1)
+        speaks = scaled(total)
+        speaks = speaks / np.maximum(speaks.sum(0), 1e-12)
+        model = Model(subjects, vocabulary, speaks, np.ones((len(langs), n + 1 + free, len(vocabulary))))
+        used = self._sums(rows, model, "use")[:, 0]
+        f = scaled(used)
+        own = (counts + 0.25) / (total + 0.25 * n)[:, None]
+        spread = np.where(total > 0, 1 - (own.max(1) - 1 / n) / (1 - 1 / n), 0)
+        p = scaled(counts)
+        noise = np.random.default_rng(self.seed).uniform(0, 1, (free, len(vocabulary))) ** 2
         unseen = f * np.exp(-total)
-        rng = np.random.default_rng(self.seed)
-        h = np.concatenate([p * own**2 + 1e-4 * f, [p.mean(0) * even**2 + 1e-4 * f], unseen * rng.uniform(0.5, 1.5, (self.free, len(f))) + 1e-5 * f])
-        return names, h / h.sum(1, keepdims=True)
-
-    def fit(self, sentence_rows: DataFrame, examples: DataFrame, most_examples: int = 20_000) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """(subjects, vocabulary, H). Of the examples at most most_examples are used (those of least hash)."""
-        labelled = examples.where(F.col("subject").isNotNull() & F.col("text").isNotNull()).orderBy(F.xxhash64("subject", "text")).limit(most_examples)
-        examples_ = [(r.subject, r.text) for r in labelled.select("subject", "text").collect()]
-        docs = sentence_rows.count()
-        least = max(self.least_docs, int(self.least_share * docs))
-        known = sentence_rows.select(F.explode(F.array_distinct("terms")).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
-        table = known.toArrow().sort_by("t")
-        vocabulary, df = table["t"].to_numpy(), table["n"].to_numpy().astype(float)
-        if not len(vocabulary) or not examples_:
-            return [], vocabulary, np.zeros((0, len(vocabulary)))
-        names, h = self.seeds(examples_, vocabulary, df)
-        prior = h.copy()
-        for _ in range(self.updates):
-            h = self._update(sentence_rows, vocabulary, h, prior, len(names))
-        return names, vocabulary, h
-
-    def _update(self, sentence_rows: DataFrame, vocabulary: np.ndarray, h: np.ndarray, prior: np.ndarray, anchored: int) -> np.ndarray:
-        """H after one pass over all texts. Each component's new weights are the terms' shares in it over all sentences;
-        an anchored one keeps `anchor` of its seed."""
-        rounds, k = self.rounds, len(h)
+        model.h = prior = scaled(np.concatenate([p * own**3 + 1e-4 * f[:, None], (p.mean(1) * spread**2 + 1e-4 * f)[:, None], unseen[:, None] * noise + 1e-5 * f[:, None]], axis=1))
+
+        def update() -> None:
+            new = scaled(self._sums(rows, model, "update"))
+            new[:, :n] = (1 - self.anchor) * new[:, :n] + self.anchor * prior[:, :n]
+            model.h = new
+
+        for _ in range(self.updates[0]):
+            update()
+        profile = self._sums(rows, model, "profile") / np.maximum(used, 1)[:, None]
+        common = profile.max(1) < self.even
+
+        def without_common(h: np.ndarray) -> np.ndarray:
+            h = h.copy()
+            moved = np.maximum(h.sum(1), f)
+            h[np.broadcast_to(common[:, None], h.shape)] = 0
+            h[:, n][common] = moved[common]
+            return scaled(h)
+
+        model.h, prior = without_common(model.h), without_common(prior)
+        for _ in range(self.updates[1]):
+            update()
+        return model
+
+    def _sums(self, rows: DataFrame, model: Model, what: str) -> np.ndarray:
+        """(languages, ..., terms): per language and term, summed over the texts: its uses ("use"), its uses split over
+        the components ("update"), or the mixtures of the texts it is used in, over subjects and none ("profile")."""
+        n, rounds = len(model.subjects), self.rounds
+        width = {"use": 1, "update": model.h.shape[1], "profile": n + 1}[what]
+        size = len(model.vocabulary)
 
         def run(batches):
-            total = np.zeros((len(vocabulary), k))
+            total = np.zeros((len(model.h), width, size))
             for b in batches:
-                m = Matrix(b, vocabulary)
-                if len(m.row):
-                    split = mixtures(m, h, rounds)[1]
-                    for i in range(k):
-                        total[:, i] += np.bincount(m.column, split[:, i], minlength=len(vocabulary))
-            seen = np.flatnonzero(total.sum(1))
-            yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), *[pa.array(total[seen, i]) for i in range(k)]], ["t", *[f"k{i}" for i in range(k)]])
-
-        parts = sentence_rows.mapInArrow(run, ", ".join(["t int", *[f"k{i} double" for i in range(k)]]))
-        summed = parts.groupBy("t").agg(*[F.sum(f"k{i}").alias(f"k{i}") for i in range(k)]).toArrow()
-        new = np.zeros_like(h)
-        for i in range(k):
-            new[i, summed["t"].to_numpy()] = summed[f"k{i}"].to_numpy()
-        new /= np.maximum(new.sum(1, keepdims=True), 1e-300)
-        new[:anchored] = (1 - self.anchor) * new[:anchored] + self.anchor * prior[:anchored]
-        return new
+                m = Matrix(b, model.vocabulary)
+                language = model.language(m)[m.doc]
+                for i, h in enumerate(model.h):
+                    mine = language == i
+                    column, doc = m.column[mine], m.doc[mine]
+                    if what == "use":
+                        entries = np.ones((len(column), 1))
+                    else:
+                        w, entries = mixtures(doc, m.docs, h.T[column], rounds)
+                        if what == "profile":
+                            entries = scaled(np.concatenate([w[:, :n], w[:, n + 1 :].sum(1, keepdims=True)], axis=1))[doc]
+                    for k in range(width):
+                        total[i, k] += np.bincount(column, entries[:, k], minlength=size)
+            language, term = np.nonzero(total.sum(1))
+            values = total[language, :, term]
+            yield pa.RecordBatch.from_arrays([pa.array(language, pa.int32()), pa.array(term, pa.int32()), *[pa.array(values[:, k]) for k in range(width)]], ["l", "t", *[f"k{k}" for k in range(width)]])
+
+        parts = rows.mapInArrow(run, ", ".join(["l int, t int", *[f"k{k} double" for k in range(width)]]))
+        summed = parts.groupBy("l", "t").agg(*[F.sum(f"k{k}").alias(f"k{k}") for k in range(width)]).toArrow()
+        out = np.zeros((len(model.h), width, size))
+        for k in range(width):
+            out[summed["l"].to_numpy(), k, summed["t"].to_numpy()] = summed[f"k{k}"].to_numpy()
+        return out
 
     def judge(self, texts: DataFrame, examples: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-        """(key, sentences, mixture array<struct<subject, weight, share>>): for each row its number of sentences, and per
-        subject its weight in the text's mixture and the share of the sentences that are about it."""
+        """(key, sentences, mixture array<struct<subject, weight, share>>): for each row the number of its sentences
+        that tell anything, and per subject its weight in their mixture and the share of them that are about it."""
         rows = checkpointed(sentence_terms(texts, key, text))
-        names, vocabulary, h = self.fit(rows, examples)
-        share, rounds, n = self.share, self.rounds * 2, len(names)
+        model = self.fit(rows, examples)
+        n, share, least, rounds = len(model.subjects), self.share, self.least_mass, self.rounds
+        chances, tells = model.evidence() if n else (None, None)
 
         def run(batches):
             for b in batches:
-                m = Matrix(b, vocabulary)
-                w = mixtures(m, h, rounds)[0] if n and len(m.row) else np.zeros((m.rows, n + 1 + self.free))
-                topical = np.delete(w, n, axis=1)
-                mass = topical.sum(1, keepdims=True)
-                part = topical[:, :n] / np.maximum(mass, 1e-12)
-                about = (part > share) & (mass > 0.5)
-                per = np.bincount(m.doc_of_row, minlength=m.docs)
-                by = lambda x: np.stack([np.bincount(m.doc_of_row, x[:, i], minlength=m.docs) for i in range(n)], axis=1) if n else np.zeros((m.docs, 0))
-                weights, counts = by(part), by(about.astype(float))
-                over = np.maximum(per, 1)[:, None]
-                cells = [pa.array(np.tile(np.array(names, dtype=object), m.docs), pa.string()), pa.array((weights / over).ravel()), pa.array((counts / over).ravel())]
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(m.docs + 1) * n, pa.int32()), pa.StructArray.from_arrays(cells, ["subject", "weight", "share"]))
+                m = Matrix(b, model.vocabulary) if n else None
+                per, weights, counts = np.zeros(len(b), int), np.zeros((len(b), n)), np.zeros((len(b), n))
+                if m is not None and len(m.column):
+                    language = model.language(m)[m.doc]
+                    near, weight = chances[language, :, m.column], tells[language, m.column]
+                    w = mixtures(m.sentence, m.sentences, near, rounds, weight)[0]
+                    mass = w.sum(1)
+                    part = w[:, :n] / np.maximum(mass, 1e-12)[:, None]
+                    told = mass > 0.05
+                    per = np.bincount(m.doc_of_sentence[told], minlength=m.docs)
+                    over = np.maximum(per, 1)[:, None]
+                    weights = row_sums(m.doc_of_sentence[told], m.docs, part[told]) / over
+                    about = (part > share) & (mass > least)[:, None]
+                    counts = row_sums(m.doc_of_sentence, m.docs, about.astype(float)) / over
+                cells = [pa.array(np.tile(np.array(model.subjects, dtype=object), len(b)), pa.string()), pa.array(weights.ravel()), pa.array(counts.ravel())]
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(b) + 1) * n, pa.int32()), pa.StructArray.from_arrays(cells, ["subject", "weight", "share"]))
                 yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(per, pa.int32()), lists], [key, "sentences", "mixture"])
 
         kind = rows.schema["id"].dataType.simpleString()
