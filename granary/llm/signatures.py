@@ -55,8 +55,12 @@ def multi_index_keys(symbols: np.ndarray, chunks: int, width: int, errors: int)
 
 def gram_hashes(items: Column, n: int) -> Column:
     """The distinct 64-bit hashes of each n consecutive items of an array of strings; empty if it has fewer than n."""
-    hashed = F.transform(F.sequence(F.lit(1), F.size(items) - (n - 1)), lambda i: F.xxhash64(*[F.element_at(items, (i + k).cast("int")) for k in range(n)]))
-    return F.when(F.size(items) >= n, F.array_distinct(hashed)).otherwise(F.array().cast("array<bigint>"))
+
+    def hashed(own: Column) -> Column:
+        each = F.transform(F.sequence(F.lit(1), F.size(own) - (n - 1)), lambda i: F.xxhash64(*[F.element_at(own, i + k) for k in range(n)]))
+        return F.when(F.size(own) >= n, F.array_distinct(each)).otherwise(F.array().cast("array<bigint>"))
+
+    return F.element_at(F.transform(F.array(items), hashed), 1)  # bound as a variable, the array is made once and not per gram
 
 
 def similarity(a: Column, b: Column) -> Column:
