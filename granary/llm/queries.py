@@ -11,6 +11,8 @@ from ..queries import SQL_WHITE, Query, table
 from .encoding import encode_corpus
 from .near_duplicates import NearDuplicates
 from .neighbours import Neighbours, similar_pairs
+from .segments import items_of, split_oversized
+from .split_overlaps import SplitOverlaps
 from .subjects import Subjects
 from .token_budget import texts_of_docs, texts_of_queries, token_budget
 
@@ -107,3 +109,53 @@ def p9_composition(spark: SparkSession, folder: str) -> DataFrame:
         F.round(F.sum(F.col("weight") * F.col("sentences")), 3).alias("sentence_mass"),
         F.sum(F.round(F.col("share") * F.col("sentences")).cast("long")).alias("sentences"),
     )
+
+
+SQL_P5 = f"""
+WITH w AS (SELECT {SQL_WHITE} AS ws),
+q AS (SELECT query_id, loaded_at, trim(query_text, ws) AS text, nullif(lower(trim(split, ws)), '') AS split FROM queries, w WHERE query_id IS NOT NULL),
+t AS (SELECT query_id, text FROM q QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY coalesce(text, '') = '', loaded_at IS NULL, loaded_at, text) = 1),
+s AS (SELECT query_id, split FROM q WHERE split IS NOT NULL QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY loaded_at IS NULL, loaded_at, split) = 1),
+r AS (SELECT query_id, split, trim(regexp_replace(lower(text), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) AS text FROM t JOIN s USING (query_id) WHERE split IN ('train', 'dev', 'test')),
+g AS (SELECT DISTINCT query_id, split = 'train' AS tr, substr(text, i, 3) AS g FROM (SELECT *, unnest(range(1, length(text) - 1)) AS i FROM r)),
+n AS (SELECT query_id, count(*) AS n FROM g GROUP BY 1),
+c AS (SELECT a.query_id AS a, b.query_id AS b, count(*) AS c FROM g a JOIN g b ON a.g = b.g AND a.tr AND NOT b.tr GROUP BY 1, 2),
+f AS (SELECT least(a, b) AS query_id_a, greatest(a, b) AS query_id_b FROM c JOIN n x ON x.query_id = a JOIN n y ON y.query_id = b WHERE c / (x.n + y.n - c) >= 0.75)
+SELECT * FROM f UNION ALL
+SELECT query_id, query_id FROM qrels, w WHERE query_id IS NOT NULL GROUP BY 1
+HAVING bool_or(lower(trim(split, ws)) = 'train') AND bool_or(lower(trim(split, ws)) IN ('dev', 'test'))
+"""
+
+
+@query(SQL_P5)
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    how = SplitOverlaps()
+    both = how.judged_under_both(table(spark, folder, "qrels"))
+    return how.pairs(table(spark, folder, "queries")).unionByName(both.select(F.col("query_id").alias("query_id_a"), F.col("query_id").alias("query_id_b")))
+
+
+@query()
+def p5_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return SplitOverlaps().counts(table(spark, folder, "queries"), table(spark, folder, "qrels"))
+
+
+SQL_P6 = f"""
+WITH {SQL_DOC_TEXTS},
+items AS (SELECT 'doc' AS item_kind, doc_id, 0 AS cand_order, text FROM doc_texts
+  UNION ALL SELECT 'candidate', doc_id, c."order", c."text" FROM (SELECT doc_id, unnest(candidates) AS c FROM doc_candidates)),
+sized AS (SELECT *, len(regexp_replace(text, '[^一-鿿]', '', 'g')) AS cjk FROM items)
+SELECT item_kind, doc_id, cand_order::INT AS cand_order FROM sized WHERE cjk + (length(text) - cjk) // 4 > 600
+"""
+
+
+@query(SQL_P6)
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    items = items_of(table(spark, folder, "docs"), table(spark, folder, "doc_candidates"))
+    pieces = split_oversized(items, ["item_kind", "doc_id", "cand_order"])
+    return pieces.where("piece = 1 and pieces > 1").select("item_kind", "doc_id", "cand_order")
+
+
+@query()
+def p6_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    items = items_of(table(spark, folder, "docs"), table(spark, folder, "doc_candidates"))
+    return split_oversized(items, ["item_kind", "doc_id", "cand_order"])
