@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..queries import SQL_WHITE, Query, table
 from .encoding import encode_corpus
+from .mixing import Mix
 from .near_duplicates import NearDuplicates
 from .neighbours import Neighbours, similar_pairs
 from .segments import items_of, split_oversized
@@ -159,3 +160,13 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
 def p6_pieces(spark: SparkSession, folder: str) -> DataFrame:
     items = items_of(table(spark, folder, "docs"), table(spark, folder, "doc_candidates"))
     return split_oversized(items, ["item_kind", "doc_id", "cand_order"])
+
+
+@query()
+def p8_selection(spark: SparkSession, folder: str) -> DataFrame:
+    return Mix().select(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))
+
+
+@query()
+def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
+    return Mix().report(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))
