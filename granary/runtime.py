@@ -43,19 +43,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def with_blocks(df: DataFrame, key: list[str], block_rows: int, salt: list[str]) -> DataFrame:
-    """df with (_n, _b): the number of blocks of its key's rows and the row's block. A key of up to block_rows rows
-    has one block; the rows of a hotter key are dealt to blocks of about that size by a hash of the salt columns."""
-    hot = (
-        df.groupBy(*key).agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > block_rows)
-        .select(*[F.col(k).alias(f"_hot_{k}") for k in key], F.ceil(F.col("_c") / block_rows).cast("int").alias("_n"))
-    )
-    same = [F.col(k) == F.col(f"_hot_{k}") for k in key]
-    return (
-        df.join(hot, same, "left").drop(*[f"_hot_{k}" for k in key])
-        .withColumn("_n", F.coalesce("_n", F.lit(1)))
-        .withColumn("_b", F.pmod(F.xxhash64(F.lit(17), *salt), F.col("_n")).cast("int"))
-    )
+def with_blocks(df: DataFrame, key: str, block_rows: int, salt: str) -> DataFrame:
+    """The rows of df whose key other rows share, with (_n, _b): the number of blocks of the key's rows and the row's
+    block. A key of up to block_rows rows has one block; the rows of a hotter one are dealt to blocks of about that size
+    by a hash of the salt column. Keys are counted before the shuffle; those of one row go no further."""
+    shared = df.groupBy(key).agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > 1)
+    blocks = shared.select(F.col(key).alias("_shared"), F.ceil(F.col("_c") / block_rows).cast("int").alias("_n"))
+    return df.join(blocks, F.col(key) == F.col("_shared")).drop("_shared").withColumn("_b", F.pmod(F.xxhash64(F.lit(17), salt), F.col("_n")).cast("int"))
 
 
 def pairs_within_key(df: DataFrame, key: str, id_col: str, carry: list[str], on: Column | None = None, block_rows: int = 512) -> DataFrame:
@@ -64,7 +58,7 @@ def pairs_within_key(df: DataFrame, key: str, id_col: str, carry: list[str], on:
     A hot key's rows are cut into blocks and each pair of blocks is its own join key, so no task holds more than
     2 * block_rows rows of a key; no pair is lost. on: a further condition over columns `<carry>_a`, `<carry>_b`.
     An id given twice under a key gives its pairs more than once."""
-    blocked = with_blocks(df.select(key, id_col, *carry), [key], block_rows, [id_col])
+    blocked = with_blocks(df.select(key, id_col, *carry), key, block_rows, id_col)
     upto = F.sequence(F.lit(0), F.col("_b"))
     since = F.sequence(F.col("_b"), F.col("_n") - 1)
     side = lambda s: [F.col(c).alias(f"{c}_{s}") for c in (id_col, *carry)]
@@ -77,3 +71,18 @@ def pairs_within_key(df: DataFrame, key: str, id_col: str, carry: list[str], on:
     turned = a > b
     pick = lambda c, s, o: F.when(turned, F.col(f"{c}_{o}")).otherwise(F.col(f"{c}_{s}")).alias(f"{c}_{s}")
     return joined.select(*[pick(c, "a", "b") for c in (id_col, *carry)], *[pick(c, "b", "a") for c in (id_col, *carry)])
+
+
+def pairs_across(left: DataFrame, right: DataFrame, key: str, id_col: str, block_rows: int = 512) -> DataFrame:
+    """Every (id of left, id of right) under the same key, as (id_a, id_b).
+
+    Keys that only one side has are dropped before the join. Where a side has more than block_rows rows of a key they
+    are cut into blocks, and each pair of blocks is its own join key; no pair is lost."""
+    counted = left.select(key, F.lit(1).alias("l"), F.lit(0).alias("r")).unionAll(right.select(key, F.lit(0), F.lit(1)))
+    sizes = counted.groupBy(key).agg(F.sum("l").alias("l"), F.sum("r").alias("r")).where("l > 0 and r > 0")
+    blocks = sizes.select(F.col(key).alias("_k"), *[F.ceil(F.col(c) / block_rows).cast("int").alias(f"_{c}") for c in ("l", "r")])
+    own = lambda n: F.pmod(F.xxhash64(F.lit(17), F.col(id_col)), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    a = left.select(key, id_col).join(blocks, F.col(key) == F.col("_k")).select("_k", own("_l").alias("_i"), every("_r").alias("_j"), F.col(id_col).alias(f"{id_col}_a"))
+    b = right.select(key, id_col).join(blocks, F.col(key) == F.col("_k")).select("_k", every("_l").alias("_i"), own("_r").alias("_j"), F.col(id_col).alias(f"{id_col}_b"))
+    return a.join(b, ["_k", "_i", "_j"]).select(f"{id_col}_a", f"{id_col}_b")
