@@ -1,13 +1,14 @@
 """Groups and pairs of texts that share most of their word sequences.
 
-Multi-index Hamming join. A text's set of hashed word n-grams becomes a signature of symbols of b = 32 bits each
-(min-wise hashes); the Hamming distance of two signatures is the number of differing symbols. Signatures are split into
-chunks, and every way to ignore the allowed errors of a chunk is enumerated as a lookup key, so that all pairs below
-chunks * (errors + 1) differing symbols meet under a key. Each meeting is then checked exactly.
+Multi-index Hamming join. A text's set of hashed word n-grams becomes a signature of b = 4 bits of each of its min-wise
+symbols; the Hamming distance of two signatures is the number of differing symbols. The symbols are split into chunks, and
+every way to ignore the allowed errors of a chunk is enumerated as a lookup key (of the whole 32-bit symbols), so that by
+the pigeonhole all pairs that differ in fewer than chunks * (errors + 1) symbols meet under a key. Pairs that meet pass if
+their signatures' distance is at most `most_differing`, and are then checked exactly on their n-grams.
 
-With the defaults (10 chunks of 3 symbols, 1 error each) all pairs that differ in fewer than 20 of 30 symbols meet. A
-pair of likeness 0.6 has 12 differing symbols on average; by chance it shares no key with probability 0.352 ** 10 = 3e-5,
-one of likeness 0.8 with 0.104 ** 10 = 1e-10.
+With the defaults (14 chunks of 4 symbols, 1 error each) all pairs that differ in fewer than 28 of 56 symbols meet. By
+chance a pair of likeness 0.6 shares no key with probability 0.525 ** 14 = 1.2e-4, one of 0.7 with 2e-7 and one of 0.8 with
+3e-11; the distance allowed lies 4.5 standard deviations above that of a pair at the threshold (3e-6).
 
 Texts with the same n-grams form a class, of which only the representative (the least id) is compared, so a text copied
 into a third of all rows is one row of the join. Keys that many classes share are joined block by block
@@ -19,6 +20,7 @@ again counts once, by its first delivery with a text; empty tables give empty re
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -29,7 +31,7 @@ from ..functions.text import joined_text, words
 from ..operators.deliveries import first_delivery
 from ..runtime import checkpointed, pairs_within_key
 from .components import connected_components
-from .signatures import flat, gram_hashes, min_hashes, multi_index_keys, similarity
+from .signatures import differing, flat, gram_hashes, min_hashes, multi_index_keys, similarity, sketch
 
 
 @dataclass(frozen=True)
@@ -38,10 +40,16 @@ class NearDuplicates:
 
     n: int = 5
     threshold: float = 0.8
-    chunks: int = 10
-    width: int = 3
+    chunks: int = 14
+    width: int = 4
     errors: int = 1
 
+    @property
+    def most_differing(self) -> int:
+        """The distance within which a pair at the threshold lies but for 4.5 standard deviations of chance."""
+        n, p = self.chunks * self.width, (1 - self.threshold) * 15 / 16
+        return min(n, math.ceil(n * p + 4.5 * math.sqrt(n * p * (1 - p))))
+
     def classes(self, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Of docs (doc_id, doc_text array): members (doc_id, rid) and classes (rid, grams), both checkpointed."""
         texts = first_delivery(docs, "doc_id", joined_text("doc_text"), {})
@@ -53,24 +61,29 @@ class NearDuplicates:
         return members, numbered.select("rid", "grams")
 
     def keys(self, classes: DataFrame) -> DataFrame:
-        """(key, rid, n): a row for each lookup key of each class; n is the size of its set."""
+        """(key, rid, n, s0, s1, ...): a row for each lookup key of each class; n is the size of its set, s0... its signature."""
         layout = (self.chunks, self.width, self.errors)
+        words = [f"s{i}" for i in range(-(-self.chunks * self.width // 16))]
 
         def run(batches):
             for b in batches:
                 if b.num_rows:
-                    keys = multi_index_keys(min_hashes(*flat(b.column("grams")), layout[0] * layout[1]), *layout)
+                    symbols = min_hashes(*flat(b.column("grams")), layout[0] * layout[1])
+                    keys = multi_index_keys(symbols, *layout)
                     listed = pa.ListArray.from_arrays(pa.array(range(0, keys.size + 1, keys.shape[1]), pa.int32()), pa.array(keys.ravel()))
-                    yield pa.RecordBatch.from_arrays([b.column("rid"), b.column("n"), listed], ["rid", "n", "keys"])
+                    yield pa.RecordBatch.from_arrays([b.column("rid"), b.column("n"), *map(pa.array, sketch(symbols)), listed], ["rid", "n", *words, "keys"])
 
-        signed = classes.select("rid", F.size("grams").alias("n"), "grams").mapInArrow(run, "rid long, n int, keys array<long>")
-        return signed.select(F.explode("keys").alias("key"), "rid", "n")
+        signed = classes.select("rid", F.size("grams").alias("n"), "grams").mapInArrow(run, ", ".join(["rid long, n int", *[f"{w} long" for w in words], "keys array<long>"]))
+        return signed.select(F.explode("keys").alias("key"), "rid", "n", *words)
 
     def links(self, classes: DataFrame) -> DataFrame:
         """(a, b, likeness) of each two classes, a < b, that are at least threshold alike."""
         t = F.lit(self.threshold)
+        keys = self.keys(classes)
+        words = [c for c in keys.columns if c not in ("key", "rid", "n")]
         sized = F.least("n_a", "n_b") / F.greatest("n_a", "n_b") >= t
-        met = pairs_within_key(self.keys(classes), "key", "rid", ["n"], on=sized).select(F.col("rid_a").alias("a"), F.col("rid_b").alias("b")).distinct()
+        close = differing([(F.col(f"{w}_a"), F.col(f"{w}_b")) for w in words]) <= self.most_differing
+        met = pairs_within_key(keys, "key", "rid", ["n", *words], on=sized & close).select(F.col("rid_a").alias("a"), F.col("rid_b").alias("b")).distinct()
         side = lambda s: classes.select(F.col("rid").alias(s), F.col("grams").alias(f"grams_{s}"))
         checked = met.join(side("a"), "a").join(side("b"), "b").withColumn("likeness", similarity(F.col("grams_a"), F.col("grams_b")))
         return checked.where(F.col("likeness") >= t).select("a", "b", "likeness")

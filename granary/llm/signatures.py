@@ -53,6 +53,27 @@ def multi_index_keys(symbols: np.ndarray, chunks: int, width: int, errors: int)
     return np.stack(keys, axis=1)
 
 
+def sketch(symbols: np.ndarray) -> list[np.ndarray]:
+    """The signature: the last 4 bits of each symbol, 16 symbols to a column of 64 bits."""
+    out = []
+    for i in range(0, symbols.shape[1], 16):
+        word = np.zeros(len(symbols), dtype=np.uint64)
+        for j in range(i, min(i + 16, symbols.shape[1])):
+            word |= (symbols[:, j] & np.uint64(15)) << np.uint64(4 * (j - i))
+        out.append(word.view(np.int64))
+    return out
+
+
+def differing(columns: list[tuple[Column, Column]]) -> Column:
+    """In how many symbols two signatures differ."""
+    total = F.lit(0)
+    for a, b in columns:
+        x = a.bitwiseXOR(b)
+        any_bit = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseOR(F.shiftrightunsigned(x, 3))
+        total = total + F.bit_count(any_bit.bitwiseAND(F.lit(0x1111111111111111)))
+    return total
+
+
 def gram_hashes(items: Column, n: int) -> Column:
     """The distinct 64-bit hashes of each n consecutive items of an array of strings; empty if it has fewer than n."""
 
