@@ -61,3 +61,56 @@ def estimate_tokens(c: Column | str) -> Column:
 def label(c: Column | str) -> Column:
     """A short label (source, lang, split) trimmed and lower-cased; null if blank."""
     return F.nullif(F.lower(strip(c)), F.lit(""))
+
+
+#: Fixed value: how a paragraph that is a list item begins.
+LIST_ITEM = r"^(?:[-*•]|(?:\(?\d+\)?|[A-Z]|[IVXivx]+)[\.\):])\s+"
+_MARK = "\x1e"
+
+
+def paragraphs(c: Column | str) -> Column:
+    """The parts between empty lines, trimmed, without blank ones."""
+    return clean_items(F.split(c, r"\n{2,}"))
+
+
+def paragraph_blocks(c: Column | str) -> Column:
+    """paragraphs, each list item appended to the block before it with a space."""
+    start = F.array().cast("array<string>")
+
+    def add(blocks: Column, p: Column) -> Column:
+        n = F.size(blocks)
+        joined = F.concat(F.slice(blocks, F.lit(1), n - 1), F.array(F.concat(F.element_at(blocks, -1), F.lit(" "), p)))
+        return F.when((n > 0) & p.rlike(LIST_ITEM), joined).otherwise(F.concat(blocks, F.array(p)))
+
+    return F.aggregate(paragraphs(c), start, add)
+
+
+def sentences(c: Column | str) -> Column:
+    """The stand-in segmenter: a sentence ends after . ! ? and white space, or after 。！？."""
+    c = c if isinstance(c, Column) else F.col(c)
+    return clean_items(F.split(F.regexp_replace(c, r"([.!?])\s+|([。！？])\s*", f"$1$2{_MARK}"), _MARK))
+
+
+def chunk_id(doc_id: Column, order: Column, total: Column) -> Column:
+    """doc_id#c and the order, zero-padded to the digits of total, at least 3."""
+    digits = F.greatest(F.lit(3), F.length(total.cast("string")))
+    return F.concat(doc_id, F.lit("#c"), F.lpad(order.cast("string"), digits, F.lit("0")))
+
+
+def prepared(text: Column, prefix: str = "", template: str = "") -> Column:
+    """The text as an encoder gets it: prefixed, then put into the template's {text}, or behind a template without it.
+    Other fields of the template are filled or refused on the driver, as str.format would."""
+    base = F.concat(F.lit(prefix), text)
+    if not template:
+        return base
+    if "{text}" not in template:
+        return F.concat(F.lit(template), base)
+    before, *between = template.replace("{{", "\x01").replace("}}", "\x02").split("{text}")
+    parts = [before, *between]
+    if any("{" in p or "}" in p for p in parts):
+        raise ValueError(f"unknown field in template {template!r}")
+    parts = [p.replace("\x01", "{").replace("\x02", "}") for p in parts]
+    out = [F.lit(parts[0])]
+    for p in parts[1:]:
+        out += [base, F.lit(p)]
+    return F.concat(*out)

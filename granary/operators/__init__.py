@@ -1 +1 @@
-
+"""Relational and per-row operators."""

@@ -1 +1 @@
-
+"""Writers of tables, logs and manifests."""

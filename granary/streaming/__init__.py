@@ -1 +1 @@
-
+"""The per-record plans over Structured Streaming sources."""
