@@ -26,12 +26,10 @@ def spread(df: DataFrame, *cols: str | Column) -> DataFrame:
     return df.repartition(slots(df.sparkSession), *cols)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df, computed once and written to the shared checkpoint folder, so that a lost executor costs a read only.
-
-    The folder is the session's spark.checkpoint.dir; a temporary one is used only where that is unset and Spark is
-    local. On a cluster without the setting this raises, as a machine-local folder would not survive there."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for checkpoints and intermediate tables that all executors share: the session's spark.checkpoint.dir. A
+    temporary one is used only where that is unset and Spark is local; on a cluster without the setting this raises, as a
+    machine-local folder would not survive there."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -40,6 +38,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="granary-checkpoint-")
         sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df, computed once and written to the shared folder, so that a lost executor costs a read only."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -40,7 +40,7 @@ def member(v: Column, name: str) -> Column:
 
 
 def as_text(v: Column) -> Column:
-    """A scalar VARIANT as trimmed text; "" for null, absent and non-scalar values; True and False for booleans."""
+    """A VARIANT as trimmed text: "" for null and absent values, True and False for booleans, lists and objects as JSON."""
     plain = strip(F.try_variant_get(v, "$", "string"))
     return F.when(python_type(v) == "bool", F.initcap(plain)).otherwise(F.coalesce(plain, F.lit("")))
 
