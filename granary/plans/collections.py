@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import strip
 from ..operators.rules import Rule, duplicate_judgments, duplicates, good, issue_rows, judged, with_reference
+from ..runtime import checkpointed
 from ..sources import json_records as js
 from ..sources import lines as ln
 from ..sources import paragraphs as pp
@@ -176,7 +177,7 @@ def multi_hop(samples: DataFrame, split: str, order: tuple[str, ...] = LINE_ORDE
         Rule("empty_query_text", F.col("query_text") == "", F.col("query_id")),
     ]
     queries = Checked(duplicates(judged(rows, rules), "query_id", _order(order), "duplicate_query_id"), ("query_id", "query_text"), "query", split)
-    kept = queries.rows.where(F.col("issue").isNull()).drop("issue")
+    kept = checkpointed(queries.rows.where(F.col("issue").isNull()).drop("issue"))  # docs, facts and notes all start from it
     wrong = lambda part, name, record: issue_rows(judged(kept, [Rule(name, F.col(f"{part}_kind") != "list", F.col("query_id"), F.concat(F.lit("type="), F.col(f"{part}_kind")))]), record, split)
     notes = wrong("context", "invalid_context_format", "doc").unionByName(wrong("facts", "invalid_supporting_facts_format", "qrel"))
 
