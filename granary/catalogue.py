@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .functions import text as tx
 from .functions import vectors as vx
+from .functions.binding import computed
 from .operators import chunking, encoders
 from .operators.rules import ISSUE, duplicates, good
 from .plans import collections as co
@@ -255,9 +256,9 @@ def query_set_difference(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "queries").select("query_id").where("query_id is not null").subtract(table(spark, folder, "qrels").select("query_id"))
 
 
-@query("SELECT doc_id, title, loaded_at FROM docs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY loaded_at, coalesce(title, '')) = 1")
+@query("SELECT doc_id, title, loaded_at FROM docs WHERE doc_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY loaded_at, coalesce(title, '')) = 1")
 def dedupe_first_wins(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "docs").select("doc_id", "title", "loaded_at").withColumn("issue", F.lit(None).cast(ISSUE))
+    rows = table(spark, folder, "docs").where("doc_id is not null").select("doc_id", "title", "loaded_at").withColumn("issue", F.lit(None).cast(ISSUE))
     return good(duplicates(rows, "doc_id", F.struct("loaded_at", txt("title")), "duplicate_doc_id"))
 
 
@@ -308,7 +309,7 @@ def samples(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "queries").select("query_id", "query_text", "loaded_at").join(per, "query_id", "left")
     question = F.coalesce(text(F.col("query_text")), F.lit("null"))
     line = F.concat(F.lit('{"_id":'), F.coalesce(text(F.col("query_id")), F.lit("null")), F.lit(',"question":'), question, F.lit(',"context":['), txt("context"), F.lit('],"supporting_facts":['), txt("facts"), F.lit("]}"))
-    return rows.select("loaded_at", txt("query_text").alias("q"), js.whole_json(line).alias("v"))
+    return computed(rows, "v", js.whole_json(line)).select("loaded_at", txt("query_text").alias("q"), "v")
 
 
 SQL_HOPS = f"""{WS},

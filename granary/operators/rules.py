@@ -49,18 +49,16 @@ def with_reference(df: DataFrame, key: str, valid: DataFrame, issue_type: str, r
     return judged(joined, [Rule(issue_type, F.col("_ref").isNull(), record_id)]).drop("_ref")
 
 
-def first_wins(df: DataFrame, keys: list[str], order: Column, later: Column) -> DataFrame:
-    """Marks every good row but the first of its keys with the issue `later`, a struct over the row and `first`, the
-    first row's columns.
+def first_wins(df: DataFrame, keys: list[str], order: Column, later: Column, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Marks every good row but the first of its keys with the issue `later`, a struct over the row and `first`, which has
+    the first row's carried columns.
 
     The first row is found by an aggregation that combines before the shuffle, and is joined back, so a key with very many
     rows isn't one task's sort. Rows that tie in `order` are told apart among themselves only."""
     rows = df.withColumn("_order", order)
     ok, rest = rows.where(F.col("issue").isNull()), rows.where(F.col("issue").isNotNull())
-    carried = [c for c in df.columns if c not in ("issue", *keys)]
-    comparable = [c for c in carried if df.schema[c].dataType.typeName() in ("string", "long", "integer", "double", "boolean")]
-    firsts = ok.groupBy(*keys).agg(F.min(F.struct("_order", *comparable)).alias("first")).select(*[F.col(k).alias(f"_k_{k}") for k in keys], "first")
-    joined = ok.join(firsts, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]).drop(*[f"_k_{k}" for k in keys])
+    firsts = ok.groupBy(*keys).agg(F.min(F.struct("_order", *carry)).alias("first")).select(*[F.col(k).alias(f"_k_{k}") for k in keys], "first")
+    joined = ok.join(firsts, [F.col(k) == F.col(f"_k_{k}") for k in keys]).drop(*[f"_k_{k}" for k in keys])
     tied = joined.where(F.col("_order") == F.col("first._order")).withColumn("_copy", F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(1))))
     after = joined.where(F.col("_order") != F.col("first._order")).withColumn("_copy", F.lit(2))
     marked = tied.unionByName(after).withColumn("issue", F.when(F.col("_copy") > 1, later.cast(ISSUE))).drop("first", "_copy")
@@ -78,7 +76,7 @@ def duplicate_judgments(df: DataFrame, order: Column) -> DataFrame:
     new, old = F.col("relevance").cast("string"), F.col("first.relevance").cast("string")
     kind = F.when(same, "duplicate_qrel_same_relevance").otherwise("duplicate_qrel_conflicting_relevance")
     detail = F.when(same, new).otherwise(F.concat(F.lit("existing="), old, F.lit(", new="), new))
-    return first_wins(df, ["query_id", "doc_id"], order, _issue(kind, F.concat_ws("::", "query_id", "doc_id"), detail))
+    return first_wins(df, ["query_id", "doc_id"], order, _issue(kind, F.concat_ws("::", "query_id", "doc_id"), detail), ("relevance",))
 
 
 def issue_rows(df: DataFrame, record_type: str, split: str | None = None, action: str = "skip") -> DataFrame:

@@ -10,6 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.binding import computed
 from ..functions.text import strip
 from ..operators.rules import Rule, duplicate_judgments, duplicates, good, issue_rows, judged, with_reference
 from ..runtime import checkpointed
@@ -88,22 +89,28 @@ def tsv_qrels(lines: DataFrame, queries: DataFrame, docs: DataFrame, split: str,
         Rule("missing_qrel_doc_id", F.col("doc_id") == "", F.col("query_id")),
         Rule("invalid_relevance", F.col("relevance").isNull(), pair_id(), F.col("raw")),
     ]
-    return referenced(judged(rows, rules), queries, docs, split, _order(order), pair_id())
+    return referenced(judged(rows, rules), queries, docs, split, order, pair_id())
 
 
-def referenced(rows: DataFrame, queries: DataFrame, docs: DataFrame, split: str | None, order: Column, query_record: Column) -> Checked:
+def referenced(rows: DataFrame, queries: DataFrame, docs: DataFrame, split: str | None, order: tuple[str, ...], query_record: Column) -> Checked:
     """Judgments with their references checked, then their duplicates."""
     rows = with_reference(rows, "query_id", queries.select("query_id"), "missing_query_ref", query_record)
     rows = with_reference(rows, "doc_id", docs.select("doc_id"), "missing_doc_ref", pair_id())
-    return Checked(duplicate_judgments(rows, order), ("query_id", "doc_id", "relevance"), "qrel", split)
+    return Checked(duplicate_judgments(rows, _order(order)), ("query_id", "doc_id", "relevance"), "qrel", split)
 
 
 # JSON-lines collections: docs with sentence lists, queries with evidence
 
 
+def _fields(lines: DataFrame, fields: dict[str, Column]) -> DataFrame:
+    """The lines with their kind and the fields of their value, without the value."""
+    read = js.json_lines(lines)
+    return computed(read, "f", F.struct(*[c.alias(n) for n, c in fields.items()])).select(*[c for c in read.columns if c != "v"], "f.*")
+
+
 def _json_rules(record: str) -> list[Rule]:
     return [
-        Rule(f"invalid_{record}_json", F.col("v").isNull()),
+        Rule(f"invalid_{record}_json", F.col("kind").isNull()),
         Rule(f"invalid_{record}_record_format", F.col("kind") != "dict", detail=F.concat(F.lit("type="), F.col("kind"))),
     ]
 
@@ -115,9 +122,8 @@ def sentences_of(v: Column) -> Column:
 
 def json_docs(lines: DataFrame, order: tuple[str, ...] = LINE_ORDER) -> Checked:
     v = F.col("v")
-    rows = js.json_lines(lines).withColumns({"doc_id": js.as_text(js.member(v, "doc_id")), "title": js.as_text(js.member(v, "title")), "abstract": js.member(v, "abstract")})
-    rows = rows.withColumn("abstract_kind", js.python_type(F.col("abstract"))).withColumn("doc_text", sentences_of(F.col("abstract"))).drop("v", "abstract")
-    rows = rows.withColumn("v", F.when(F.col("kind").isNotNull(), F.lit(1)))
+    abstract = js.member(v, "abstract")
+    rows = _fields(lines, {"doc_id": js.as_text(js.member(v, "doc_id")), "title": js.as_text(js.member(v, "title")), "abstract_kind": js.python_type(abstract), "doc_text": sentences_of(abstract)})
     rules = [
         *_json_rules("doc"),
         Rule("missing_doc_id", F.col("doc_id") == ""),
@@ -129,8 +135,7 @@ def json_docs(lines: DataFrame, order: tuple[str, ...] = LINE_ORDER) -> Checked:
 
 def json_queries(lines: DataFrame, split: str, order: tuple[str, ...] = LINE_ORDER) -> Checked:
     v = F.col("v")
-    rows = js.json_lines(lines).withColumns({"query_id": js.as_text(js.member(v, "id")), "query_text": js.as_text(js.member(v, "claim"))})
-    rows = rows.withColumn("v", F.when(F.col("kind").isNotNull(), F.lit(1)))
+    rows = _fields(lines, {"query_id": js.as_text(js.member(v, "id")), "query_text": js.as_text(js.member(v, "claim"))})
     rules = [*_json_rules("query"), Rule("missing_query_id", F.col("query_id") == ""), Rule("empty_query_text", F.col("query_text") == "", F.col("query_id"))]
     return Checked(duplicates(judged(rows, rules), "query_id", _order(order), "duplicate_query_id"), ("query_id", "query_text"), "query", split)
 
@@ -138,9 +143,8 @@ def json_queries(lines: DataFrame, split: str, order: tuple[str, ...] = LINE_ORD
 def evidence_qrels(lines: DataFrame, queries: DataFrame, docs: DataFrame, split: str, order: tuple[str, ...] = LINE_ORDER) -> tuple[Checked, DataFrame]:
     """(judgments, issues of whole lines): each key of a line's evidence object is a doc of relevance 1."""
     v = F.col("v")
-    rows = js.json_lines(lines).withColumns({"query_id": js.as_text(js.member(v, "id")), "evidence": js.member(v, "evidence")})
-    rows = rows.withColumn("evidence_kind", js.python_type(F.col("evidence"))).withColumn("doc_ids", F.map_keys(F.try_variant_get("evidence", "$", "map<string,variant>"))).drop("v", "evidence")
-    rows = rows.withColumn("v", F.when(F.col("kind").isNotNull(), F.lit(1)))
+    evidence = js.member(v, "evidence")
+    rows = _fields(lines, {"query_id": js.as_text(js.member(v, "id")), "evidence_kind": js.python_type(evidence), "doc_ids": F.map_keys(F.try_variant_get(evidence, "$", "map<string,variant>"))})
     rows = judged(rows, [*_json_rules("qrel"), Rule("missing_qrel_query_id", F.col("query_id") == "")])
     rows = with_reference(rows, "query_id", queries.select("query_id"), "missing_query_ref", F.col("query_id"))
     rows = judged(rows, [Rule("invalid_evidence_format", F.col("evidence_kind") != "dict", F.col("query_id"), F.concat(F.lit("type="), F.col("evidence_kind")))])
@@ -168,9 +172,10 @@ def multi_hop(samples: DataFrame, split: str, order: tuple[str, ...] = LINE_ORDE
     js.enable(samples.sparkSession)
     v = F.col("v")
     kind = js.python_type(v)
-    rows = samples.withColumns({"kind": kind, "query_id": js.as_text(js.member(v, "_id")), "query_text": js.as_text(js.member(v, "question"))})
     parts = {"context": js.member(v, "context"), "facts": js.member(v, "supporting_facts")}
-    rows = rows.withColumns({**{f"{n}_kind": js.python_type(p) for n, p in parts.items()}, **{n: F.try_variant_get(p, "$", "array<variant>") for n, p in parts.items()}}).drop("v")
+    fields = {"kind": kind, "query_id": js.as_text(js.member(v, "_id")), "query_text": js.as_text(js.member(v, "question")), **{f"{n}_kind": js.python_type(p) for n, p in parts.items()}}
+    fields |= {n: F.try_variant_get(p, "$", "array<variant>") for n, p in parts.items()}
+    rows = computed(samples, "f", F.struct(*[c.alias(n) for n, c in fields.items()])).select(*order, "f.*")
     rules = [
         Rule("invalid_sample_format", F.col("kind") != "dict", detail=F.concat(F.lit("type="), F.col("kind"))),
         Rule("missing_query_id", F.col("query_id") == ""),
@@ -184,10 +189,13 @@ def multi_hop(samples: DataFrame, split: str, order: tuple[str, ...] = LINE_ORDE
     def entries(part: str) -> DataFrame:
         each = kept.select(*order, "query_id", F.posexplode(part).alias("at", "entry"))
         pair = F.try_variant_get("entry", "$", "array<variant>")
-        return each.withColumns({"at": F.col("at") + 1, "pair": F.coalesce(js.python_type(F.col("entry")) == "list", F.lit(False)) & (F.size(pair) == 2), "title": js.as_text(F.get(pair, F.lit(0))), "second": F.get(pair, F.lit(1))}).drop("entry")
+        is_pair = F.coalesce(js.python_type(F.col("entry")) == "list", F.lit(False)) & (F.size(pair) == 2)
+        title, second = js.as_text(F.get(pair, F.lit(0))), F.get(pair, F.lit(1))
+        fields = F.struct(is_pair.alias("pair"), title.alias("title"), js.python_type(second).alias("second_kind"), sentences_of(second).alias("doc_text"))
+        return computed(each.withColumn("at", F.col("at") + 1), "f", fields).select(*order, "query_id", "at", "f.*")
 
     own = F.concat_ws("::", "query_id", "title")
-    context = entries("context").withColumns({"second_kind": js.python_type(F.col("second")), "doc_text": sentences_of(F.col("second")), "doc_id": own}).drop("second")
+    context = entries("context").withColumn("doc_id", own)
     nth = F.concat(F.lit("context_idx="), F.col("at").cast("string"))
     rules = [
         Rule("invalid_context_entry_format", ~F.col("pair"), F.col("query_id"), nth),
@@ -198,7 +206,7 @@ def multi_hop(samples: DataFrame, split: str, order: tuple[str, ...] = LINE_ORDE
     docs = Checked(duplicates(judged(context, rules), "doc_id", _order((*order, "at")), "duplicate_doc_id"), ("doc_id", "title", "doc_text"), "doc", split)
     nth = F.concat(F.lit("fact_idx="), F.col("at").cast("string"))
     facts = judged(
-        entries("facts").drop("second").withColumns({"doc_id": own, "relevance": F.lit(1)}),
+        entries("facts").drop("second_kind", "doc_text").withColumns({"doc_id": own, "relevance": F.lit(1)}),
         [Rule("invalid_supporting_fact_entry_format", ~F.col("pair"), F.col("query_id"), nth), Rule("missing_supporting_fact_title", F.col("title") == "", F.col("query_id"), nth)],
     )
     columns = ["query_id", "doc_id", "relevance", "issue"]
@@ -246,7 +254,7 @@ def spaced_qrels(lines: DataFrame, queries: DataFrame, docs: DataFrame, split: s
     cell = lambda i: F.coalesce(F.get("cells", F.lit(i)), F.lit(""))
     rows = ln.blank_separated(lines).withColumns({"query_id": cell(0), "doc_id": cell(2), "relevance": F.lit(1)})
     rules = [Rule("invalid_qrel_row_format", F.size("cells") != 4, detail=F.left(strip("line"), F.lit(300)))]
-    return referenced(judged(rows, rules), queries, docs, split, _order(order), pair_id())
+    return referenced(judged(rows, rules), queries, docs, split, order, pair_id())
 
 
 # Over several tables

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.binding import computed, let
 from ..functions.text import strip
 from .lines import not_blank
 
@@ -26,12 +27,15 @@ def whole_json(c: Column) -> Column:
 
 def python_type(v: Column) -> Column:
     """The Python name of a VARIANT's type; NoneType for an absent value and for null."""
-    kind = F.schema_of_variant(v)
-    whole = kind.rlike(r"^DECIMAL\((19|[23]\d),0\)$")
-    return (
-        F.when(v.isNull() | (kind == "VOID"), "NoneType").when(kind.startswith("OBJECT"), "dict").when(kind.startswith("ARRAY"), "list")
-        .when(kind == "STRING", "str").when(kind == "BOOLEAN", "bool").when((kind == "BIGINT") | whole, "int").otherwise("float")
-    )
+
+    def named(kind: Column) -> Column:
+        whole = kind.rlike(r"^DECIMAL\((19|[23]\d),0\)$")
+        return (
+            F.when(kind.isNull() | (kind == "VOID"), "NoneType").when(kind.startswith("OBJECT"), "dict").when(kind.startswith("ARRAY"), "list")
+            .when(kind == "STRING", "str").when(kind == "BOOLEAN", "bool").when((kind == "BIGINT") | whole, "int").otherwise("float")
+        )
+
+    return let(F.schema_of_variant(v), named)  # the schema of a nested value is costly; it is made once
 
 
 def member(v: Column, name: str) -> Column:
@@ -42,13 +46,14 @@ def member(v: Column, name: str) -> Column:
 def as_text(v: Column) -> Column:
     """A VARIANT as trimmed text: "" for null and absent values, True and False for booleans, lists and objects as JSON."""
     plain = strip(F.try_variant_get(v, "$", "string"))
-    return F.when(python_type(v) == "bool", F.initcap(plain)).otherwise(F.coalesce(plain, F.lit("")))
+    truth = F.when(F.schema_of_variant(v) == "BOOLEAN", F.initcap(plain)).otherwise(plain)
+    return F.coalesce(F.when(plain.isin("true", "false"), truth).otherwise(plain), F.lit(""))
 
 
 def json_lines(lines: DataFrame) -> DataFrame:
     """The lines that aren't blank with their value v (null if malformed) and its kind (a Python type name)."""
     enable(lines.sparkSession)
-    return not_blank(lines).withColumn("v", whole_json(F.col("line"))).withColumn("kind", F.when(F.col("v").isNotNull(), python_type(F.col("v"))))
+    return computed(not_blank(lines), "v", whole_json(F.col("line"))).withColumn("kind", F.when(F.col("v").isNotNull(), python_type(F.col("v"))))
 
 
 def json_objects(lines: DataFrame) -> DataFrame:
