@@ -11,17 +11,20 @@ an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 from collections import Counter
+from collections.abc import Callable
 from functools import lru_cache
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import joined_text, label, strip
 from ..operators.deliveries import first_delivery
 from ..runtime import spread, widened
-from .bpe import FOLDER
+from .bpe import FOLDER, SPLIT, byte_characters
 
 
 @lru_cache(maxsize=4)
@@ -31,11 +34,33 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def _pieces(path: str):
+def _splitter(path: str) -> tuple[Callable[[str], list[str]], Callable[[str], str]]:
+    """The tokenizer's pre-splitting, and what turns a piece of it into the model's characters.
+
+    The two usual byte-level layouts split by one pattern, which runs here without the offsets that the library makes for
+    each piece; any other pre-splitting is left to the library, whose pieces need no turning."""
+    with open(path, encoding="utf-8") as f:
+        how = json.load(f).get("pre_tokenizer") or {}
+    parts = how.get("pretokenizers", [how])
+    last = parts[-1] if parts else {}
+    shown = dict(enumerate(byte_characters()))
+    turn = lambda p: p.encode("utf-8").decode("latin-1").translate(shown)
+    if last.get("type") == "ByteLevel" and not last.get("add_prefix_space"):
+        if len(parts) == 1 and last.get("use_regex", True):
+            return regex.compile(SPLIT).findall, turn
+        first = parts[0]
+        kept = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert")
+        if len(parts) == 2 and not last.get("use_regex", True) and kept and "Regex" in first.get("pattern", {}):
+            return regex.compile(first["pattern"]["Regex"]).findall, turn
+    split = _tokenizer(path).pre_tokenizer.pre_tokenize_str
+    return lambda t: [p for p, _ in split(t)], lambda p: p
+
+
+def _pieces(path: str) -> Callable[[str | None], list[str]]:
     tokenizer = _tokenizer(path)
     normal = tokenizer.normalizer.normalize_str if tokenizer.normalizer else lambda t: t
-    split = tokenizer.pre_tokenizer.pre_tokenize_str
-    return lambda t: [p for p, _ in split(normal(t))] if t else []
+    split = _splitter(path)[0]
+    return lambda t: split(normal(t)) if t else []
 
 
 def piece_frequencies(texts: DataFrame, groups: list[str], text: str, path: str, most: int = 200_000) -> DataFrame:
@@ -76,9 +101,9 @@ def piece_lengths(pieces: DataFrame, path: str) -> DataFrame:
     """(piece, tokens) of a table of distinct pieces."""
 
     def run(batches):
-        tokenize = _tokenizer(path).model.tokenize
+        tokenize, turn = _tokenizer(path).model.tokenize, _splitter(path)[1]
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("piece"), pa.array([len(tokenize(p)) for p in b.column("piece").to_pylist()], pa.int64())], ["piece", "tokens"])
+            yield pa.RecordBatch.from_arrays([b.column("piece"), pa.array([len(tokenize(turn(p))) for p in b.column("piece").to_pylist()], pa.int64())], ["piece", "tokens"])
 
     return pieces.mapInArrow(run, "piece string, tokens long")
 
