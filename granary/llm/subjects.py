@@ -118,17 +118,24 @@ class Matrix:
 
 
 def row_sums(row: np.ndarray, rows: int, entries: np.ndarray) -> np.ndarray:
-    return np.stack([np.bincount(row, e, minlength=rows) for e in entries.T], axis=1)
+    """The entries (one line each) summed by row; row is in ascending order."""
+    n = np.bincount(row, minlength=rows)
+    out = np.zeros((rows, entries.shape[1]))
+    if len(row):
+        out[n > 0] = np.add.reduceat(entries, (np.cumsum(n) - n)[n > 0], axis=0)
+    return out
 
 
 def mixtures(row: np.ndarray, rows: int, near: np.ndarray, rounds: int, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """W after `rounds` multiplicative updates from an even start, and each entry's split over the components. near: of
-    each entry, its term's column of H."""
+    """W after `rounds` multiplicative updates from an even start, and each entry's split over the components. row: of each
+    entry, ascending; near: of each entry, its term's column of H."""
     w = np.ones((rows, near.shape[1]))
+    n = np.bincount(row, minlength=rows)
     split = near
     for _ in range(rounds):
-        split = w[row] * near
-        split /= np.maximum(split.sum(1, keepdims=True), 1e-300)
+        split = np.repeat(w, n, axis=0)
+        split *= near
+        split /= np.maximum(np.einsum("ij->i", split), 1e-300)[:, None]
         w = row_sums(row, rows, split if weight is None else split * weight[:, None])
     return w, split
 
@@ -249,8 +256,8 @@ class Subjects:
                         w, entries = mixtures(doc, m.docs, h.T[column], rounds)
                         if what == "profile":
                             entries = scaled(np.concatenate([w[:, :n], w[:, n + 1 :].sum(1, keepdims=True)], axis=1))[doc]
-                    for k in range(width):
-                        total[i, k] += np.bincount(column, entries[:, k], minlength=size)
+                    for k, part in enumerate(np.ascontiguousarray(entries.T)):
+                        total[i, k] += np.bincount(column, part, minlength=size)
             language, term = np.nonzero(total.sum(1))
             values = total[language, :, term]
             yield pa.RecordBatch.from_arrays([pa.array(language, pa.int32()), pa.array(term, pa.int32()), *[pa.array(values[:, k]) for k in range(width)]], ["l", "t", *[f"k{k}" for k in range(width)]])
