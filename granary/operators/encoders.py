@@ -59,6 +59,12 @@ def letter_profile(text: Column) -> Column:
     return F.array(*[F.regexp_count(low, F.lit(c)).cast("double") for c in LetterProfile.letters], F.lit(1.0))
 
 
+def token_lengths(encoder: Encoder, texts: list[str]) -> list[int] | None:
+    """Of each text, if the encoder has a tokenizer to tell; else None."""
+    own = getattr(encoder, "token_lengths", None)
+    return own(texts) if own else None
+
+
 def post_json(url: str, body: dict, timeout: float) -> dict:
     request = urllib.request.Request(url, json.dumps(body).encode(), {"Content-Type": "application/json"})
     with urllib.request.urlopen(request, timeout=timeout) as reply:

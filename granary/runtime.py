@@ -14,8 +14,11 @@ def slots(spark: SparkSession) -> int:
 
 
 def widened(df: DataFrame) -> DataFrame:
-    """df with at least a partition a core. A large input has them from its scan and isn't shuffled; only a small
-    one, which fits one or two splits, is spread before Python works on it."""
+    """df with enough partitions for a CPU-bound stage. What comes straight from a large scan has them and isn't shuffled; a
+    small scan, which fits one or two splits, is spread. What comes from a shuffle is spread by a fixed number, as adaptive
+    execution sizes its partitions by bytes; it isn't asked for its partitions, which would run it."""
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df.repartition(slots(df.sparkSession))
     n = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= n else df.repartition(n)
 

@@ -63,7 +63,7 @@ class Model:
 
 def test_local_encoder_and_factory():
     e = en.LocalEncoder("sentence_transformers", "m", max_length=512, loader=lambda *_: Model())
-    assert e.length == 100 and e.encode(["a", "b"]).tolist() == [[0.6, 0.8], [0.0, 0.0]] and e.token_lengths(["a b", "c"]) == [2, 1]
+    assert e.length == 100 and e.encode(["a", "b"]).tolist() == [[0.6, 0.8], [0.0, 0.0]] and en.token_lengths(e, ["a b", "c"]) == [2, 1] and en.token_lengths(en.LetterProfile(), ["a"]) is None
     flag = en.LocalEncoder("flag_embedding", "m", max_length=50, loader=lambda *_: Model())
     assert flag.length == 50 and flag.encode(["a"]).tolist() == [[0.6, 0.8]]
     m = config.settings(RAW).models[0]
