@@ -138,7 +138,9 @@ class Mix:
     def select(self, documents: DataFrame, targets: DataFrame) -> DataFrame:
         """(doc_id, source, passes, tokens): how often each drawn text is taken for a source."""
         wanted = self.targets(targets)
-        sized = checkpointed(self.sized(documents, sorted(wanted)))
+        return self._draw(checkpointed(self.sized(documents, sorted(wanted))), wanted)
+
+    def _draw(self, sized: DataFrame, wanted: dict[str, tuple[float, int]]) -> DataFrame:
         items = sized.groupBy("h").agg(F.sort_array(F.collect_set("source")).alias("pattern"), F.min("tokens").alias("tokens")).where("tokens > 0")
         sums = items.groupBy("pattern").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("n")).collect()
         capacity = {tuple(r.pattern): r.tokens for r in sums}
@@ -149,7 +151,7 @@ class Mix:
             low = at.get(pattern, 0)
             at[pattern] = low + flow
             drawn.append((list(pattern), source, low, low + flow, capacity[pattern]))
-        intervals = documents.sparkSession.createDataFrame(drawn, "pattern array<string>, source string, low long, high long, around long")
+        intervals = sized.sparkSession.createDataFrame(drawn, "pattern array<string>, source string, low long, high long, around long")
         order = F.xxhash64(F.lit(self.seed), "h")
         placed = items.withColumn("o", order).withColumn("bucket", F.floor((F.col("o").cast("double") / 2.0**64 + 0.5) * buckets))
         per = placed.groupBy("pattern", "bucket").agg(F.sum("tokens").alias("t"))
@@ -164,8 +166,9 @@ class Mix:
         """(source, weight, max_repeats, available_tokens, drawn_tokens, share, most_passes) of each target."""
         wanted = self.targets(targets)
         asked = documents.sparkSession.createDataFrame([(s, w, r) for s, (w, r) in wanted.items()], "source string, weight double, max_repeats int")
-        there = self.sized(documents, sorted(wanted)).groupBy("source").agg(F.sum("tokens").alias("available_tokens"))
-        drawn = self.select(documents, targets).groupBy("source").agg(F.sum(F.col("tokens") * F.col("passes")).alias("drawn_tokens"), F.max("passes").alias("most_passes"))
+        sized = checkpointed(self.sized(documents, sorted(wanted)))
+        there = sized.groupBy("source").agg(F.sum("tokens").alias("available_tokens"))
+        drawn = self._draw(sized, wanted).groupBy("source").agg(F.sum(F.col("tokens") * F.col("passes")).alias("drawn_tokens"), F.max("passes").alias("most_passes"))
         joined = asked.join(there, "source", "left").join(drawn, "source", "left").na.fill(0)
         whole = F.sum("drawn_tokens").over(Window.partitionBy())  # one row per target
         return joined.select("source", "weight", "max_repeats", "available_tokens", "drawn_tokens", F.when(whole > 0, F.col("drawn_tokens") / whole).otherwise(0.0).alias("share"), "most_passes")
