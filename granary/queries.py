@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import parse_failures
+from .runtime import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,6 +28,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -3,10 +3,28 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once an application, so that they need no path of the driver's."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).parent
+    archive = f"{tempfile.mkdtemp(prefix='granary-code-')}/{package.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(package.rglob("*.py")):
+            z.write(p, p.relative_to(package.parent))
+    sc.addPyFile(archive)
+    _shipped.add(sc.applicationId)
+
 
 def slots(spark: SparkSession) -> int:
     """Partitions that a CPU-bound stage should have: never fewer than the cores, else as many as shuffles have."""
@@ -17,6 +35,7 @@ def widened(df: DataFrame) -> DataFrame:
     """df with enough partitions for a CPU-bound stage. What comes straight from a large scan has them and isn't shuffled; a
     small scan, which fits one or two splits, is spread. What comes from a shuffle is spread by a fixed number, as adaptive
     execution sizes its partitions by bytes; it isn't asked for its partitions, which would run it."""
+    ship(df.sparkSession)
     if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
         return df.repartition(slots(df.sparkSession))
     n = df.sparkSession.sparkContext.defaultParallelism
@@ -26,6 +45,7 @@ def widened(df: DataFrame) -> DataFrame:
 def spread(df: DataFrame, *cols: str | Column) -> DataFrame:
     """df hashed by cols into a fixed number of partitions, which adaptive execution doesn't coalesce: bytes say
     little about the cost of a Python stage."""
+    ship(df.sparkSession)
     return df.repartition(slots(df.sparkSession), *cols)
 
 
@@ -46,6 +66,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """df, computed once and written to the shared folder, so that a lost executor costs a read only."""
+    ship(df.sparkSession)
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
