@@ -117,6 +117,13 @@ class Matrix:
         self.doc = self.doc_of_sentence[self.sentence]
 
 
+def slices(batches, rows: int = 500):
+    """The batches in slices that the processor's caches hold through the rounds of an update."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def row_sums(row: np.ndarray, rows: int, entries: np.ndarray) -> np.ndarray:
     """The entries (one line each) summed by row; row is in ascending order."""
     n = np.bincount(row, minlength=rows)
@@ -244,7 +251,7 @@ class Subjects:
 
         def run(batches):
             total = np.zeros((len(model.h), width, size))
-            for b in batches:
+            for b in slices(batches):
                 m = Matrix(b, model.vocabulary)
                 language = model.language(m)[m.doc]
                 for i, h in enumerate(model.h):
@@ -278,7 +285,7 @@ class Subjects:
         chances, tells = model.evidence() if n else (None, None)
 
         def run(batches):
-            for b in batches:
+            for b in slices(batches):
                 m = Matrix(b, model.vocabulary) if n else None
                 per, weights, counts = np.zeros(len(b), int), np.zeros((len(b), n)), np.zeros((len(b), n))
                 if m is not None and len(m.column):
