@@ -40,15 +40,25 @@ delivered AS (SELECT doc_id, loaded_at, array_to_string(list_filter(list_transfo
 doc_texts AS (SELECT doc_id, text FROM delivered QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY text = '', loaded_at IS NULL, loaded_at, text) = 1)
 """
 
-SQL_P1 = f"""
-WITH {SQL_DOC_TEXTS},
+def sql_alike(n: int, least: float) -> str:
+    """CTEs up to alike (a, b, likeness), a < b, over the n-word sequences of docs."""
+    return f"""{SQL_DOC_TEXTS},
 spelt AS (SELECT doc_id, regexp_extract_all(lower(text), '[一-鿿]|[\\p{{L}}\\p{{N}}]+') AS rough FROM doc_texts),
 worded AS (SELECT doc_id, flatten(list_transform(rough, lambda r: regexp_extract_all(regexp_replace(r, '([一-鿿])', ' \\1 ', 'g'), '[^ ]+'))) AS ws FROM spelt),
-grams AS (SELECT DISTINCT doc_id, ws[i:i+2] AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM worded)),
-n AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY 1),
-shared AS (SELECT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b, count(*) AS c FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2)
-SELECT doc_id_a, doc_id_b FROM shared JOIN n x ON x.doc_id = doc_id_a JOIN n y ON y.doc_id = doc_id_b WHERE c / (x.n + y.n - c) >= 0.6
-"""
+grams AS (SELECT DISTINCT doc_id, ws[i:i+{n - 1}] AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - {n - 2})) AS i FROM worded)),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY 1),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+alike AS (SELECT a, b, c / (x.n + y.n - c) AS likeness FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE c / (x.n + y.n - c) >= {least})"""
+
+
+SQL_P1 = f"WITH {sql_alike(3, 0.6)} SELECT a AS doc_id_a, b AS doc_id_b FROM alike"
+
+SQL_P1_GROUPS = f"""WITH RECURSIVE {sql_alike(5, 0.8)},
+both_ways AS (SELECT a, b, likeness FROM alike UNION ALL SELECT b, a, likeness FROM alike),
+reach AS (SELECT DISTINCT a, a AS b FROM both_ways UNION SELECT r.a, w.b FROM reach r JOIN both_ways w ON w.a = r.b),
+roots AS (SELECT a AS doc_id, min(b) AS group_id FROM reach GROUP BY 1),
+same AS (SELECT a, count(*) FILTER (likeness = 1) + 1 AS copies, least(a, coalesce(min(b) FILTER (likeness = 1), a)) AS class FROM both_ways GROUP BY 1)
+SELECT doc_id, group_id, copies, (SELECT count(DISTINCT c.class) FROM both_ways w JOIN same c ON c.a = w.b WHERE w.a = doc_id AND w.likeness < 1) AS links FROM roots JOIN same ON a = doc_id"""
 
 
 @query(SQL_P1)
@@ -56,7 +66,7 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return NearDuplicates(n=3, threshold=0.6).pairs(table(spark, folder, "docs"))
 
 
-@query()
+@query(SQL_P1_GROUPS)
 def p1_groups(spark: SparkSession, folder: str) -> DataFrame:
     return NearDuplicates().groups(table(spark, folder, "docs"))
 
@@ -112,20 +122,22 @@ def p9_composition(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-SQL_P5 = f"""
-WITH w AS (SELECT {SQL_WHITE} AS ws),
-q AS (SELECT query_id, loaded_at, trim(query_text, ws) AS text, nullif(lower(trim(split, ws)), '') AS split FROM queries, w WHERE query_id IS NOT NULL),
+SQL_RECORDS = f"""{SQL_WHITE} AS ws),
+q AS (SELECT query_id, loaded_at, trim(query_text, ws) AS text, nullif(lower(trim(split, ws)), '') AS split, nullif(lower(trim(source, ws)), '') AS source FROM queries, w WHERE query_id IS NOT NULL),
 t AS (SELECT query_id, text FROM q QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY coalesce(text, '') = '', loaded_at IS NULL, loaded_at, text) = 1),
 s AS (SELECT query_id, split FROM q WHERE split IS NOT NULL QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY loaded_at IS NULL, loaded_at, split) = 1),
-r AS (SELECT query_id, split, trim(regexp_replace(lower(text), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) AS text FROM t JOIN s USING (query_id) WHERE split IN ('train', 'dev', 'test')),
+o AS (SELECT query_id, source FROM q WHERE source IS NOT NULL QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY loaded_at IS NULL, loaded_at, source) = 1),
+r AS (SELECT query_id, split, source, trim(regexp_replace(lower(text), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) AS text FROM t JOIN s USING (query_id) LEFT JOIN o USING (query_id) WHERE split IN ('train', 'dev', 'test')),
 g AS (SELECT DISTINCT query_id, split = 'train' AS tr, substr(text, i, 3) AS g FROM (SELECT *, unnest(range(1, length(text) - 1)) AS i FROM r)),
 n AS (SELECT query_id, count(*) AS n FROM g GROUP BY 1),
 c AS (SELECT a.query_id AS a, b.query_id AS b, count(*) AS c FROM g a JOIN g b ON a.g = b.g AND a.tr AND NOT b.tr GROUP BY 1, 2),
-f AS (SELECT least(a, b) AS query_id_a, greatest(a, b) AS query_id_b FROM c JOIN n x ON x.query_id = a JOIN n y ON y.query_id = b WHERE c / (x.n + y.n - c) >= 0.75)
-SELECT * FROM f UNION ALL
-SELECT query_id, query_id FROM qrels, w WHERE query_id IS NOT NULL GROUP BY 1
-HAVING bool_or(lower(trim(split, ws)) = 'train') AND bool_or(lower(trim(split, ws)) IN ('dev', 'test'))
+f AS (SELECT a, b FROM c JOIN n x ON x.query_id = a JOIN n y ON y.query_id = b WHERE c / (x.n + y.n - c) >= 0.75),
+j AS (SELECT query_id FROM qrels, w WHERE query_id IS NOT NULL GROUP BY 1 HAVING bool_or(lower(trim(split, ws)) = 'train') AND bool_or(lower(trim(split, ws)) IN ('dev', 'test')))
 """
+SQL_P5 = f"WITH w AS (SELECT {SQL_RECORDS} SELECT least(a, b) AS query_id_a, greatest(a, b) AS query_id_b FROM f UNION ALL SELECT query_id, query_id FROM j"
+SQL_P5_COUNTS = f"""WITH w AS (SELECT {SQL_RECORDS},
+e AS (SELECT r.*, EXISTS (SELECT 1 FROM r t WHERE t.split = 'train' AND t.text = r.text AND length(r.text) > 2) AS same, query_id IN (SELECT b FROM f) AS alike FROM r WHERE split <> 'train')
+SELECT split, source, count(*) AS queries, count(*) FILTER (same) AS exact, count(*) FILTER (alike AND NOT same) AS near, count(*) FILTER (query_id IN (FROM j)) AS judged_under_both FROM e GROUP BY 1, 2"""
 
 
 @query(SQL_P5)
@@ -135,7 +147,7 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return how.pairs(table(spark, folder, "queries")).unionByName(both.select(F.col("query_id").alias("query_id_a"), F.col("query_id").alias("query_id_b")))
 
 
-@query()
+@query(SQL_P5_COUNTS)
 def p5_counts(spark: SparkSession, folder: str) -> DataFrame:
     return SplitOverlaps().counts(table(spark, folder, "queries"), table(spark, folder, "qrels"))
 
