@@ -115,6 +115,11 @@ def issue_log(spark: SparkSession, folder: str) -> DataFrame:
     return co.tsv_docs(corpus(spark, folder, "tsv")).issues.select("file", "line_num", "issue_type", "record_id")
 
 
+@query(f"""WITH {SQL_TSV} SELECT '{{"line_num":' || line_num || ',"issue_type":"' || issue || '"' || CASE WHEN issue IN ('empty_doc_text', 'duplicate_doc_id') THEN ',"record_id":' || to_json(doc_id)::VARCHAR ELSE '' END || '}}' AS record FROM k WHERE issue IS NOT NULL""")
+def optional_fields(spark: SparkSession, folder: str) -> DataFrame:
+    return co.tsv_docs(corpus(spark, folder, "tsv")).issues.select(F.to_json(F.struct("line_num", "issue_type", "record_id")).alias("record"))
+
+
 SQL_JSON = f"""{WS},
 r AS (SELECT file, line_num, ws, CASE WHEN json_valid(line) AND NOT regexp_matches(regexp_replace(line, '"(?:[^"\\\\]|\\\\.)*"', '""', 'g'), ',\\s*[}}\\]]') THEN line::JSON END AS j
   FROM corpus_lines, w WHERE layout = 'jsonl' AND trim(coalesce(line, ''), ws) <> ''),

@@ -53,16 +53,29 @@ good AS (
     AND len(list_filter(json_extract(j, '$.abstract[*]'), lambda x: json_type(x) NOT IN ('VARCHAR', 'NULL'))) = 0
     AND len(list_filter(json_extract_string(j, '$.abstract[*]'), lambda x: trim(coalesce(x, ''), ws) <> '')) > 0
 )
-SELECT line_id FROM raw WHERE line_id NOT IN (SELECT line_id FROM good)
 """
+SQL_P3_FOUND = SQL_P3 + "SELECT line_id FROM raw WHERE line_id NOT IN (SELECT line_id FROM good)"
+_QUOTED = '"(?:[^"]|"")*"'
+_N = f"^(?:{_QUOTED}|[^\",\\r\\n]*)(?:,(?:{_QUOTED}|[^\",\\r\\n]*))*\\z"
+SQL_P3_REASONS = (
+    SQL_P3
+    + f"""
+SELECT layout, CASE layout
+  WHEN 'csv' THEN CASE WHEN NOT regexp_matches(line, '{_N}') THEN 'broken_quoting' WHEN NOT (SELECT ok FROM csv c WHERE c.line_id = raw.line_id) THEN 'wrong_column_count' WHEN trim((SELECT f.a FROM csv c WHERE c.line_id = raw.line_id), ws || '"') = '' THEN 'blank_doc_id' ELSE 'blank_abstract' END
+  WHEN 'tsv' THEN CASE WHEN strpos(line, chr(9)) = 0 THEN 'wrong_column_count' WHEN trim(substr(line, 1, strpos(line, chr(9)) - 1), ws) = '' THEN 'blank_doc_id' ELSE 'blank_text' END
+  WHEN 'jsonl' THEN (SELECT CASE WHEN j IS NULL THEN 'invalid_json' WHEN json_type(j) <> 'OBJECT' THEN 'not_an_object' WHEN json_type(j, '$.doc_id') IS NULL OR json_type(j, '$.doc_id') = 'NULL' THEN 'missing_doc_id'
+    WHEN json_type(j, '$.doc_id') NOT IN ('UBIGINT', 'BIGINT', 'HUGEINT', 'VARCHAR') THEN 'invalid_doc_id' WHEN trim(j->>'$.doc_id', js.ws) = '' THEN 'blank_doc_id' WHEN json_type(j, '$.abstract') IS NULL OR json_type(j, '$.abstract') <> 'ARRAY' THEN 'invalid_abstract'
+    WHEN len(list_filter(json_extract(j, '$.abstract[*]'), lambda x: json_type(x) NOT IN ('VARCHAR', 'NULL'))) > 0 THEN 'invalid_abstract_item' ELSE 'blank_abstract' END FROM js WHERE js.line_id = raw.line_id)
+  ELSE 'unknown_layout' END AS reason, count(*) AS failed_lines FROM raw WHERE line_id NOT IN (SELECT line_id FROM good) GROUP BY 1, 2"""
+)
 
 
-@query(SQL_P3)
+@query(SQL_P3_FOUND)
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return parse_failures.failed_lines(table(spark, folder, "corpus_lines")).select("line_id")
 
 
-@query()
+@query(SQL_P3_REASONS)
 def p3_reasons(spark: SparkSession, folder: str) -> DataFrame:
     failed = parse_failures.failed_lines(table(spark, folder, "corpus_lines"))
     return failed.groupBy("layout", "reason").agg(F.count(F.lit(1)).alias("failed_lines"))
