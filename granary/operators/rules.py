@@ -11,6 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..runtime import checkpointed
+
 ISSUE = "struct<issue_type:string,record_id:string,detail:string>"
 
 
@@ -54,8 +56,9 @@ def first_wins(df: DataFrame, keys: list[str], order: Column, later: Column, car
     the first row's carried columns.
 
     The first row is found by an aggregation that combines before the shuffle, and is joined back, so a key with very many
-    rows isn't one task's sort. Rows that tie in `order` are told apart among themselves only."""
-    rows = df.withColumn("_order", order)
+    rows isn't one task's sort. Rows that tie in `order` are told apart among themselves only. The judged rows are read
+    several times for that, so they are written once: reading and parsing the source isn't repeated."""
+    rows = checkpointed(df.withColumn("_order", order))
     ok, rest = rows.where(F.col("issue").isNull()), rows.where(F.col("issue").isNotNull())
     firsts = ok.groupBy(*keys).agg(F.min(F.struct("_order", *carry)).alias("first")).select(*[F.col(k).alias(f"_k_{k}") for k in keys], "first")
     joined = ok.join(firsts, [F.col(k) == F.col(f"_k_{k}") for k in keys]).drop(*[f"_k_{k}" for k in keys])
