@@ -25,6 +25,7 @@ class ProcessingError(GranaryError):
 
 @dataclass(frozen=True)
 class Experiment:
+    # The defaults of a settings file.
     embedding_dim: int = 768
     max_length: int = 512
     query_prefix: str = ""
@@ -34,6 +35,7 @@ class Experiment:
 
 @dataclass(frozen=True)
 class Inference:
+    # The defaults of a settings file.
     batch_size: int = 64
     device: str = "cuda"
     embedding_api_url: str = ""

@@ -50,6 +50,7 @@ class Size:
 class Chunker:
     """hard: no sentence goes beyond it uncut; target: chunks are filled up to it; small: chunks below it are merged."""
 
+    # The sizes that the format's other tools use.
     hard: int = 8092
     target: int = 600
     small: int = 200
