@@ -139,6 +139,8 @@ SQL_P5_COUNTS = f"""WITH w AS (SELECT {SQL_RECORDS},
 e AS (SELECT r.*, EXISTS (SELECT 1 FROM r t WHERE t.split = 'train' AND t.text = r.text AND length(r.text) > 2) AS same, query_id IN (SELECT b FROM f) AS alike FROM r WHERE split <> 'train')
 SELECT split, source, count(*) AS queries, count(*) FILTER (same) AS exact, count(*) FILTER (alike AND NOT same) AS near, count(*) FILTER (query_id IN (FROM j)) AS judged_under_both FROM e GROUP BY 1, 2"""
 
+SQL_P5_JUDGED = f"WITH w AS (SELECT {SQL_RECORDS} SELECT split, source, count(*) AS judged_under_both FROM j LEFT JOIN s USING (query_id) LEFT JOIN o USING (query_id) GROUP BY 1, 2"
+
 
 @query(SQL_P5)
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -152,6 +154,11 @@ def p5_counts(spark: SparkSession, folder: str) -> DataFrame:
     return SplitOverlaps().counts(table(spark, folder, "queries"), table(spark, folder, "qrels"))
 
 
+@query(SQL_P5_JUDGED)
+def p5_judged(spark: SparkSession, folder: str) -> DataFrame:
+    return SplitOverlaps().judged_counts(table(spark, folder, "queries"), table(spark, folder, "qrels"))
+
+
 SQL_P6 = f"""
 WITH {SQL_DOC_TEXTS},
 items AS (SELECT 'doc' AS item_kind, doc_id, 0 AS cand_order, text FROM doc_texts

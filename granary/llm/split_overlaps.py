@@ -89,7 +89,8 @@ class SplitOverlaps:
 
     def counts(self, queries: DataFrame, qrels: DataFrame) -> DataFrame:
         """(split, source, queries, exact, near, judged_under_both) of the evaluation splits: how many records there are,
-        have an equal or else a nearly equal training record, and have judgments under both."""
+        have an equal or else a nearly equal training record, and have judgments under both. Ids judged under both that are
+        no evaluation record are only in judged_counts."""
         records = self.records(queries)
         members, classes = self.classes(records)
         best = self.links(classes).groupBy(F.col("evaluated").alias("rid")).agg(F.max((F.col("evaluated") == F.col("trained")).cast("int")).alias("same"))
@@ -98,3 +99,9 @@ class SplitOverlaps:
         each = each.join(self.judged_under_both(qrels).withColumn("judged", F.lit(1)), "query_id", "left")
         total = lambda c, name: F.count_if(c).alias(name)
         return each.groupBy("split", "source").agg(F.count(F.lit(1)).alias("queries"), total(F.col("same") == 1, "exact"), total(F.col("same") == 0, "near"), total(F.col("judged") == 1, "judged_under_both"))
+
+    def judged_counts(self, queries: DataFrame, qrels: DataFrame) -> DataFrame:
+        """(split, source, judged_under_both): all ids that have judgments under both, by their own split (training too) and
+        source; null where queries doesn't tell."""
+        own = first_delivery(queries, "query_id", strip("query_text"), {"split": label("split"), "source": label("source")}).drop("text")
+        return self.judged_under_both(qrels).join(own, "query_id", "left").groupBy("split", "source").agg(F.count(F.lit(1)).alias("judged_under_both"))

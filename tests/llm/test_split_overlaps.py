@@ -57,6 +57,15 @@ def test_judged_and_counts(spark):
     assert sum(r.judged_under_both for r in counts) == 1
 
 
+def test_every_id_judged_under_both_is_counted(spark):
+    ids = ["hot0", "hot1", "n5", "absent"]  # of dev, of train, of no split, in no row of queries
+    qrels = spark.createDataFrame([(q, s) for q in ids for s in ("train", "Dev ")] + [("hot2", "dev")], "query_id string, split string")
+    how = SplitOverlaps()
+    got = how.judged_counts(spark.createDataFrame(queries(), SCHEMA), qrels)
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, [("dev", "s", 1), ("train", "s", 1), (None, "s", 1), (None, None, 1)]))
+    assert sum(r.judged_under_both for r in got.collect()) == how.judged_under_both(qrels).count()
+
+
 def test_nothing(spark):
     how, empty = SplitOverlaps(), spark.createDataFrame([], SCHEMA)
     assert how.pairs(empty).collect() == [] and how.counts(empty, empty).collect() == []
