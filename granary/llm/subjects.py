@@ -12,9 +12,9 @@ With H fixed, each sentence is a row of its own: its mixture of the components,
 A sentence is about a subject that has more than `share` of that; a document is about each subject that at least `quota`
 of its sentences are about. Sentences without any telling term aren't counted. A document's mixture is the mean of theirs.
 
-W never leaves the executors: each update of H sums, per term, what all texts contribute. Terms of fewer
-than max(least_docs, least_share of the texts) texts are no evidence (mostly names), so the vocabulary has at most
-(distinct terms a text) / least_share entries and H is bounded whatever the corpus size.
+W never leaves the executors: each update of H sums, per term, what all texts contribute. The vocabulary has every term of
+the examples. Other terms of fewer than max(least_docs, least_share of the texts) texts are no evidence (mostly names), so
+there are at most (distinct terms a text) / least_share of them and H is bounded whatever the corpus size.
 
 Defined cases: null, empty and wordless texts get no subject; repeated rows and ids are judged row by row; an empty table
 or no examples give an empty result; other columns are ignored.
@@ -194,19 +194,18 @@ class Subjects:
         lang = F.coalesce(F.col("lang"), F.lit("")) if "lang" in examples.columns else F.lit("")
         labelled = examples.where(F.col("subject").isNotNull() & F.col("text").isNotNull()).select("subject", lang.alias("lang"), "text")
         taken = [(r.subject, r.lang, r.text) for r in labelled.orderBy(F.xxhash64("subject", "text"), "lang").limit(self.most_examples).collect()]
-        least = max(self.least_docs, int(self.least_share * rows.count()))
-        known = rows.select(F.explode(F.array_distinct("terms")).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
-        vocabulary = np.sort(known.select("t").toArrow()["t"].to_numpy())
         subjects, langs = sorted({x[0] for x in taken}), sorted({x[1] for x in taken})
         n, free = len(subjects), self.free
+        used_in = [(langs.index(lang), subjects.index(s), sorted({term_id(w) for w in terms(sentence)})) for s, lang, t in taken for sentence in sentences(t)]
+        labelled_terms = np.array(sorted({k for *_, ids in used_in for k in ids}), dtype=np.int64)
+        if not len(labelled_terms):
+            return Model([], labelled_terms, np.zeros((0, 0)), np.zeros((0, 0, 0)))
+        least = max(self.least_docs, int(self.least_share * rows.count()))
+        known = rows.select(F.explode(F.array_distinct("terms")).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+        vocabulary = np.union1d(labelled_terms, known.select("t").toArrow()["t"].to_numpy())
         counts = np.zeros((len(langs), n, len(vocabulary)))
-        if not counts.size:
-            return Model([], vocabulary, np.zeros((0, len(vocabulary))), np.zeros((0, 0, len(vocabulary))))
-        for s, lang, t in taken:
-            for sentence in sentences(t):
-                ids = np.array(sorted({term_id(w) for w in terms(sentence)}), dtype=np.int64)
-                at = np.minimum(np.searchsorted(vocabulary, ids), len(vocabulary) - 1)
-                counts[langs.index(lang), subjects.index(s), at[vocabulary[at] == ids]] += 1
+        for i, k, ids in used_in:
+            counts[i, k, np.searchsorted(vocabulary, ids)] += 1
         total = counts.sum(1)
         speaks = scaled(total)
         speaks = speaks / np.maximum(speaks.sum(0), 1e-12)

@@ -27,6 +27,19 @@ def test_mixtures_of_sentences(spark):
     assert len(got & want) >= 0.97 * len(want) and len(got - want) <= 0.03 * len(want)
 
 
+def test_few_texts_of_a_language_keep_their_subjects(spark):
+    rng = random.Random(5)
+    german = {"sea": "hafen welle matrose anker ebbe kutter".split(), "art": "leinwand pinsel galerie bildhauer porträt palette".split(), "law": "richter urteil gesetz anwalt berufung klage".split()}
+    said = lambda w: "Danach kamen {} und {} zusammen.".format(*rng.sample(w, 2))
+    examples = [(s, lang, " ".join(make(w[s]) for _ in range(4))) for lang, w, make in (("en", NOUNS, lambda w: sentence(rng, w)), ("de", german, said)) for s in w for _ in range(12)]
+    few = [(i, " ".join(said(w) for _ in range(4))) for i, w in enumerate(german.values())]
+    many = [(100 + i, " ".join(sentence(rng, rng.choice(list(NOUNS.values()))) for _ in range(4))) for i in range(300)]
+    ex = spark.createDataFrame(examples, "subject string, lang string, text string")
+    for docs in (few, few + many):
+        got = set(map(tuple, Subjects().found(spark.createDataFrame(docs, "doc_id long, text string"), ex).where("doc_id < 100").collect()))
+        assert got == set(enumerate(german))
+
+
 def test_sentences_and_terms():
     text = "Dr. X came, e.g. at 3.5 p.m. <b>Really?</b> &quot;Yes!&quot; she said. 1. First item\n河流很长。山也高！"
     assert len(sentences(text)) >= 4 and sentences(" 1. 2 ...") == []
