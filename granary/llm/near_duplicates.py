@@ -1,28 +1,31 @@
 """Groups and pairs of texts that share most of their word sequences.
 
-Multi-index Hamming join. A text's set of hashed word n-grams becomes a signature of b = 4 bits of each of its min-wise
-symbols; the Hamming distance of two signatures is the number of differing symbols. The symbols are split into chunks, and
-every way to ignore the allowed errors of a chunk is enumerated as a lookup key (of the whole 32-bit symbols), so that by
-the pigeonhole all pairs that differ in fewer than chunks * (errors + 1) symbols meet under a key. Pairs that meet pass if
-their signatures' distance is at most `most_differing`, and are then checked exactly on their n-grams.
+Multi-index Hamming join. A text's set of hashed word n-grams becomes a signature of min-wise symbols of b = 15 bits each;
+the Hamming distance of two signatures is the number of differing symbols. The symbols are split into chunks, and every way
+to ignore the allowed errors of a chunk is enumerated as a lookup key over the remaining b-bit symbols, so by the pigeonhole
+all pairs within the layout's distance meet under a key (signatures.Layout). Pairs that meet are tested on their
+signatures with that same distance, so what passes is exactly the set of pairs within it, and then exactly on their n-grams.
 
-With the defaults (14 chunks of 4 symbols, 1 error each) all pairs that differ in fewer than 28 of 56 symbols meet. By
-chance a pair of likeness 0.6 shares no key with probability 0.525 ** 14 = 1.2e-4, one of 0.7 with 2e-7 and one of 0.8 with
-3e-11; the distance allowed lies 4.5 standard deviations above that of a pair at the threshold (3e-6).
+The layout follows from the threshold (signatures.layout_for): 8 chunks of 6 symbols, 3 errors each, for a likeness of 0.6,
+which holds pairs that differ in up to 31 of 48 symbols; 8 chunks of 4, 1 error each, for 0.8. A pair of just the threshold's
+likeness lies beyond the distance with a chance of 1.7e-4 (0.6) or 1.4e-4 (0.8); 0.05 above it with 8e-6 or 2e-6.
 
 Texts with the same n-grams form a class, of which only the representative (the least id) is compared, so a text copied
-into a third of all rows is one row of the join. Keys that many classes share are joined block by block
-(runtime.pairs_within_key). No pair, bucket or class is capped.
-
-Defined cases: rows with a null id and texts with fewer words than an n-gram are in no pair and no group; an id delivered
-again counts once, by its first delivery with a text; empty tables give empty results; other columns are ignored.
+into a third of all rows is one row of the join. Only (key, class) rows are shuffled; a task reads its keys in order and
+pairs the classes of one key. A key of more than block_rows classes is put aside there and joined block by block
+(meetings.met_pairs); a class has many keys, so even a key that all classes share is a small part of the rows. No
+pair, bucket or class is capped.
+
+Defined cases: a null id is in no pair and no group; texts with fewer words than an n-gram have no n-grams and so are in no
+pair, but groups puts those of equal words into one class; texts without any word stand alone; an id delivered again counts
+once, by its first delivery with a text; empty tables give empty results; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,59 +34,70 @@ from ..functions.text import joined_text, words
 from ..operators.deliveries import first_delivery
 from ..runtime import checkpointed, pairs_within_key
 from .components import connected_components
-from .signatures import differing, flat, gram_hashes, min_hashes, multi_index_keys, similarity, sketch
+from .meetings import met_pairs
+from .signatures import Layout, columns, differing, flat, gram_hashes, layout_for, min_hashes, multi_index_keys, packed, similarity
 
 
 @dataclass(frozen=True)
 class NearDuplicates:
-    """n words in a sequence, the least likeness, and the layout of the signature index."""
+    """n words in a sequence, and the least likeness; bits of a symbol, and the chance that a pair just at the threshold
+    lies beyond the signature distance."""
 
     n: int = 5
     threshold: float = 0.8
-    chunks: int = 14
-    width: int = 4
-    errors: int = 1
+    bits: int = 15
+    miss: float = 2e-4
+    block_rows: int = 512
 
     @property
-    def most_differing(self) -> int:
-        """The distance within which a pair at the threshold lies but for 4.5 standard deviations of chance."""
-        n, p = self.chunks * self.width, (1 - self.threshold) * 15 / 16
-        return min(n, math.ceil(n * p + 4.5 * math.sqrt(n * p * (1 - p))))
+    def layout(self) -> Layout:
+        return layout_for(self.threshold, bits=self.bits, miss=self.miss)
 
     def classes(self, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Of docs (doc_id, doc_text array): members (doc_id, rid) and classes (rid, grams), both checkpointed."""
+        """Of docs (doc_id, doc_text array): members (doc_id, rid, long) and classes (rid, grams), both checkpointed. Texts
+        shorter than an n-gram (long is false) form classes of equal words, which have no n-grams."""
         texts = first_delivery(docs, "doc_id", joined_text("doc_text"), {})
-        grams = texts.select("doc_id", gram_hashes(words("text"), self.n).alias("grams")).where(F.size("grams") > 0)
-        sets = checkpointed(grams.withColumn("h", F.struct(F.xxhash64(s := F.sort_array("grams")).alias("a"), F.xxhash64(F.lit(self.n), s, F.size("grams")).alias("b"))))
+        told = texts.select("doc_id", F.explode(F.array(words("text"))).alias("w")).where(F.size("w") > 0)
+        grams = told.select("doc_id", gram_hashes(F.col("w"), self.n).alias("grams"), F.when(F.size("w") < self.n, F.col("w")).alias("w"))
+        own = F.when(F.size("grams") > 0, F.xxhash64(F.sort_array("grams"))).otherwise(F.xxhash64("w", F.lit("short")))
+        more = F.when(F.size("grams") > 0, F.xxhash64(F.lit(self.n), F.sort_array("grams"), F.size("grams"))).otherwise(F.xxhash64(F.lit("short"), "w"))
+        sets = checkpointed(grams.withColumn("h", F.struct(own.alias("a"), more.alias("b"))).drop("w"))
         reps = sets.groupBy("h").agg(F.min("doc_id").alias("doc_id"))
         numbered = checkpointed(reps.join(sets.drop("h"), "doc_id").select("h", "grams")).withColumn("rid", F.monotonically_increasing_id())
-        members = checkpointed(sets.select("doc_id", "h").join(numbered.select("h", "rid"), "h").select("doc_id", "rid"))
-        return members, numbered.select("rid", "grams")
+        members = checkpointed(sets.select("doc_id", "h", (F.size("grams") > 0).alias("long")).join(numbered.select("h", "rid"), "h").select("doc_id", "rid", "long"))
+        return members, numbered.where(F.size("grams") > 0).select("rid", "grams")
 
-    def keys(self, classes: DataFrame) -> DataFrame:
-        """(key, rid, n, s0, s1, ...): a row for each lookup key of each class; n is the size of its set, s0... its signature."""
-        layout = (self.chunks, self.width, self.errors)
-        words = [f"s{i}" for i in range(-(-self.chunks * self.width // 16))]
+    def signed(self, classes: DataFrame) -> DataFrame:
+        """(rid, n, s0, s1, ..., keys): of each class the size of its set, its signature, and its lookup keys."""
+        layout = self.layout
+        names = columns(layout)
 
         def run(batches):
             for b in batches:
                 if b.num_rows:
-                    symbols = min_hashes(*flat(b.column("grams")), layout[0] * layout[1])
-                    keys = multi_index_keys(symbols, *layout)
+                    symbols = min_hashes(*flat(b.column("grams")), layout.symbols) & np.uint64(2**layout.bits - 1)
+                    keys = multi_index_keys(symbols, layout)
                     listed = pa.ListArray.from_arrays(pa.array(range(0, keys.size + 1, keys.shape[1]), pa.int32()), pa.array(keys.ravel()))
-                    yield pa.RecordBatch.from_arrays([b.column("rid"), b.column("n"), *map(pa.array, sketch(symbols)), listed], ["rid", "n", *words, "keys"])
+                    yield pa.RecordBatch.from_arrays([b.column("rid"), b.column("n"), *map(pa.array, packed(symbols, layout.bits)), listed], ["rid", "n", *names, "keys"])
 
-        signed = classes.select("rid", F.size("grams").alias("n"), "grams").mapInArrow(run, ", ".join(["rid long, n int", *[f"{w} long" for w in words], "keys array<long>"]))
-        return signed.select(F.explode("keys").alias("key"), "rid", "n", *words)
+        return classes.select("rid", F.size("grams").alias("n"), "grams").mapInArrow(run, ", ".join(["rid long, n int", *[f"{w} long" for w in names], "keys array<long>"]))
 
     def links(self, classes: DataFrame) -> DataFrame:
         """(a, b, likeness) of each two classes, a < b, that are at least threshold alike."""
-        t = F.lit(self.threshold)
-        keys = self.keys(classes)
-        words = [c for c in keys.columns if c not in ("key", "rid", "n")]
-        sized = F.least("n_a", "n_b") / F.greatest("n_a", "n_b") >= t
-        close = differing([(F.col(f"{w}_a"), F.col(f"{w}_b")) for w in words]) <= self.most_differing
-        met = pairs_within_key(keys, "key", "rid", ["n", *words], on=sized & close).select(F.col("rid_a").alias("a"), F.col("rid_b").alias("b")).distinct()
+        t, layout = F.lit(self.threshold), self.layout
+        signed = checkpointed(self.signed(classes))
+        names = [c for c in signed.columns if c not in ("rid", "n", "keys")]
+        keys = signed.select(F.explode("keys").alias("key"), "rid")
+
+        def near(pairs: DataFrame) -> DataFrame:
+            """Those within the layout's distance or without a second part."""
+            side = lambda s: signed.select(F.col("rid").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", *names)])
+            sized = F.least("n_a", "n_b") / F.greatest("n_a", "n_b") >= t
+            far = differing([(F.col(f"{w}_a"), F.col(f"{w}_b")) for w in names], layout.bits)
+            joined = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left").select("a", "b", sized.alias("sized"), far.alias("far"))
+            return joined.where(F.col("b").isNull() | (F.col("sized") & (F.col("far") <= layout.distance))).select("a", "b")
+
+        met = met_pairs(keys, self.block_rows, near)
         side = lambda s: classes.select(F.col("rid").alias(s), F.col("grams").alias(f"grams_{s}"))
         checked = met.join(side("a"), "a").join(side("b"), "b").withColumn("likeness", similarity(F.col("grams_a"), F.col("grams_b")))
         return checked.where(F.col("likeness") >= t).select("a", "b", "likeness")
@@ -91,20 +105,25 @@ class NearDuplicates:
     def pairs(self, docs: DataFrame) -> DataFrame:
         """(doc_id_a, doc_id_b), a < b, of every two docs that are at least threshold alike, copies included. Its size
         is that of the answer; where classes of copies are large, use groups, or links with the members."""
-        members, classes = self.classes(docs)
+        every, classes = self.classes(docs)
+        members = every.where("long").drop("long")
         within = pairs_within_key(members, "rid", "doc_id", []).select("doc_id_a", "doc_id_b")
         side = lambda s: members.select(F.col("rid").alias(s), F.col("doc_id").alias(f"doc_{s}"))
         across = self.links(classes).join(side("a"), "a").join(side("b"), "b").select(F.least("doc_a", "doc_b").alias("doc_id_a"), F.greatest("doc_a", "doc_b").alias("doc_id_b"))
         return within.unionByName(across)
 
     def groups(self, docs: DataFrame) -> DataFrame:
-        """(doc_id, group_id, copies, links): for each doc that has a partner, the least doc_id of its group, the docs
-        with the same set of n-grams (itself included), and the other sets linked with its own."""
+        """(doc_id, group_id, copies, links) of each doc: the least doc_id of its group (its own if it has no partner), the
+        docs of its class (itself included), and the other classes linked with its own."""
         members, classes = self.classes(docs)
         links = checkpointed(self.links(classes).select("a", "b"))
         roots = connected_components(links, "a", "b").select(F.col("node").alias("rid"), "root")
         degree = links.select(F.col("a").alias("rid")).union(links.select("b")).groupBy("rid").agg(F.count(F.lit(1)).alias("links"))
         per_class = members.groupBy("rid").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least")).join(roots, "rid", "left").join(degree, "rid", "left")
-        per_class = per_class.where((F.col("copies") > 1) | F.col("root").isNotNull()).withColumn("root", F.coalesce("root", "rid"))
+        per_class = per_class.withColumn("root", F.coalesce("root", "rid"))
         named = per_class.join(per_class.groupBy("root").agg(F.min("least").alias("group_id")), "root")
-        return members.join(named.select("rid", "group_id", "copies", F.coalesce("links", F.lit(0)).alias("links")), "rid").select("doc_id", "group_id", "copies", "links")
+        grouped = members.join(named.select("rid", "group_id", "copies", "links"), "rid").select(F.col("doc_id").alias("_id"), "group_id", "copies", "links")
+        every = docs.where(F.col("doc_id").isNotNull()).select("doc_id").distinct()
+        joined = every.join(grouped, F.col("doc_id") == F.col("_id"), "left")
+        one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+        return joined.select("doc_id", F.coalesce("group_id", "doc_id").alias("group_id"), F.coalesce("copies", one).alias("copies"), F.coalesce("links", none).alias("links"))

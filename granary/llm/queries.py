@@ -54,11 +54,14 @@ alike AS (SELECT a, b, c / (x.n + y.n - c) AS likeness FROM shared JOIN sizes x
 SQL_P1 = f"WITH {sql_alike(3, 0.6)} SELECT a AS doc_id_a, b AS doc_id_b FROM alike"
 
 SQL_P1_GROUPS = f"""WITH RECURSIVE {sql_alike(5, 0.8)},
-both_ways AS (SELECT a, b, likeness FROM alike UNION ALL SELECT b, a, likeness FROM alike),
+short AS (SELECT doc_id, ws FROM worded WHERE len(ws) BETWEEN 1 AND 4),
+linked AS (FROM alike UNION ALL SELECT a.doc_id, b.doc_id, 1.0 FROM short a JOIN short b ON a.ws = b.ws AND a.doc_id < b.doc_id),
+both_ways AS (SELECT a, b, likeness FROM linked UNION ALL SELECT b, a, likeness FROM linked),
 reach AS (SELECT DISTINCT a, a AS b FROM both_ways UNION SELECT r.a, w.b FROM reach r JOIN both_ways w ON w.a = r.b),
 roots AS (SELECT a AS doc_id, min(b) AS group_id FROM reach GROUP BY 1),
 same AS (SELECT a, count(*) FILTER (likeness = 1) + 1 AS copies, least(a, coalesce(min(b) FILTER (likeness = 1), a)) AS class FROM both_ways GROUP BY 1)
-SELECT doc_id, group_id, copies, (SELECT count(DISTINCT c.class) FROM both_ways w JOIN same c ON c.a = w.b WHERE w.a = doc_id AND w.likeness < 1) AS links FROM roots JOIN same ON a = doc_id"""
+SELECT d.doc_id, coalesce(group_id, d.doc_id) AS group_id, coalesce(copies, 1) AS copies, (SELECT count(DISTINCT c.class) FROM both_ways w JOIN same c ON c.a = w.b WHERE w.a = d.doc_id AND w.likeness < 1) AS links
+FROM doc_texts d LEFT JOIN roots USING (doc_id) LEFT JOIN same ON a = d.doc_id"""
 
 
 @query(SQL_P1)
@@ -136,7 +139,7 @@ j AS (SELECT query_id FROM qrels, w WHERE query_id IS NOT NULL GROUP BY 1 HAVING
 """
 SQL_P5 = f"WITH w AS (SELECT {SQL_RECORDS} SELECT least(a, b) AS query_id_a, greatest(a, b) AS query_id_b FROM f UNION ALL SELECT query_id, query_id FROM j"
 SQL_P5_COUNTS = f"""WITH w AS (SELECT {SQL_RECORDS},
-e AS (SELECT r.*, EXISTS (SELECT 1 FROM r t WHERE t.split = 'train' AND t.text = r.text AND length(r.text) > 2) AS same, query_id IN (SELECT b FROM f) AS alike FROM r WHERE split <> 'train')
+e AS (SELECT r.*, EXISTS (SELECT 1 FROM r t WHERE t.split = 'train' AND t.text = r.text AND r.text <> '') AS same, query_id IN (SELECT b FROM f) AS alike FROM r WHERE split <> 'train')
 SELECT split, source, count(*) AS queries, count(*) FILTER (same) AS exact, count(*) FILTER (alike AND NOT same) AS near, count(*) FILTER (query_id IN (FROM j)) AS judged_under_both FROM e GROUP BY 1, 2"""
 
 SQL_P5_JUDGED = f"WITH w AS (SELECT {SQL_RECORDS} SELECT split, source, count(*) AS judged_under_both FROM j LEFT JOIN s USING (query_id) LEFT JOIN o USING (query_id) GROUP BY 1, 2"
@@ -154,6 +157,14 @@ def p5_counts(spark: SparkSession, folder: str) -> DataFrame:
     return SplitOverlaps().counts(table(spark, folder, "queries"), table(spark, folder, "qrels"))
 
 
+SQL_P5_EXACT = f"""WITH w AS (SELECT {SQL_RECORDS} SELECT split, source, count(*) AS exact FROM r WHERE split <> 'train' AND text <> '' AND text IN (SELECT text FROM r WHERE split = 'train') GROUP BY 1, 2"""
+
+
+@query(SQL_P5_EXACT)
+def p5_exact(spark: SparkSession, folder: str) -> DataFrame:
+    return SplitOverlaps().exact_counts(table(spark, folder, "queries"))
+
+
 @query(SQL_P5_JUDGED)
 def p5_judged(spark: SparkSession, folder: str) -> DataFrame:
     return SplitOverlaps().judged_counts(table(spark, folder, "queries"), table(spark, folder, "qrels"))

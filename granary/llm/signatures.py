@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +12,56 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+@dataclass(frozen=True)
+class Layout:
+    """A signature of chunks * width symbols of `bits` bits each, and how it is split for lookup.
+
+    `distance` is the largest number of differing symbols that the pigeonhole guarantees to find: of two signatures that
+    differ in at most that many, some chunk has at most `errors` of them."""
+
+    chunks: int
+    width: int
+    errors: int
+    bits: int = 15
+
+    def __post_init__(self):
+        if not 2 <= self.bits <= 31 or self.chunks < 1 or not 0 <= self.errors < self.width:
+            raise ValueError(f"no such layout: {self}")
+
+    @property
+    def symbols(self) -> int:
+        return self.chunks * self.width
+
+    @property
+    def distance(self) -> int:
+        return self.chunks * (self.errors + 1) - 1
+
+    @property
+    def keys(self) -> int:
+        return self.chunks * comb(self.width, self.errors)
+
+    def beyond(self, likeness: float) -> float:
+        """The chance that two sets of that likeness differ in more symbols than `distance`."""
+        n, p = self.symbols, (1 - likeness) * (1 - 2.0**-self.bits)
+        return sum(comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(self.distance + 1, n + 1))
+
+
+def layout_for(threshold: float, kept: int = 3, bits: int = 15, miss: float = 2e-4) -> Layout:
+    """The layout with the fewest keys, of `kept` symbols each, whose distance holds pairs of the threshold's likeness but
+    for a chance of `miss`; more alike pairs are missed less."""
+    best = None
+    for errors in range(7):
+        width = kept + errors
+        if (errors + 1) / width <= (1 - threshold) * 1.1:  # the distance would lie within the expected differences
+            continue
+        found = next((x for x in (Layout(c, width, errors, bits) for c in range(1, 65)) if x.beyond(threshold) <= miss), None)
+        if found and (best is None or found.keys < best.keys):
+            best = found
+    if best is None:
+        raise ValueError(f"no layout for a likeness of {threshold} with {kept} symbols a key")
+    return best
+
+
 def _multipliers(n: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, 2**63, size=n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -42,35 +94,42 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return column.values.to_numpy(zero_copy_only=False).view(np.uint64)[offsets[0] : offsets[-1]], offsets[:-1] - offsets[0]
 
 
-def multi_index_keys(symbols: np.ndarray, chunks: int, width: int, errors: int) -> np.ndarray:
-    """The lookup keys of each signature: of each chunk of `width` symbols, one for every way to ignore `errors` of
-    them. Two signatures that differ in fewer than chunks * (errors + 1) symbols have, by the pigeonhole, a chunk in
-    which at most `errors` differ, and so share a key."""
+def multi_index_keys(symbols: np.ndarray, layout: Layout) -> np.ndarray:
+    """The lookup keys of each signature: of each chunk, one for every way to ignore `errors` of its symbols. Two signatures
+    that differ in at most layout.distance symbols share a key. symbols: those that are compared, of layout.bits bits."""
     keys = []
-    for c in range(chunks):
-        for j, kept in enumerate(combinations(range(c * width, (c + 1) * width), width - errors)):
+    for c in range(layout.chunks):
+        for j, kept in enumerate(combinations(range(c * layout.width, (c + 1) * layout.width), layout.width - layout.errors)):
             keys.append(fold([symbols[:, i] for i in kept], c * 1000 + j))
     return np.stack(keys, axis=1)
 
 
-def sketch(symbols: np.ndarray) -> list[np.ndarray]:
-    """The signature: the last 4 bits of each symbol, 16 symbols to a column of 64 bits."""
+def packed(symbols: np.ndarray, bits: int) -> list[np.ndarray]:
+    """The signature as columns of 64 bits, the highest of which is never set."""
+    per = 63 // bits
     out = []
-    for i in range(0, symbols.shape[1], 16):
+    for i in range(0, symbols.shape[1], per):
         word = np.zeros(len(symbols), dtype=np.uint64)
-        for j in range(i, min(i + 16, symbols.shape[1])):
-            word |= (symbols[:, j] & np.uint64(15)) << np.uint64(4 * (j - i))
+        for j in range(i, min(i + per, symbols.shape[1])):
+            word |= symbols[:, j] << np.uint64(bits * (j - i))
         out.append(word.view(np.int64))
     return out
 
 
-def differing(columns: list[tuple[Column, Column]]) -> Column:
-    """In how many symbols two signatures differ."""
+def columns(layout: Layout) -> list[str]:
+    """Names for the columns of a packed signature."""
+    return [f"s{i}" for i in range(-(-layout.symbols // (63 // layout.bits)))]
+
+
+def differing(pairs: list[tuple[Column, Column]], bits: int) -> Column:
+    """In how many symbols two packed signatures differ."""
+    top = sum(1 << (bits * i + bits - 1) for i in range(63 // bits))
+    rest = sum(1 << (bits * i) for i in range(63 // bits)) * (2 ** (bits - 1) - 1)
     total = F.lit(0)
-    for a, b in columns:
+    for a, b in pairs:
         x = a.bitwiseXOR(b)
-        any_bit = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseOR(F.shiftrightunsigned(x, 3))
-        total = total + F.bit_count(any_bit.bitwiseAND(F.lit(0x1111111111111111)))
+        carried = x.bitwiseAND(F.lit(rest)) + F.lit(rest)  # a symbol's highest bit is set if any of its lower ones was
+        total = total + F.bit_count(carried.bitwiseOR(x).bitwiseAND(F.lit(top)))
     return total
 
 

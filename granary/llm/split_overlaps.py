@@ -1,20 +1,28 @@
 """Records of evaluation splits that also occur, exactly or nearly, in the training split.
 
-Texts are canonicalised (lower case, runs of other characters than letters and digits one space, trimmed) and hashed; the
-hashes of evaluation records are joined with those of training records. A canonical text has one hash of all of it, which
-equal texts share, and `bands` hashes of `rows` min-wise symbols of its character n-grams each, of which nearly equal texts
-share one with probability 1 - (1 - s ** rows) ** bands: 0.99985 at a likeness s of 0.75, more above. What meets is checked
-exactly. Equal texts are one class on each side of the join; keys of many classes are joined block by block.
-
-Defined cases: splits compare trimmed and in lower case, null ones don't count; blank texts and texts shorter than an n-gram
-match nothing; a record delivered again is one record (its first text, split and source); null ids are left out; empty tables
-give empty results; other columns are ignored.
+Two operators over canonical texts (lower case, runs of other characters than letters and digits one space, trimmed):
+
+* ExactOverlaps, the method named: every record that isn't blank is hashed; evaluation hashes are joined with training hashes
+  and the matches counted by split and source. Both sides are counted per hash before they are joined, so a text that a third
+  of all records have is one row a split and source.
+* NearOverlaps, for texts that aren't equal, which a hash of the record can't find: a canonical text has `bands` hashes of
+  `rows` min-wise symbols of its character n-grams each; the evaluation hashes are joined with the training hashes, and what
+  meets is checked exactly. Texts of likeness s share a hash with probability 1 - (1 - s ** rows) ** bands: 0.99985 at 0.75,
+  more above. (The index of near_duplicates was tried in its place: over questions, which are alike throughout, its shorter
+  keys made 20 to 70 times as many pairs.)
+
+SplitOverlaps puts both together with the ids that have judgments under both.
+
+Defined cases: splits compare trimmed and in lower case, null ones don't count; texts without a letter or digit match nothing;
+texts shorter than an n-gram have exact matches only; a record delivered again is one record (its first text, split and
+source); null ids are left out; empty tables give empty results; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,83 +30,156 @@ from pyspark.sql import functions as F
 from ..functions.text import canonical, label, strip
 from ..operators.deliveries import first_delivery
 from ..runtime import checkpointed, pairs_across, widened
+from .meetings import met_pairs
 from .signatures import flat, fold, gram_hashes, min_hashes, similarity
 
 
 @dataclass(frozen=True)
-class SplitOverlaps:
-    threshold: float = 0.75
-    n: int = 3
-    rows: int = 6
-    bands: int = 45
+class Splits:
     train: str = "train"
     evaluation: tuple[str, ...] = ("dev", "test")
 
     def records(self, queries: DataFrame) -> DataFrame:
-        """(query_id, split, source, text): each record of a known split once, its text canonical."""
+        """(query_id, split, source, text, h): each record of a known split once, its text canonical, with its hash of 128 bits
+        (null without a letter or digit); checkpointed."""
         once = first_delivery(queries, "query_id", strip("query_text"), {"split": label("split"), "source": label("source")})
-        return once.where(F.col("split").isin(self.train, *self.evaluation)).select("query_id", "split", "source", canonical("text").alias("text"))
-
-    def classes(self, records: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """members (query_id, split, source, rid) and classes (rid, grams, trains, evaluates) of equal canonical texts."""
-        grams = gram_hashes(F.split("text", ""), self.n)
-        hashed = checkpointed(records.withColumn("grams", grams).where(F.size("grams") > 0).withColumn("h", F.struct(F.xxhash64("text").alias("a"), F.xxhash64(F.lit(5), F.col("text")).alias("b"))).drop("text"))
-        is_train = F.col("split") == self.train
-        sides = hashed.groupBy("h").agg(F.max(is_train).alias("trains"), F.max(~is_train).alias("evaluates"), F.min("query_id").alias("query_id"))
-        classes = checkpointed(sides.join(hashed.select("query_id", "grams"), "query_id")).withColumn("rid", F.monotonically_increasing_id())
-        members = checkpointed(hashed.drop("grams").join(classes.select("h", "rid"), "h").drop("h"))
-        return members, classes.select("rid", "grams", "trains", "evaluates")
-
-    def keys(self, classes: DataFrame) -> DataFrame:
-        """(rid, key) for each band of each class."""
+        known = once.where(F.col("split").isin(self.train, *self.evaluation)).select("query_id", "split", "source", F.explode(F.array(canonical("text"))).alias("text"))
+        h = F.struct(F.xxhash64("text").alias("a"), F.xxhash64(F.lit(5), F.col("text")).alias("b"))
+        return checkpointed(known.withColumn("h", F.when(F.col("text") != "", h)))
+
+    def sides(self, records: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The evaluation and the training records that have a hash."""
+        known = records.where(F.col("h").isNotNull())
+        return known.where(F.col("split") != self.train), known.where(F.col("split") == self.train)
+
+
+@dataclass(frozen=True)
+class ExactOverlaps:
+    splits: Splits = Splits()
+
+    def matches(self, records: DataFrame) -> DataFrame:
+        """(h, split, source, queries, trained): of each hash that both sides have, the evaluation records by split and source,
+        and the training records."""
+        evaluated, trained = self.splits.sides(records)
+        left = evaluated.groupBy("h", "split", "source").agg(F.count(F.lit(1)).alias("queries"))
+        right = trained.groupBy("h").agg(F.count(F.lit(1)).alias("trained"))
+        return left.join(right, "h")
+
+    def counts(self, records: DataFrame) -> DataFrame:
+        """(split, source, exact): the evaluation records that have an equal training record."""
+        return self.matches(records).groupBy("split", "source").agg(F.sum("queries").alias("exact"))
+
+    def pairs(self, records: DataFrame) -> DataFrame:
+        """(query_id_a, query_id_b): an evaluation record and an equal training record."""
+        evaluated, trained = self.splits.sides(records)
+        return pairs_across(evaluated, trained, "h", "query_id")
+
+
+def across(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of coded classes (4 * number + 1 if it trains + 2 if it evaluates): one of each side."""
+    return ((a & 1) & (b >> 1 & 1) | (a >> 1 & 1) & (b & 1)).astype(bool)
+
+
+@dataclass(frozen=True)
+class NearOverlaps:
+    threshold: float = 0.75
+    n: int = 3
+    rows: int = 6
+    bands: int = 45
+    block_rows: int = 512
+    splits: Splits = field(default_factory=Splits)
+
+    def classes(self, records: DataFrame) -> DataFrame:
+        """(h, rid, grams) of each distinct canonical text with an n-gram; rid is coded as in across. Checkpointed."""
+        is_train = F.col("split") == self.splits.train
+        known = records.where(F.col("h").isNotNull() & (F.char_length("text") >= self.n))
+        each = known.groupBy("h").agg(F.max(is_train).alias("t"), F.max(~is_train).alias("e"), F.first("text").alias("text"))
+        coded = F.monotonically_increasing_id() * 4 + F.col("t").cast("long") + 2 * F.col("e").cast("long")
+        return checkpointed(each.select("h", coded.alias("rid"), gram_hashes(F.split("text", ""), self.n).alias("grams")))
+
+    def links(self, classes: DataFrame) -> DataFrame:
+        """(a, b): two classes, one of each side, that are at least threshold alike."""
         rows, bands = self.rows, self.bands
 
         def run(batches):
             for b in batches:
                 if b.num_rows:
                     symbols = min_hashes(*flat(b.column("grams")), rows * bands)
-                    keys = [fold([symbols[:, j] for j in range(i * rows, (i + 1) * rows)], i) for i in range(bands)]
-                    for i, k in enumerate(keys):
-                        yield pa.RecordBatch.from_arrays([b.column("rid"), pa.array(k)], ["rid", "key"])
+                    keys = np.stack([fold([symbols[:, j] for j in range(i * rows, (i + 1) * rows)], i) for i in range(bands)], axis=1)
+                    listed = pa.ListArray.from_arrays(pa.array(range(0, keys.size + 1, bands), pa.int32()), pa.array(keys.ravel()))
+                    yield pa.RecordBatch.from_arrays([b.column("rid"), listed], ["rid", "keys"])
+
+        keys = widened(classes.select("rid", "grams")).mapInArrow(run, "rid long, keys array<long>").select(F.explode("keys").alias("key"), "rid")
+        met = met_pairs(keys, self.block_rows, lambda pairs: pairs, across)
+        code = lambda c, bit: F.col(c).bitwiseAND(F.lit(bit)) > 0
+        met = met.where(code("a", 1) & code("b", 2) | code("a", 2) & code("b", 1))
+        side = lambda s: classes.select(F.col("rid").alias(s), F.col("grams").alias(f"grams_{s}"))
+        alike = similarity(F.col("grams_a"), F.col("grams_b")) >= self.threshold
+        return met.join(side("a"), "a").join(side("b"), "b").where(alike).select("a", "b")
+
+    def _by_side(self, records: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """links as (e, t) by classes, an evaluating one and a training one; and the classes' records of both sides."""
+        classes = self.classes(records)
+        both = self.links(classes)
+        turned = both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).toDF("e", "t")
+        linked = turned.where(F.col("e").bitwiseAND(F.lit(2)) > 0).where(F.col("t").bitwiseAND(F.lit(1)) > 0)
+        evaluated, trained = self.splits.sides(records)
+        own = classes.select("h", "rid")
+        return linked, evaluated.join(own, "h"), trained.join(own, "h")
+
+    def pairs(self, records: DataFrame) -> DataFrame:
+        """(query_id_a, query_id_b): an evaluation record and a training record, alike but not equal."""
+        linked, evaluated, trained = self._by_side(records)
+        met = linked.join(evaluated.select(F.col("rid").alias("e"), F.col("query_id").alias("query_id_a")), "e")
+        return met.join(trained.select(F.col("rid").alias("t"), F.col("query_id").alias("query_id_b")), "t").select("query_id_a", "query_id_b")
+
+    def evaluated(self, records: DataFrame) -> DataFrame:
+        """(h): hashes of evaluation records that have an alike, not equal, training record."""
+        linked, evaluated, _ = self._by_side(records)
+        return evaluated.join(linked.select(F.col("e").alias("rid")).distinct(), "rid", "left_semi").select("h").distinct()
 
-        return widened(classes.select("rid", "grams")).mapInArrow(run, "rid long, key long")
 
-    def links(self, classes: DataFrame) -> DataFrame:
-        """(evaluated, trained, likeness): an evaluation class and a training class at least threshold alike, the same
-        one if it has both."""
-        side = lambda c: classes.where(c).select("rid", "grams")
-        met = pairs_across(self.keys(side("evaluates")), self.keys(side("trains")), "key", "rid").where("rid_a <> rid_b").distinct()
-        a, b = (side(c).select(F.col("rid").alias(f"rid_{s}"), F.col("grams").alias(f"grams_{s}")) for c, s in (("evaluates", "a"), ("trains", "b")))
-        near = met.join(a, "rid_a").join(b, "rid_b").withColumn("likeness", similarity(F.col("grams_a"), F.col("grams_b"))).where(F.col("likeness") >= self.threshold)
-        same = classes.where("evaluates and trains").select(F.col("rid").alias("rid_a"), F.col("rid").alias("rid_b"), F.lit(1.0).alias("likeness"))
-        return same.unionByName(near.select("rid_a", "rid_b", "likeness")).toDF("evaluated", "trained", "likeness")
+@dataclass(frozen=True)
+class SplitOverlaps:
+    near: NearOverlaps = NearOverlaps()
+
+    @property
+    def splits(self) -> Splits:
+        return self.near.splits
+
+    @property
+    def exact(self) -> ExactOverlaps:
+        return ExactOverlaps(self.splits)
 
     def pairs(self, queries: DataFrame) -> DataFrame:
-        """(query_id_a, query_id_b), a < b: one of the training split, one of an evaluation split, alike."""
-        members, classes = self.classes(self.records(queries))
-        is_train = F.col("split") == self.train
-        side = lambda c, as_: members.where(c).select(F.col("rid").alias(as_), F.col("query_id").alias(f"q_{as_}"))
-        met = self.links(classes).join(side(~is_train, "evaluated"), "evaluated").join(side(is_train, "trained"), "trained")
-        return met.select(F.least("q_evaluated", "q_trained").alias("query_id_a"), F.greatest("q_evaluated", "q_trained").alias("query_id_b"))
+        """(query_id_a, query_id_b), a < b: one of the training split, one of an evaluation split, at least threshold alike by
+        their n-grams. Texts without an n-gram are in no pair; counts has their exact matches."""
+        records = self.splits.records(queries)
+        equal = self.exact.pairs(records.where(F.char_length("text") >= self.near.n))
+        met = equal.unionByName(self.near.pairs(records))
+        return met.select(F.least("query_id_a", "query_id_b").alias("query_id_a"), F.greatest("query_id_a", "query_id_b").alias("query_id_b"))
 
     def judged_under_both(self, qrels: DataFrame) -> DataFrame:
         """(query_id): ids that have judgments under the training split and under an evaluation split."""
         split = label("split")
-        sides = qrels.where(F.col("query_id").isNotNull()).groupBy("query_id").agg(F.max(split == self.train).alias("t"), F.max(split.isin(*self.evaluation)).alias("e"))
+        sides = qrels.where(F.col("query_id").isNotNull()).groupBy("query_id").agg(F.max(split == self.splits.train).alias("t"), F.max(split.isin(*self.splits.evaluation)).alias("e"))
         return sides.where("t and e").select("query_id")
 
     def counts(self, queries: DataFrame, qrels: DataFrame) -> DataFrame:
         """(split, source, queries, exact, near, judged_under_both) of the evaluation splits: how many records there are,
         have an equal or else a nearly equal training record, and have judgments under both. Ids judged under both that are
         no evaluation record are only in judged_counts."""
-        records = self.records(queries)
-        members, classes = self.classes(records)
-        best = self.links(classes).groupBy(F.col("evaluated").alias("rid")).agg(F.max((F.col("evaluated") == F.col("trained")).cast("int")).alias("same"))
-        found = members.join(best, "rid").select("query_id", "same")
-        each = records.where(F.col("split") != self.train).select("query_id", "split", "source").join(found, "query_id", "left")
-        each = each.join(self.judged_under_both(qrels).withColumn("judged", F.lit(1)), "query_id", "left")
+        records = self.splits.records(queries)
+        equal = self.exact.matches(records).select("h").distinct().withColumn("same", F.lit(1))
+        near = self.near.evaluated(records).withColumn("alike", F.lit(1))
+        each = records.where(F.col("split") != self.splits.train).select("query_id", "split", "source", "h")
+        each = each.join(equal, "h", "left").join(near, "h", "left").join(self.judged_under_both(qrels).withColumn("judged", F.lit(1)), "query_id", "left")
         total = lambda c, name: F.count_if(c).alias(name)
-        return each.groupBy("split", "source").agg(F.count(F.lit(1)).alias("queries"), total(F.col("same") == 1, "exact"), total(F.col("same") == 0, "near"), total(F.col("judged") == 1, "judged_under_both"))
+        return each.groupBy("split", "source").agg(F.count(F.lit(1)).alias("queries"), total(F.col("same") == 1, "exact"), total(F.col("same").isNull() & (F.col("alike") == 1), "near"), total(F.col("judged") == 1, "judged_under_both"))
+
+    def exact_counts(self, queries: DataFrame) -> DataFrame:
+        """(split, source, exact), by the hash join alone."""
+        return self.exact.counts(self.splits.records(queries))
 
     def judged_counts(self, queries: DataFrame, qrels: DataFrame) -> DataFrame:
         """(split, source, judged_under_both): all ids that have judgments under both, by their own split (training too) and

@@ -1,8 +1,15 @@
 import random
 import re
 
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
 from granary.llm.components import connected_components
+from granary.llm.meetings import meeting
 from granary.llm.near_duplicates import NearDuplicates
+from granary.llm.signatures import Layout, layout_for, multi_index_keys, packed
 from granary.runtime import pairs_across, pairs_within_key
 
 SCHEMA = "doc_id string, doc_text array<string>, loaded_at int, rid string, grams string"  # clashing names must not matter
@@ -67,8 +74,79 @@ def test_groups(spark):
             x = parent[x]
         return x
 
-    assert {d: r.group_id for d, r in got.items()} == {d: root(d) for d in parent}
+    alone = {r[0] for r in rows if r[0] is not None} - set(parent)
+    assert {d: r.group_id for d, r in got.items()} == {d: root(d) for d in parent} | {d: d for d in alone}
     assert got["copy0"].copies == 60 and got["copy0"].links == 0
+    assert all((got[d].copies, got[d].links) == (1, 0) for d in alone) and {"short", "empty", "null", "blank"} <= alone
+
+
+def test_short_texts_form_classes_of_equal_words(spark):
+    texts = {"a": "hello world", "b": "Hello, world!", "c": "world hello", "d": "!!!", "e": "?", "f": "hello world one two three"}
+    df = spark.createDataFrame([(k, [v], 1, "x", "y") for k, v in texts.items()], SCHEMA)
+    got = {r.doc_id: (r.group_id, r.copies, r.links) for r in NearDuplicates().groups(df).collect()}
+    assert got == {"a": ("a", 2, 0), "b": ("a", 2, 0), **{k: (k, 1, 0) for k in "cdef"}}
+    assert NearDuplicates().pairs(df).collect() == []
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.sampled_from([0.5, 0.6, 0.75, 0.8, 0.9, 1.0]), st.sampled_from([4, 8, 15, 31]), st.randoms(use_true_random=False), st.floats(0, 1))
+def test_every_pair_within_the_distance_shares_a_key(threshold, bits, rng, share):
+    """At every distance up to the bound, wherever the differences lie; the last one is the bound itself."""
+    try:
+        layout = layout_for(threshold, bits=bits)
+    except ValueError:
+        return
+    assert layout.beyond(threshold) <= 2e-4 and layout.distance < layout.chunks * (layout.errors + 1)
+    one = np.array([[rng.randrange(2**bits) for _ in range(layout.symbols)]], dtype=np.uint64)
+    for differ in {int(share * layout.distance), layout.distance}:
+        other = one.copy()
+        for i in rng.sample(range(layout.symbols), differ):
+            other[0, i] = (int(other[0, i]) + rng.randrange(1, 2**bits)) % 2**bits
+        assert set(multi_index_keys(one, layout)[0].tolist()) & set(multi_index_keys(other, layout)[0].tolist())
+
+
+def test_differences_can_be_one_too_many():
+    layout = Layout(2, 3, 1, 16)
+    one, other = np.zeros((1, 6), np.uint64), np.array([[1, 1, 0, 1, 1, 0]], dtype=np.uint64)
+    assert not set(multi_index_keys(one, layout)[0].tolist()) & set(multi_index_keys(other, layout)[0].tolist()) and layout.distance == 3
+    for wrong in ((0, 3, 1, 16), (2, 3, 3, 16), (2, 3, 1, 32)):
+        with pytest.raises(ValueError):
+            Layout(*wrong)
+    with pytest.raises(ValueError):
+        layout_for(0.01)
+
+
+@pytest.mark.parametrize("bits", [2, 4, 15, 16, 31])
+def test_packed_signatures_count_their_differences(spark, bits):
+    from granary.llm.signatures import differing
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(bits)
+    a, b = rng.integers(0, 2**bits, (50, 23), dtype=np.uint64), rng.integers(0, 2**bits, (50, 23), dtype=np.uint64)
+    b[:, ::2] = a[:, ::2]
+    words = len(packed(a, bits))
+    rows = [tuple(int(w[i]) for w in (*packed(a, bits), *packed(b, bits))) for i in range(50)]
+    df = spark.createDataFrame(rows, ", ".join(f"{s}{i} long" for s in "ab" for i in range(words)))
+    got = [r[0] for r in df.select(differing([(F.col(f"a{i}"), F.col(f"b{i}")) for i in range(words)], bits)).collect()]
+    assert got == (a != b).sum(1).tolist()
+
+
+@pytest.mark.parametrize("batch", [3, 10_000])
+def test_keys_meet_across_batches_and_hot_ones_are_put_aside(spark, batch):
+    rows = [(-7, i) for i in range(20)] + [(1, i) for i in range(6)] + [(2, 9), (3, 8), (3, 9), (3, 8), (9, 1), (9, 2)] + [(12, i) for i in range(9)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        got = {tuple(r) for r in meeting(spark.createDataFrame(rows, "key long, rid long"), 7).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == {(a, b) for a in range(6) for b in range(a + 1, 6)} | {(8, 9), (1, 2), (-7, None), (12, None)}
+
+
+def test_keys_of_many_classes_lose_no_pair(spark):
+    rows = corpus(7, 60)
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = sorted(map(tuple, NearDuplicates(n=3, threshold=0.6, block_rows=2).pairs(df).collect()))
+    assert got == brute(rows, 3, 0.6)
 
 
 def test_nothing(spark):

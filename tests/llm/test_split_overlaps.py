@@ -1,7 +1,7 @@
 import random
 import re
 
-from granary.llm.split_overlaps import SplitOverlaps
+from granary.llm.split_overlaps import NearOverlaps, SplitOverlaps
 
 SCHEMA = "query_id string, query_text string, split string, source string, loaded_at int, text string"
 
@@ -46,15 +46,46 @@ def test_pairs_equal_brute_force(spark):
     assert got == brute(rows)
 
 
+def canonical(t):
+    return re.sub(r" +", " ", re.sub(r"[^\w]+|_+", " ", (t or "").lower())).strip()
+
+
+def brute_counts(rows, qrels_both):
+    """exact and near of each (split, source), by comparing every evaluation record with every training record."""
+    first = {}
+    for r in sorted((r for r in rows if r[0] is not None), key=lambda r: r[4]):
+        old = first.get(r[0], (None, None, None))
+        first[r[0]] = (old[0] or (r[1] or "").strip() or None, old[1] or (r[2] or "").strip().lower() or None, old[2] or r[3])
+    trained = [canonical(t) for t, s, _ in first.values() if s == "train"]
+    out = {}
+    for q, (t, s, source) in first.items():
+        if s not in ("dev", "test"):
+            continue
+        own = canonical(t)
+        exact = bool(own) and own in trained
+        near = not exact and any(grams(own) and grams(x) and len(grams(own) & grams(x)) / len(grams(own) | grams(x)) >= 0.75 for x in trained)
+        n = out.setdefault((s, source), [0, 0, 0, 0])
+        for i, hit in enumerate((True, exact, near, q in qrels_both)):
+            n[i] += hit
+    return sorted(((*k, *v) for k, v in out.items()), key=repr)
+
+
 def test_judged_and_counts(spark):
     qrels = spark.createDataFrame([("hot0", "TRAIN "), ("hot0", "dev"), ("hot1", "train"), (None, "train"), (None, "dev"), ("hot2", None), ("hot2", "dev")], "query_id string, split string")
     how = SplitOverlaps()
     assert [r.query_id for r in how.judged_under_both(qrels).collect()] == ["hot0"]
-    rows = queries()
-    counts = how.counts(spark.createDataFrame(rows, SCHEMA), qrels).collect()
-    paired = {q for p in brute(rows) for q in p}
-    assert sum(r.exact + r.near for r in counts) == len([q for q in paired if q in {r[0] for r in rows if (r[2] or "").strip().lower() in ("dev", "test")}])
-    assert sum(r.judged_under_both for r in counts) == 1
+    rows = queries() + [("short1", "北京", "train", "zh", 1, ""), ("short2", "北京!", "dev", "zh", 1, ""), ("mark1", "?", "train", "zh", 1, ""), ("mark2", "!", "dev", "zh", 1, "")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = brute_counts(rows, {"hot0"})
+    assert sorted(map(tuple, how.counts(df, qrels).collect()), key=repr) == want
+    assert ("dev", "zh", 2, 1, 0, 0) in want and {("dev", "s"), ("dev", "zh")} <= {x[:2] for x in want}
+    assert sorted(map(tuple, how.exact_counts(df).collect()), key=repr) == [(*x[:2], x[3]) for x in want if x[3]]
+
+
+def test_near_overlaps_of_hot_texts_in_blocks(spark):
+    rows = queries(9)
+    how = SplitOverlaps(NearOverlaps(block_rows=2))
+    assert sorted(map(tuple, how.pairs(spark.createDataFrame(rows, SCHEMA)).collect())) == brute(rows)
 
 
 def test_every_id_judged_under_both_is_counted(spark):
