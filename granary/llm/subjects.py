@@ -8,13 +8,14 @@ the examples. The subjects' components stay anchored: their seed enters every up
 terms that texts of all subjects use (their average mixture leaves no subject more than `even`) are taken from the
 subjects' components and stay out, as a multiplicative update keeps zeros.
 
-With H fixed, each sentence is a row of its own: its mixture of the components, its terms weighted by how much they tell.
-A sentence is about a subject that has more than `share` of that; a document is about each subject that at least `quota`
-of its sentences are about. Sentences without any telling term aren't counted. A document's mixture is the mean of theirs.
+A sentence's subjects are its row of W with H fixed, by the same update: it is about a subject whose component has more than
+`share` of its mixture, the shared phrasing left out, and at least `least_terms` of its terms. A document is about each
+subject that at least `quota` of its sentences are about; its mixture is the mean of theirs.
 
 W never leaves the executors: each update of H sums, per term, what all texts contribute. The vocabulary has every term of
-the examples. Other terms of fewer than max(least_docs, least_share of the texts) texts are no evidence (mostly names), so
-there are at most (distinct terms a text) / least_share of them and H is bounded whatever the corpus size.
+the examples and each other term that more than one text and at least `least_share` of them have (a term of one text goes
+with nothing). That is a share of the texts, so more texts of the same kind leave the vocabulary as it is, and there are at
+most (distinct terms a text) / least_share other terms: H is bounded whatever the corpus size. The matrix is made once: term numbers and counts of each text, checkpointed.
 
 Defined cases: null, empty and wordless texts get no subject; repeated rows and ids are judged row by row; an empty table
 or no examples give an empty result; other columns are ignored.
@@ -37,20 +38,30 @@ from ..runtime import checkpointed, widened
 
 _MARKS = regex.compile(r"[\p{Mn}\p{Cf}]+")
 _TAG = regex.compile(r"<[^<>]{1,200}>")
-#: Abbreviations that end in a stop but no sentence, and numbers of list items.
-_ABBREVIATION = regex.compile(r"\b(dr|prof|mrs?|ms|vs|etc|approx|ca|bzw|nr|no|p|pp|e\.g|i\.e|z\.b|d\.h|p\.ej|fig|sec|art|vol|[a-z])\.(?=\s|$)")
-_ITEM = regex.compile(r"(?m)^\s*(?:\d+[.)]|[-*•])\s+")
-_END = regex.compile(r"[.!?…]+[\"'”’»)\]]*(?:\s+|$)|[。！？]+|\n\s*\n")
-_BRACKET = regex.compile(r"\)\s+(?=\p{Lu}\p{Ll})")  # a bracket that ends a sentence without a stop
+_ITEM = regex.compile(r"(?m)^[\s>]*(?:\d+[.)]\s|[-*•]\s|>)\s*")  # list items and quoted lines
 _TERM = regex.compile(r"[一-鿿]+|[\p{L}--[一-鿿]]+", regex.V1)
-
-
-def sentences(text: str) -> list[str]:
-    """The sentences of a text that have a word, folded to lower case without accents and markup."""
-    text = _BRACKET.sub(").\n\n", text)
-    folded = _MARKS.sub("", unicodedata.normalize("NFKD", html.unescape(text))).lower()
-    folded = _ABBREVIATION.sub(r"\1", _ITEM.sub("", _TAG.sub(" ", folded)))
-    return [s for s in _END.split(folded) if _TERM.search(s)]
+# A stop after a single letter (p. 3, e.g.) ends no sentence; else one ends where the next begins as sentences do.
+_STOP = r"(?<!\b\p{L})[.!?…]+[\"'”’»)\]]*\s+"
+_BEGIN = r"(?=[\"'“‘«(\[¿¡]*[\p{Lu}\p{Lo}\p{N}])"
+_SURE = r"|[。！？]+|\n\s*\n"
+_CASED = regex.compile(_STOP + _BEGIN + _SURE + r"|\)\s+(?=\p{Lu}\p{Ll})")
+_ANY = regex.compile(_STOP + _SURE)
+
+
+def sentences(text: str, least: int = 3) -> list[str]:
+    """The sentences of a text, folded to lower case without accents and markup. A part of fewer than `least` terms belongs
+    to the sentence before it. Where most stops aren't followed by a capital, a text isn't written with them."""
+    clean = _ITEM.sub("", _TAG.sub(" ", _MARKS.sub("", html.unescape(text))))
+    end = _CASED if 2 * len(_CASED.findall(clean)) >= len(_ANY.findall(clean)) else _ANY
+    out: list[str] = []
+    for part in end.split(clean):
+        folded = _MARKS.sub("", unicodedata.normalize("NFKD", part)).lower()
+        n = len(terms(folded))
+        if 0 < n < least and out:
+            out[-1] += " " + folded
+        elif n:
+            out.append(folded)
+    return out
 
 
 def terms(sentence: str) -> list[str]:
@@ -97,22 +108,24 @@ def sentence_terms(texts: DataFrame, key: str, text: str) -> DataFrame:
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, terms array<bigint>, ends array<int>")
 
 
-class Matrix:
-    """A batch of sentence_terms as sparse matrices: each entry's known term (column), document and sentence."""
+def flattened(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a list column and each list's length."""
+    offsets = column.offsets.to_numpy()
+    return column.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]], np.diff(offsets)
+
+
+class Sentences:
+    """A batch of sentence_terms as a sparse matrix: each entry's known term (column) and sentence."""
 
     def __init__(self, batch: pa.RecordBatch, vocabulary: np.ndarray):
-        values, ends = batch.column("terms"), batch.column("ends")
-        first = values.offsets.to_numpy()
-        flat = values.values.to_numpy(zero_copy_only=False)[first[0] : first[-1]]
-        starts = first[:-1] - first[0]
-        marks = ends.offsets.to_numpy()
-        per_doc = np.diff(marks)
-        stop = ends.values.to_numpy(zero_copy_only=False)[marks[0] : marks[-1]] + np.repeat(starts, per_doc)
+        values, lengths = flattened(batch.column("terms"))
+        ends, per_doc = flattened(batch.column("ends"))
+        stop = ends + np.repeat(np.cumsum(lengths) - lengths, per_doc)
         self.docs, self.sentences = len(batch), len(stop)
         self.doc_of_sentence = np.repeat(np.arange(self.docs), per_doc)
-        sentence = np.searchsorted(stop, np.arange(len(flat)), side="right")
-        at = np.minimum(np.searchsorted(vocabulary, flat), len(vocabulary) - 1)
-        known = vocabulary[at] == flat
+        sentence = np.searchsorted(stop, np.arange(len(values)), side="right")
+        at = np.minimum(np.searchsorted(vocabulary, values), len(vocabulary) - 1)
+        known = vocabulary[at] == values
         self.column, self.sentence = at[known], sentence[known]
         self.doc = self.doc_of_sentence[self.sentence]
 
@@ -127,28 +140,29 @@ def slices(batches, rows: int = 500):
 def row_sums(row: np.ndarray, rows: int, entries: np.ndarray) -> np.ndarray:
     """The entries (one line each) summed by row; row is in ascending order."""
     n = np.bincount(row, minlength=rows)
-    out = np.zeros((rows, entries.shape[1]))
+    out = np.zeros((rows, entries.shape[1]), entries.dtype)
     if len(row):
         out[n > 0] = np.add.reduceat(entries, (np.cumsum(n) - n)[n > 0], axis=0)
     return out
 
 
 def mixtures(row: np.ndarray, rows: int, near: np.ndarray, rounds: int, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """W after `rounds` multiplicative updates from an even start, and each entry's split over the components. row: of each
-    entry, ascending; near: of each entry, its term's column of H."""
-    w = np.ones((rows, near.shape[1]))
+    """W after `rounds` multiplicative updates from an even start, and each entry (times its weight) split over the components.
+    row: of each entry, ascending; near: of each entry, its term's column of H."""
+    w = np.ones((rows, near.shape[1]), near.dtype)
     n = np.bincount(row, minlength=rows)
     split = near
     for _ in range(rounds):
         split = np.repeat(w, n, axis=0)
         split *= near
-        split /= np.maximum(np.einsum("ij->i", split), 1e-300)[:, None]
-        w = row_sums(row, rows, split if weight is None else split * weight[:, None])
+        per = 1 / np.maximum(np.einsum("ij->i", split), 1e-30)
+        split *= (per if weight is None else per * weight)[:, None]
+        w = row_sums(row, rows, split)
     return w, split
 
 
 def scaled(h: np.ndarray) -> np.ndarray:
-    return h / np.maximum(h.sum(-1, keepdims=True), 1e-300)
+    return h / np.maximum(h.sum(-1, keepdims=True), 1e-30)
 
 
 @dataclass
@@ -161,31 +175,22 @@ class Model:
     speaks: np.ndarray
     h: np.ndarray
 
-    def language(self, m: Matrix) -> np.ndarray:
-        return np.stack([np.bincount(m.doc, s[m.column], minlength=m.docs) for s in self.speaks], axis=1).argmax(1)
-
-    def evidence(self) -> tuple[np.ndarray, np.ndarray]:
-        """Per language: each term's chances of the subjects and of none, and how much it tells (0 to 1)."""
-        n = len(self.subjects)
-        topical = np.concatenate([self.h[:, :n], self.h[:, n + 1 :].sum(1, keepdims=True)], axis=1)
-        most = topical.max(1)
-        chances = topical / np.maximum(topical.sum(1, keepdims=True), 1e-300)
-        tells = np.maximum(chances.max(1) - 1 / (n + 1), 0) / (1 - 1 / (n + 1))
-        return chances, tells**1.5 * most / np.maximum(most + self.h[:, n], 1e-300)
+    def language(self, doc: np.ndarray, docs: int, column: np.ndarray) -> np.ndarray:
+        """Of each text, the language that most of its terms speak for."""
+        return np.stack([np.bincount(doc, s[column], minlength=docs) for s in self.speaks], axis=1).argmax(1)
 
 
 @dataclass(frozen=True)
 class Subjects:
     quota: float = 0.25
     share: float = 0.5
-    least_mass: float = 0.3
+    least_terms: float = 0.5
     free: int = 1
     updates: tuple[int, int] = (5, 4)
     rounds: int = 6
     anchor: float = 0.4
     even: float = 0.4
-    least_docs: int = 5
-    least_share: float = 0.0005
+    least_share: float = 0.002
     most_examples: int = 20_000
     seed: int = 11
 
@@ -200,7 +205,7 @@ class Subjects:
         labelled_terms = np.array(sorted({k for *_, ids in used_in for k in ids}), dtype=np.int64)
         if not len(labelled_terms):
             return Model([], labelled_terms, np.zeros((0, 0)), np.zeros((0, 0, 0)))
-        least = max(self.least_docs, int(self.least_share * rows.count()))
+        least = max(2, self.least_share * rows.count())
         known = rows.select(F.explode(F.array_distinct("terms")).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
         vocabulary = np.union1d(labelled_terms, known.select("t").toArrow()["t"].to_numpy())
         counts = np.zeros((len(langs), n, len(vocabulary)))
@@ -210,7 +215,8 @@ class Subjects:
         speaks = scaled(total)
         speaks = speaks / np.maximum(speaks.sum(0), 1e-12)
         model = Model(subjects, vocabulary, speaks, np.ones((len(langs), n + 1 + free, len(vocabulary))))
-        used = self._sums(rows, model, "use")[:, 0]
+        matrix = checkpointed(self._matrix(rows, model))
+        used = self._sums(matrix, model, "use")[:, 0]
         f = scaled(used)
         own = (counts + 0.25) / (total + 0.25 * n)[:, None]
         spread = np.where(total > 0, 1 - (own.max(1) - 1 / n) / (1 - 1 / n), 0)
@@ -220,13 +226,13 @@ class Subjects:
         model.h = prior = scaled(np.concatenate([p * own**3 + 1e-4 * f[:, None], (p.mean(1) * spread**2 + 1e-4 * f)[:, None], unseen[:, None] * noise + 1e-5 * f[:, None]], axis=1))
 
         def update() -> None:
-            new = scaled(self._sums(rows, model, "update"))
+            new = scaled(self._sums(matrix, model, "update"))
             new[:, :n] = (1 - self.anchor) * new[:, :n] + self.anchor * prior[:, :n]
             model.h = new
 
         for _ in range(self.updates[0]):
             update()
-        profile = self._sums(rows, model, "profile") / np.maximum(used, 1)[:, None]
+        profile = self._sums(matrix, model, "profile") / np.maximum(used, 1)[:, None]
         common = profile.max(1) < self.even
 
         def without_common(h: np.ndarray) -> np.ndarray:
@@ -241,34 +247,52 @@ class Subjects:
             update()
         return model
 
-    def _sums(self, rows: DataFrame, model: Model, what: str) -> np.ndarray:
+    def _matrix(self, rows: DataFrame, model: Model) -> DataFrame:
+        """(l, column, n): of each text its language, the numbers of its known terms, ascending, and how often it has them."""
+
+        def run(batches):
+            for b in batches:
+                m = Sentences(b, model.vocabulary)
+                cell, n = np.unique(m.doc * len(model.vocabulary) + m.column, return_counts=True)
+                doc, column = np.divmod(cell, len(model.vocabulary))
+                offsets = pa.array(np.searchsorted(doc, np.arange(m.docs + 1)), pa.int32())
+                lists = [pa.ListArray.from_arrays(offsets, pa.array(x, pa.int32())) for x in (column, n)]
+                yield pa.RecordBatch.from_arrays([pa.array(model.language(m.doc, m.docs, m.column), pa.int32()), *lists], ["l", "column", "n"])
+
+        return rows.mapInArrow(run, "l int, column array<int>, n array<int>")
+
+    def _sums(self, matrix: DataFrame, model: Model, what: str) -> np.ndarray:
         """(languages, ..., terms): per language and term, summed over the texts: its uses ("use"), its uses split over
         the components ("update"), or the mixtures of the texts it is used in, over subjects and none ("profile")."""
         n, rounds = len(model.subjects), self.rounds
         width = {"use": 1, "update": model.h.shape[1], "profile": n + 1}[what]
         size = len(model.vocabulary)
+        by_term = [np.ascontiguousarray(h.T, dtype=np.float32) for h in model.h]
 
         def run(batches):
-            total = np.zeros((len(model.h), width, size))
+            total = np.zeros((len(by_term), width, size))
             for b in slices(batches):
-                m = Matrix(b, model.vocabulary)
-                language = model.language(m)[m.doc]
-                for i, h in enumerate(model.h):
+                (column, lengths), (uses, _) = flattened(b.column("column")), flattened(b.column("n"))
+                doc = np.repeat(np.arange(len(b)), lengths)
+                language = b.column("l").to_numpy()[doc]
+                for i, near in enumerate(by_term):
                     mine = language == i
-                    column, doc = m.column[mine], m.doc[mine]
+                    if not mine.any():
+                        continue
+                    c, d, u = column[mine], doc[mine], uses[mine].astype(np.float32)
                     if what == "use":
-                        entries = np.ones((len(column), 1))
+                        entries = u[:, None]
                     else:
-                        w, entries = mixtures(doc, m.docs, h.T[column], rounds)
+                        w, entries = mixtures(d, len(b), near[c], rounds, u)
                         if what == "profile":
-                            entries = scaled(np.concatenate([w[:, :n], w[:, n + 1 :].sum(1, keepdims=True)], axis=1))[doc]
+                            entries = scaled(np.concatenate([w[:, :n], w[:, n + 1 :].sum(1, keepdims=True)], axis=1))[d] * u[:, None]
                     for k, part in enumerate(np.ascontiguousarray(entries.T)):
-                        total[i, k] += np.bincount(column, part, minlength=size)
+                        total[i, k] += np.bincount(c, part, minlength=size)
             language, term = np.nonzero(total.sum(1))
             values = total[language, :, term]
             yield pa.RecordBatch.from_arrays([pa.array(language, pa.int32()), pa.array(term, pa.int32()), *[pa.array(values[:, k]) for k in range(width)]], ["l", "t", *[f"k{k}" for k in range(width)]])
 
-        parts = rows.mapInArrow(run, ", ".join(["l int, t int", *[f"k{k} double" for k in range(width)]]))
+        parts = matrix.mapInArrow(run, ", ".join(["l int, t int", *[f"k{k} double" for k in range(width)]]))
         summed = parts.groupBy("l", "t").agg(*[F.sum(f"k{k}").alias(f"k{k}") for k in range(width)]).toArrow()
         out = np.zeros((len(model.h), width, size))
         for k in range(width):
@@ -277,27 +301,26 @@ class Subjects:
 
     def judge(self, texts: DataFrame, examples: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         """(key, sentences, mixture array<struct<subject, weight, share>>): for each row the number of its sentences
-        that tell anything, and per subject its weight in their mixture and the share of them that are about it."""
+        that have a known term, and per subject its weight in their mixture and the share of them that are about it."""
         rows = checkpointed(sentence_terms(texts, key, text))
         model = self.fit(rows, examples)
-        n, share, least, rounds = len(model.subjects), self.share, self.least_mass, self.rounds
-        chances, tells = model.evidence() if n else (None, None)
+        n, share, least, rounds = len(model.subjects), self.share, self.least_terms, self.rounds
+        by_term = np.ascontiguousarray(model.h.transpose(0, 2, 1), dtype=np.float32)
 
         def run(batches):
             for b in slices(batches):
-                m = Matrix(b, model.vocabulary) if n else None
+                m = Sentences(b, model.vocabulary) if n else None
                 per, weights, counts = np.zeros(len(b), int), np.zeros((len(b), n)), np.zeros((len(b), n))
                 if m is not None and len(m.column):
-                    language = model.language(m)[m.doc]
-                    near, weight = chances[language, :, m.column], tells[language, m.column]
-                    w = mixtures(m.sentence, m.sentences, near, rounds, weight)[0]
-                    mass = w.sum(1)
-                    part = w[:, :n] / np.maximum(mass, 1e-12)[:, None]
-                    told = mass > 0.05
+                    language = model.language(m.doc, m.docs, m.column)[m.doc]
+                    w = mixtures(m.sentence, m.sentences, by_term[language, m.column], rounds)[0]
+                    told = w.sum(1) > 0
+                    topical = w[:, :n].sum(1) + w[:, n + 1 :].sum(1)
+                    part = w[:, :n] / np.maximum(topical, 1e-12)[:, None]
                     per = np.bincount(m.doc_of_sentence[told], minlength=m.docs)
                     over = np.maximum(per, 1)[:, None]
-                    weights = row_sums(m.doc_of_sentence[told], m.docs, part[told]) / over
-                    about = (part > share) & (mass > least)[:, None]
+                    weights = row_sums(m.doc_of_sentence, m.docs, part) / over
+                    about = (part > share) & (w[:, :n] >= least)
                     counts = row_sums(m.doc_of_sentence, m.docs, about.astype(float)) / over
                 cells = [pa.array(np.tile(np.array(model.subjects, dtype=object), len(b)), pa.string()), pa.array(weights.ravel()), pa.array(counts.ravel())]
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(b) + 1) * n, pa.int32()), pa.StructArray.from_arrays(cells, ["subject", "weight", "share"]))

@@ -40,9 +40,24 @@ def test_few_texts_of_a_language_keep_their_subjects(spark):
         assert got == set(enumerate(german))
 
 
+def test_a_tenfold_corpus_judges_the_same_texts_alike(spark):
+    rng = random.Random(6)
+    examples = [(s, "en", " ".join(sentence(rng, w) for _ in range(4))) for s, w in NOUNS.items() for _ in range(12)]
+    make = lambda: " ".join(sentence(rng, NOUNS[k] if k else PLAIN) for k in rng.choice([["sea"], ["art", "law"], [None], ["law", None]]) for _ in range(4))
+    own, more = [(i, make()) for i in range(120)], [(1000 + i, make()) for i in range(1080)]
+    ex = spark.createDataFrame(examples, "subject string, lang string, text string")
+    found = lambda rows: set(map(tuple, Subjects().found(spark.createDataFrame(rows, "doc_id long, text string"), ex).where("doc_id < 1000").collect()))
+    alone = found(own)
+    assert found([(d + 1000 * i, t) for i in range(10) for d, t in own]) == alone == found(own + more)
+
+
 def test_sentences_and_terms():
-    text = "Dr. X came, e.g. at 3.5 p.m. <b>Really?</b> &quot;Yes!&quot; she said. 1. First item\n河流很长。山也高！"
-    assert len(sentences(text)) >= 4 and sentences(" 1. 2 ...") == []
+    text = "It was not done without Dr. Yve. They saw her come, e.g. at 3.5 p.m. to a town (see Y, p. 9). <b>Was it really so?</b> &quot;Yes it was!&quot; she said. 1. First item\n> Quoted lines are sentences too.\n河流很长很长。山也高得很！"
+    assert sentences(text) == [
+        "it was not done without dr yve", "they saw her come, e.g. at 3.5 p.m. to a town (see y, p. 9)", "was it really so", '"yes it was!" she said first item\nquoted lines are sentences too', "河流很长很长", "山也高得很",
+    ]
+    assert sentences("no capitals are here. not in any sentence. so all stops count.") == ["no capitals are here", "not in any sentence", "so all stops count."]
+    assert sentences(" 1. 2 ...") == []
     assert terms("the cats 河流长 é") == ["the", "cat", "河流", "流长"]
 
 
