@@ -54,7 +54,7 @@ def test_a_tenfold_corpus_judges_the_same_texts_alike(spark):
 def test_sentences_and_terms():
     text = "It was not done without Dr. Yve. They saw her come, e.g. at 3.5 p.m. to a town (see Y, p. 9). <b>Was it really so?</b> &quot;Yes it was!&quot; she said. 1. First item\n> Quoted lines are sentences too.\n河流很长很长。山也高得很！"
     assert sentences(text) == [
-        "it was not done without dr yve", "they saw her come, e.g. at 3.5 p.m. to a town (see y, p. 9)", "was it really so", '"yes it was!" she said first item\nquoted lines are sentences too', "河流很长很长", "山也高得很",
+        "it was not done without dr yve", "they saw her come, e.g. at 3.5 p.m. to a town (see y, p. 9)", "was it really so", '"yes it was!" she said', 'first item\nquoted lines are sentences too', "河流很长很长", "山也高得很",
     ]
     assert sentences("no capitals are here. not in any sentence. so all stops count.") == ["no capitals are here", "not in any sentence", "so all stops count."]
     assert sentences(" 1. 2 ...") == []
