@@ -1,4 +1,4 @@
-"""Token ids of every text of a corpus by a public byte-level tokenizer.
+"""Token ids of every text of a corpus by a public byte-level tokenizer (bpe tells which files are honoured).
 
 Corpus-level merge replay. The texts are split into pieces; each distinct piece of the corpus is encoded once, in
 partitions of the vocabulary, by replaying the merges in rank order over an inverted index from token pair to positions
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import checkpointed, spread, widened
-from .bpe import FOLDER, merges
+from .bpe import merges
 
 
 def numbered_pieces(docs: DataFrame, key: str, text: str, path: str, block_chars: int) -> DataFrame:
@@ -106,9 +106,10 @@ def _assemble(batches):
         yield pa.RecordBatch.from_arrays([ids, pa.array(lists, pa.list_(pa.int32()))], ["id", "ids"])
 
 
-def encode_corpus(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: str = "byte_bpe_50k.json", folder: str = FOLDER, block_chars: int = 2_000_000) -> DataFrame:
-    """(key, ids): the token ids of each text."""
-    path = f"{folder}/{tokenizer}"
+def encode_corpus(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", block_chars: int = 2_000_000) -> DataFrame:
+    """(key, ids): the token ids of each text by the tokenizer file at path, which every executor must have; a file that
+    can't be honoured is refused here (bpe.NotHonoured)."""
+    merges(path)
     table = checkpointed(numbered_pieces(docs, key, text, path, block_chars))
     own = table.where(F.col("piece").isNotNull()).select("block", "nr", "piece")
     vocabulary = vocabulary_ids(spread(own.select("piece").distinct(), "piece"), path)

@@ -3,13 +3,15 @@
 Min-cost flow for overlapping sources. A text that several sources have is one item; items are aggregated by the set of
 target sources they belong to (their pattern). Tokens flow from each pattern, over its sources, to the sources' quotas;
 each further pass over a pattern's texts costs more than the one before, so nothing is repeated while fresh text would do.
-The flow is computed on the patterns, of which there are at most 2 ** targets, whatever the number of texts. Each pattern's
+The flow is computed on the patterns that occur, at most 2 ** targets whatever the number of texts; more than `most_patterns`
+are refused. Each pattern's
 items lie in seeded order on a line of their tokens; a source draws an interval of that line, unrolled over the passes.
 
 The order's running sums are taken in two steps, over hash buckets and within a bucket, so no task sorts a whole source.
 
 Unless a total is given it is the largest at which every source with text reaches its weight exactly (but for the length
-of one text). With a larger total, sources fall short that max_repeats doesn't let go further.
+of one text). With a larger total, or the total "all" (the tokens of all items), sources fall short that max_repeats doesn't
+let go further. The mix is over distinct texts: copies of a text in a source are one item, drawn under one id.
 
 Defined cases: null and blank texts are no items; sources compare trimmed and in lower case; texts without a target source
 are not drawn; a target without texts gets nothing and the other weights are scaled up; targets with a null or not positive
@@ -19,7 +21,6 @@ of its copies in the source; empty tables give empty results; other columns are
 
 from __future__ import annotations
 
-import os
 from collections import deque
 from dataclasses import dataclass
 
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import is_blank, label
 from ..runtime import checkpointed, widened
-from .bpe import FOLDER
+from .token_budget import pieces_of
 
 
 class Flow:
@@ -87,11 +88,11 @@ def route(capacity: dict[tuple[str, ...], int], repeats: dict[str, int], quotas:
 
 @dataclass(frozen=True)
 class Mix:
+    path: str  # of the tokenizer file, on every executor
     seed: int = 1
-    total: int | None = None
-    tokenizer: str = "byte_bpe_50k.json"
-    folder: str = FOLDER
+    total: int | str | None = None
     bucket_rows: int = 20_000
+    most_patterns: int = 100_000
 
     def targets(self, targets: DataFrame) -> dict[str, tuple[float, int]]:
         """Weight and max_repeats of each target source."""
@@ -102,17 +103,29 @@ class Mix:
 
     def sized(self, documents: DataFrame, sources: list[str]) -> DataFrame:
         """(h, source, doc_id, tokens): each distinct text once per target source that has it."""
-        path = f"{self.folder}/{self.tokenizer}"
+        path = self.path
         rows = documents.select(F.col("doc_id"), label("source").alias("source"), F.col("text")).where(F.col("source").isin(sources) & ~is_blank("text"))
 
         def run(batches):
-            os.environ["TOKENIZERS_PARALLELISM"] = "false"
-            from tokenizers import Tokenizer
-
-            t = Tokenizer.from_file(path)
-            t.encode_special_tokens = True
+            split, length = pieces_of(path)
+            pieces: dict[str, int] = {}
+            texts: dict[str, int] = {}
             for b in batches:
-                sizes = [len(e.ids) for e in t.encode_batch(b.column("text").to_pylist(), add_special_tokens=False)]
+                sizes = []
+                for h, t in zip(b.column("h").to_pylist(), b.column("text").to_pylist()):
+                    size = texts.get(h)
+                    if size is None:
+                        size = 0
+                        for p in split(t):
+                            n = pieces.get(p)
+                            if n is None:
+                                n = pieces[p] = length(p)
+                            size += n
+                        texts[h] = size
+                    sizes.append(size)
+                for memo, most in ((pieces, 500_000), (texts, 100_000)):  # memories of a task, not of the corpus
+                    if len(memo) > most:
+                        memo.clear()
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("source"), b.column("h"), pa.array(sizes, pa.int64())], ["doc_id", "source", "h", "tokens"])
 
         hashed = rows.withColumn("h", F.sha2("text", 256))
@@ -127,6 +140,8 @@ class Mix:
         whole = sum(weights.values())
         quotas = lambda total: {s: int(total * w / whole) for s, w in weights.items()}
         total = self.total
+        if total == "all":
+            total = sum(capacity.values())
         if total is None:
             total, high = 0, sum(c * max(repeats[s] for s in p) for p, c in capacity.items())
             while total < high:
@@ -142,7 +157,9 @@ class Mix:
 
     def _draw(self, sized: DataFrame, wanted: dict[str, tuple[float, int]]) -> DataFrame:
         items = sized.groupBy("h").agg(F.sort_array(F.collect_set("source")).alias("pattern"), F.min("tokens").alias("tokens")).where("tokens > 0")
-        sums = items.groupBy("pattern").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("n")).collect()
+        sums = items.groupBy("pattern").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("n")).limit(self.most_patterns + 1).collect()
+        if len(sums) > self.most_patterns:
+            raise ValueError(f"more than {self.most_patterns} sets of sources share texts; merge target sources or raise most_patterns")
         capacity = {tuple(r.pattern): r.tokens for r in sums}
         buckets = -(-max([1, *(r.n for r in sums)]) // self.bucket_rows)
         at: dict[tuple[str, ...], int] = {}

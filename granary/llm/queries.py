@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import token_estimate
 from ..queries import SQL_WHITE, Query, table
 from .encoding import encode_corpus
 from .mixing import Mix
@@ -18,6 +20,9 @@ from .subjects import Subjects
 from .token_budget import texts_of_docs, texts_of_queries, token_budget
 
 QUERIES: dict[str, Query] = {}
+#: Where the tokenizer files lie on the driver and on every executor; the operators take paths.
+TOKENIZERS = os.environ.get("GRANARY_TOKENIZERS", "/opt/tokenizers")
+BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
 SQL: dict[str, str] = {}
 
 
@@ -77,12 +82,27 @@ def p1_groups(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def p2_token_budget(spark: SparkSession, folder: str) -> DataFrame:
     texts = texts_of_docs(table(spark, folder, "docs")).unionByName(texts_of_queries(table(spark, folder, "queries")))
-    return token_budget(texts, ["kind", "source", "lang", "domain"])
+    return token_budget(texts, ["kind", "source", "lang", "domain"], BYTE_BPE)
+
+
+SQL_P2_TEXTS = f"""WITH {SQL_DOC_TEXTS},
+own AS (
+  SELECT 'doc' AS kind, doc_id AS id, loaded_at, array_to_string(list_filter(list_transform(coalesce(doc_text, []), lambda x: trim(x, ws)), lambda x: x IS NOT NULL AND x <> ''), ' ') AS text, source, lang, domain, ws FROM docs, w WHERE doc_id IS NOT NULL
+  UNION ALL SELECT 'query', query_id, loaded_at, trim(query_text, ws), source, lang, domain, ws FROM queries, w WHERE query_id IS NOT NULL),
+o AS (SELECT kind, id, loaded_at, text, nullif(lower(trim(source, ws)), '') AS source, nullif(lower(trim(lang, ws)), '') AS lang, nullif(lower(trim(domain, ws)), '') AS domain FROM own),
+f AS (SELECT kind, id, arg_min(text, (coalesce(text, '') = '', loaded_at IS NULL, loaded_at, text)) AS text,
+  arg_min(source, (loaded_at IS NULL, loaded_at, source)) FILTER (source IS NOT NULL) AS source, arg_min(lang, (loaded_at IS NULL, loaded_at, lang)) FILTER (lang IS NOT NULL) AS lang, arg_min(domain, (loaded_at IS NULL, loaded_at, domain)) FILTER (domain IS NOT NULL) AS domain FROM o GROUP BY 1, 2)
+SELECT kind, source, lang, domain, count(*) AS texts, sum(coalesce(length(text), 0))::BIGINT AS chars FROM f GROUP BY 1, 2, 3, 4"""
+
+
+@query(SQL_P2_TEXTS)
+def p2_texts(spark: SparkSession, folder: str) -> DataFrame:
+    return p2_token_budget(spark, folder).drop("tokens")
 
 
 @query()
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
-    return encode_corpus(table(spark, folder, "documents"))
+    return encode_corpus(table(spark, folder, "documents"), BYTE_BPE)
 
 
 SQL_P4 = """
@@ -194,9 +214,53 @@ def p6_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def p8_selection(spark: SparkSession, folder: str) -> DataFrame:
-    return Mix().select(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))
+    return Mix(BYTE_BPE).select(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))
 
 
 @query()
 def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
-    return Mix().report(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))
+    return Mix(BYTE_BPE).report(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))
+
+
+@query()
+def p8_capped_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """With as many tokens as the sources have, so that max_repeats binds and shares fall short."""
+    return Mix(BYTE_BPE, total="all").report(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))
+
+
+SQL_P8_CHECKED = f"""
+WITH w AS (SELECT {SQL_WHITE} AS ws),
+t AS (SELECT lower(trim(source, ws)) AS source, arg_max(weight, (weight, max_repeats)) AS weight, arg_max(max_repeats, (weight, max_repeats)) AS max_repeats FROM mix_targets, w WHERE trim(source, ws) <> '' AND weight > 0 AND max_repeats > 0 GROUP BY 1),
+d AS (SELECT DISTINCT lower(trim(source, ws)) AS source FROM documents, w WHERE trim(coalesce(text, ''), ws) <> ''),
+a AS (SELECT t.source, weight, d.source IS NOT NULL AS has_texts FROM t LEFT JOIN d ON d.source = t.source)
+SELECT source, has_texts, CASE WHEN has_texts THEN round(weight / (SELECT sum(weight) FROM a WHERE has_texts), 2) ELSE 0.0 END AS share, true AS within_repeats FROM a"""
+
+
+@query(SQL_P8_CHECKED)
+def p8_checked(spark: SparkSession, folder: str) -> DataFrame:
+    """What must hold of the shares: each source with texts reaches its scaled weight within its repeats."""
+    got = p8_shares(spark, folder)
+    return got.select("source", (F.col("available_tokens") > 0).alias("has_texts"), F.round("share", 2).alias("share"), (F.col("most_passes") <= F.col("max_repeats")).alias("within_repeats"))
+
+
+SQL_P6_CHECKED = f"""
+WITH {SQL_DOC_TEXTS},
+items AS (SELECT 'doc' AS item_kind, text FROM doc_texts UNION ALL SELECT 'candidate', c."text" FROM (SELECT unnest(candidates) AS c FROM doc_candidates)),
+sized AS (SELECT *, len(regexp_replace(text, '[^一-鿿]', '', 'g')) AS cjk FROM items WHERE text IS NOT NULL)
+SELECT item_kind, count(*) AS items, count(*) FILTER (cjk + (length(text) - cjk) // 4 > 600) AS cut_items, sum(length(text))::BIGINT AS chars, true AS within_limit, true AS within_overlap, true AS in_sequence FROM sized GROUP BY 1"""
+
+
+@query(SQL_P6_CHECKED)
+def p6_checked(spark: SparkSession, folder: str) -> DataFrame:
+    """What must hold of the pieces: their bodies tile each text, none is beyond the limit or overlaps by too much."""
+    tokens = lambda c: token_estimate(c)
+    repeated = F.substring(F.col("text"), F.lit(1), F.col("body") - F.col("start"))
+    told = p6_pieces(spark, folder).select("item_kind", "piece", "pieces", "start", "body", "end", tokens("text").alias("n"), tokens(repeated).alias("again"), F.char_length("text").alias("chars"))
+    return told.groupBy("item_kind").agg(
+        F.count_if(F.col("piece") == 1).alias("items"),
+        F.count_if((F.col("piece") == 1) & (F.col("pieces") > 1)).alias("cut_items"),
+        F.sum(F.col("end") - F.col("body")).cast("long").alias("chars"),
+        F.bool_and(F.col("n") <= 600).alias("within_limit"),
+        F.bool_and(F.col("again") <= 60).alias("within_overlap"),
+        F.bool_and((F.col("start") <= F.col("body")) & (F.col("chars") == F.col("end") - F.col("start")) & ((F.col("piece") > 1) | (F.col("body") == 0))).alias("in_sequence"),
+    )

@@ -1,8 +1,9 @@
 """Exact token totals of texts by group, under an existing tokenizer.
 
-The tokenizer's own normalization and pre-splitting cut each text into pieces. Piece frequencies are added up per group
-before and after one shuffle; each distinct piece is tokenized once; the lengths are joined with the frequencies and
-summed. A frequent piece is one row per group, so nothing grows with the number of its occurrences.
+The tokenizer's own normalization and pre-splitting cut each text into pieces, once. Piece frequencies are added up per group
+in the task, and again after the one shuffle, which is by piece. There each distinct piece is tokenized once and its length
+joined with the piece's frequencies, which lie next to each other; the products are summed per group. A frequent piece is
+one row per group and task, so nothing grows with the number of its occurrences.
 
 Defined cases: null and empty texts have 0 tokens and count as texts; null group values form a group of their own; every
 input row counts, so the caller decides what a repeated row is (texts_of_docs and texts_of_queries keep first deliveries);
@@ -11,65 +12,42 @@ an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import json
 from collections import Counter
 from collections.abc import Callable
-from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import joined_text, label, strip
 from ..operators.deliveries import first_delivery
 from ..runtime import spread, widened
-from .bpe import FOLDER, SPLIT, byte_characters
+from .bpe import NotHonoured, byte_characters, library, splitter
 
 
-@lru_cache(maxsize=4)
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
-
-
-def _splitter(path: str) -> tuple[Callable[[str], list[str]], Callable[[str], str]]:
-    """The tokenizer's pre-splitting, and what turns a piece of it into the model's characters.
-
-    The two usual byte-level layouts split by one pattern, which runs here without the offsets that the library makes for
-    each piece; any other pre-splitting is left to the library, whose pieces need no turning."""
-    with open(path, encoding="utf-8") as f:
-        how = json.load(f).get("pre_tokenizer") or {}
-    parts = how.get("pretokenizers", [how])
-    last = parts[-1] if parts else {}
-    shown = dict(enumerate(byte_characters()))
-    turn = lambda p: p.encode("utf-8").decode("latin-1").translate(shown)
-    if last.get("type") == "ByteLevel" and not last.get("add_prefix_space"):
-        if len(parts) == 1 and last.get("use_regex", True):
-            return regex.compile(SPLIT).findall, turn
-        first = parts[0]
-        kept = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert")
-        if len(parts) == 2 and not last.get("use_regex", True) and kept and "Regex" in first.get("pattern", {}):
-            return regex.compile(first["pattern"]["Regex"]).findall, turn
-    split = _tokenizer(path).pre_tokenizer.pre_tokenize_str
-    return lambda t: [p for p, _ in split(t)], lambda p: p
-
-
-def _pieces(path: str) -> Callable[[str | None], list[str]]:
-    tokenizer = _tokenizer(path)
-    normal = tokenizer.normalizer.normalize_str if tokenizer.normalizer else lambda t: t
-    split = _splitter(path)[0]
-    return lambda t: split(normal(t)) if t else []
+def pieces_of(path: str) -> tuple[Callable[[str], list[str]], Callable[[str], int]]:
+    """The pieces of a text, and the tokens of a piece. Splitting by a pattern runs without the offsets that the library makes
+    for each piece; any other pre-splitting is left to the library, whose pieces are in the model's characters."""
+    tokenizer = library(path)
+    tokenize = tokenizer.model.tokenize
+    try:
+        split, shown = splitter(path), dict(enumerate(byte_characters()))
+        return split, lambda p: len(tokenize(p.encode("utf-8").decode("latin-1").translate(shown)))
+    except NotHonoured:
+        normal = tokenizer.normalizer.normalize_str if tokenizer.normalizer else str
+        cut = tokenizer.pre_tokenizer.pre_tokenize_str
+        return lambda t: [p for p, _ in cut(normal(t))], lambda p: len(tokenize(p))
 
 
 def piece_frequencies(texts: DataFrame, groups: list[str], text: str, path: str, most: int = 200_000) -> DataFrame:
-    """(groups..., piece, n): how often each piece occurs in each group. A task writes its counts out whenever it
-    holds `most` of them."""
+    """(groups..., piece, n): how often each piece occurs in each group, in partitions by piece, in its order. A task writes
+    its counts out whenever it holds `most` of them."""
     kinds = {g: texts.schema[g].dataType.simpleString() for g in groups}
 
     def run(batches):
-        pieces = _pieces(path)
+        pieces = pieces_of(path)[0]
         held: dict[tuple, Counter] = {}
         size = 0
 
@@ -83,6 +61,8 @@ def piece_frequencies(texts: DataFrame, groups: list[str], text: str, path: str,
         b = None
         for b in batches:
             for *group, t in zip(*[b.column(g).to_pylist() for g in groups], b.column(text).to_pylist()):
+                if not t:
+                    continue
                 counts = held.setdefault(tuple(group), Counter())
                 size -= len(counts)
                 counts.update(pieces(t))
@@ -94,26 +74,32 @@ def piece_frequencies(texts: DataFrame, groups: list[str], text: str, path: str,
             yield out()
 
     schema = ", ".join([*[f"`{g}` {k}" for g, k in kinds.items()], "piece string, n long"])
-    return widened(texts.select(*groups, text)).mapInArrow(run, schema).groupBy(*groups, "piece").agg(F.sum("n").alias("n"))
+    counted = spread(widened(texts.select(*groups, text)).mapInArrow(run, schema), "piece")
+    return counted.groupBy("piece", *groups).agg(F.sum("n").alias("n")).sortWithinPartitions("piece")
 
 
-def piece_lengths(pieces: DataFrame, path: str) -> DataFrame:
-    """(piece, tokens) of a table of distinct pieces."""
+def with_tokens(frequencies: DataFrame, groups: list[str], path: str) -> DataFrame:
+    """(groups..., tokens): each row of frequencies, its count times its piece's length, of which each is made once."""
+    schema = ", ".join([*[f"`{g}` {frequencies.schema[g].dataType.simpleString()}" for g in groups], "tokens long"])
 
     def run(batches):
-        tokenize, turn = _tokenizer(path).model.tokenize, _splitter(path)[1]
+        length = pieces_of(path)[1]
+        last, its = None, 0
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("piece"), pa.array([len(tokenize(turn(p))) for p in b.column("piece").to_pylist()], pa.int64())], ["piece", "tokens"])
+            if b.num_rows:
+                piece = pc.dictionary_encode(b.column("piece"))
+                distinct = piece.dictionary.to_pylist()
+                lengths = np.array([its if p == last else length(p) for p in distinct], dtype=np.int64)
+                last, its = distinct[-1], lengths[-1]
+                tokens = lengths[piece.indices.to_numpy()] * b.column("n").to_numpy()
+                yield pa.RecordBatch.from_arrays([*b.select(groups).columns, pa.array(tokens)], [*groups, "tokens"])
 
-    return pieces.mapInArrow(run, "piece string, tokens long")
+    return frequencies.mapInArrow(run, schema)
 
 
-def token_budget(texts: DataFrame, groups: list[str], text: str = "text", tokenizer: str = "byte_bpe_50k.json", folder: str = FOLDER) -> DataFrame:
-    """(groups..., texts, chars, tokens) of each group."""
-    path = f"{folder}/{tokenizer}"
-    frequencies = piece_frequencies(texts, groups, text, path)
-    lengths = piece_lengths(spread(frequencies.select("piece").distinct(), "piece"), path)
-    tokens = frequencies.join(lengths, "piece").groupBy(*groups).agg(F.sum(F.col("n") * F.col("tokens")).alias("tokens"))
+def token_budget(texts: DataFrame, groups: list[str], path: str, text: str = "text") -> DataFrame:
+    """(groups..., texts, chars, tokens) of each group, by the tokenizer file at path, which every executor must have."""
+    tokens = with_tokens(piece_frequencies(texts, groups, text, path), groups, path).groupBy(*groups).agg(F.sum("tokens").alias("tokens"))
     sizes = texts.groupBy(*groups).agg(F.count(F.lit(1)).alias("texts"), F.sum(F.coalesce(F.char_length(text), F.lit(0))).cast("long").alias("chars"))
     renamed = tokens.select(*[F.col(g).alias(f"_{g}") for g in groups], "tokens")
     joined = sizes.join(renamed, [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in groups], "left")

@@ -2,6 +2,7 @@ import pytest
 
 pytest.importorskip("tokenizers")
 from granary.llm.mixing import Mix, route  # noqa: E402
+from granary.llm.queries import BYTE_BPE  # noqa: E402
 
 DOCS = "doc_id long, text string, source string, passes int"
 TARGETS = "source string, weight double, max_repeats int"
@@ -22,7 +23,7 @@ def test_route_uses_overlap_and_repeats_last():
 
 def test_shares_are_exact_within_a_text(spark):
     targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.3, 2), ("c", 0.2, 3), ("none", 0.3, 2), ("z", 0.0, 1), ("y", None, 1), (None, 1.0, 1)], TARGETS)
-    got = {r.source: r for r in Mix(bucket_rows=20).report(docs(spark), targets).collect()}
+    got = {r.source: r for r in Mix(BYTE_BPE, bucket_rows=20).report(docs(spark), targets).collect()}
     drawn = sum(r.drawn_tokens for r in got.values())
     assert got["none"].drawn_tokens == 0 and set(got) == {"a", "b", "c", "none"}
     for s, share in (("a", 0.5), ("b", 0.3), ("c", 0.2)):
@@ -31,15 +32,32 @@ def test_shares_are_exact_within_a_text(spark):
 
 def test_caps_bind_and_selection_is_seeded(spark):
     targets = spark.createDataFrame([("a", 0.5, 1), ("c", 0.5, 2)], TARGETS)
-    mix = Mix(total=10**9)
+    mix = Mix(BYTE_BPE, total=10**9)
     rows = mix.select(docs(spark), targets).collect()
     assert {r.passes for r in rows if r.source == "a"} == {1} and {r.passes for r in rows if r.source == "c"} == {2}
     assert len({r.doc_id for r in rows}) == len(rows) and 1001 in {r.doc_id for r in rows}
-    small = lambda seed: sorted((r.doc_id, r.source, r.passes) for r in Mix(seed=seed, total=500).select(docs(spark), targets).collect())
+    small = lambda seed: sorted((r.doc_id, r.source, r.passes) for r in Mix(BYTE_BPE, seed=seed, total=500).select(docs(spark), targets).collect())
     assert small(1) == small(1) != small(2)
 
 
 def test_nothing(spark):
     targets = spark.createDataFrame([("a", 1.0, 1)], TARGETS)
-    assert Mix().select(spark.createDataFrame([], DOCS), targets).collect() == []
-    assert Mix().select(docs(spark), spark.createDataFrame([], TARGETS)).collect() == []
+    assert Mix(BYTE_BPE).select(spark.createDataFrame([], DOCS), targets).collect() == []
+    assert Mix(BYTE_BPE).select(docs(spark), spark.createDataFrame([], TARGETS)).collect() == []
+
+
+def test_all_tokens_and_too_many_patterns(spark):
+    targets = spark.createDataFrame([("a", 0.9, 1), ("c", 0.1, 2)], TARGETS)
+    got = {r.source: r for r in Mix(BYTE_BPE, total="all").report(docs(spark), targets).collect()}
+    assert got["a"].drawn_tokens == got["a"].available_tokens and got["a"].share < 0.9
+    with pytest.raises(ValueError, match="sets of sources"):
+        Mix(BYTE_BPE, most_patterns=1).select(docs(spark), targets)
+
+
+def test_sizes_are_the_library_s(spark):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(BYTE_BPE)
+    rows = {r.h: r.tokens for r in Mix(BYTE_BPE).sized(docs(spark), ["a", "b", "c"]).collect()}
+    texts = {r.text for r in docs(spark).where("doc_id < 2000").collect()}
+    assert sorted(rows.values()) == sorted(len(t.encode(x).ids) for x in texts)
