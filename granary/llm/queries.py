@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import token_estimate
@@ -233,14 +233,20 @@ WITH w AS (SELECT {SQL_WHITE} AS ws),
 t AS (SELECT lower(trim(source, ws)) AS source, arg_max(weight, (weight, max_repeats)) AS weight, arg_max(max_repeats, (weight, max_repeats)) AS max_repeats FROM mix_targets, w WHERE trim(source, ws) <> '' AND weight > 0 AND max_repeats > 0 GROUP BY 1),
 d AS (SELECT DISTINCT lower(trim(source, ws)) AS source FROM documents, w WHERE trim(coalesce(text, ''), ws) <> ''),
 a AS (SELECT t.source, weight, d.source IS NOT NULL AS has_texts FROM t LEFT JOIN d ON d.source = t.source)
-SELECT source, has_texts, CASE WHEN has_texts THEN round(weight / (SELECT sum(weight) FROM a WHERE has_texts), 2) ELSE 0.0 END AS share, true AS within_repeats FROM a"""
+SELECT source, CASE WHEN has_texts THEN round(weight / (SELECT sum(weight) FROM a WHERE has_texts), 6) ELSE 0.0 END AS wanted_share, true AS reached, true AS within_repeats FROM a"""
 
 
 @query(SQL_P8_CHECKED)
 def p8_checked(spark: SparkSession, folder: str) -> DataFrame:
-    """What must hold of the shares: each source with texts reaches its scaled weight within its repeats."""
-    got = p8_shares(spark, folder)
-    return got.select("source", (F.col("available_tokens") > 0).alias("has_texts"), F.round("share", 2).alias("share"), (F.col("most_passes") <= F.col("max_repeats")).alias("within_repeats"))
+    """What must hold of the mix: each source's tokens reach its scaled weight of all, but for the longest texts drawn, and no
+    text is passed more often than its source allows."""
+    report, drawn = p8_shares(spark, folder), p8_selection(spark, folder).groupBy("source").agg(F.max("tokens").alias("longest"), F.max("passes").alias("passes"))
+    each = report.join(drawn, "source", "left").na.fill(0)
+    every = Window.partitionBy()  # a row a target
+    scaled = F.when(F.col("available_tokens") > 0, F.col("weight")).otherwise(0.0)
+    wanted = F.when(F.sum(scaled).over(every) > 0, scaled / F.sum(scaled).over(every)).otherwise(0.0)
+    off = F.abs(F.col("drawn_tokens") - wanted * F.sum("drawn_tokens").over(every))
+    return each.select("source", F.round(wanted, 6).alias("wanted_share"), (off <= F.sum("longest").over(every)).alias("reached"), (F.col("passes") <= F.col("max_repeats")).alias("within_repeats"))
 
 
 SQL_P6_CHECKED = f"""
