@@ -77,10 +77,10 @@ def sentence_split(spark: SparkSession, folder: str) -> DataFrame:
     return parts.select("doc_id", (F.col("p") + 1).alias("position"), "sentence")
 
 
-@query("""SELECT query_id, 'Encode for retrieval: Q: ' || query_text AS templated, 'Q: ' || query_text || ' ?' AS filled FROM queries WHERE query_text IS NOT NULL""")
+@query("""SELECT query_id, 'Find passages about: ask ' || query_text AS templated, 'ask ' || query_text || ' ?' AS filled FROM queries WHERE query_text IS NOT NULL""")
 def prepare_texts(spark: SparkSession, folder: str) -> DataFrame:
     q = F.col("query_text")
-    return table(spark, folder, "queries").where(q.isNotNull()).select("query_id", tx.prepared(q, "Q: ", "Encode for retrieval: ").alias("templated"), tx.prepared(q, "Q: ", "{text} ?").alias("filled"))
+    return table(spark, folder, "queries").where(q.isNotNull()).select("query_id", tx.prepared(q, "ask ", "Find passages about: ").alias("templated"), tx.prepared(q, "ask ", "{text} ?").alias("filled"))
 
 
 @query("""SELECT doc_id || '#c' || lpad((c."order")::VARCHAR, greatest(3, length(n::VARCHAR))::INT, '0') AS chunk_id FROM (SELECT doc_id, len(candidates) AS n, unnest(candidates) AS c FROM doc_candidates)""")
@@ -178,10 +178,10 @@ def doc_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def judgment_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """A line a judgment; three cells where split is null, x for a null relevance."""
+    """A line a judgment; three cells where split is null, x for a null relevance. Relevances go beyond 32 bits."""
     cells = ["query_id", F.lit("0"), "doc_id"]
     first = F.concat_ws("\t", *[txt(c) if isinstance(c, str) else c for c in cells])
-    last = F.concat(F.lit("\t"), F.coalesce(F.col("relevance").cast("string"), F.lit("x")))
+    last = F.concat(F.lit("\t"), F.coalesce((F.col("relevance").cast("long") * 1_500_000_000).cast("string"), F.lit("x")))
     q = table(spark, folder, "qrels")
     return q.select("judged_at", "loaded_at", F.concat(first, F.when(F.col("split").isNull(), "").otherwise(last)).alias("line"))
 
@@ -189,9 +189,9 @@ def judgment_lines(spark: SparkSession, folder: str) -> DataFrame:
 SQL_QRELS = f"""{WS}, {SQL_QUERIES},
 okq AS (SELECT DISTINCT query_id FROM qk WHERE issue IS NULL),
 okd AS (SELECT DISTINCT doc_id FROM docs, w WHERE len({SQL_CLEAN}) > 0),
-rl AS (SELECT judged_at, loaded_at, coalesce(query_id, '') || chr(9) || '0' || chr(9) || coalesce(doc_id, '') || CASE WHEN split IS NULL THEN '' ELSE chr(9) || coalesce(relevance::VARCHAR, 'x') END AS line FROM qrels),
+rl AS (SELECT judged_at, loaded_at, coalesce(query_id, '') || chr(9) || '0' || chr(9) || coalesce(doc_id, '') || CASE WHEN split IS NULL THEN '' ELSE chr(9) || coalesce((relevance::BIGINT * 1500000000)::VARCHAR, 'x') END AS line FROM qrels),
 rc AS (SELECT judged_at, loaded_at, line, string_split(line, chr(9)) AS c, ws FROM rl, w),
-rd AS (SELECT judged_at, loaded_at, line, len(c) AS n, trim(c[1], ws) AS query_id, trim(c[3], ws) AS doc_id, try_cast(trim(c[4], ws) AS INT) AS relevance FROM rc),
+rd AS (SELECT judged_at, loaded_at, line, len(c) AS n, trim(c[1], ws) AS query_id, trim(c[3], ws) AS doc_id, try_cast(trim(c[4], ws) AS BIGINT) AS relevance FROM rc),
 rj AS (SELECT *, CASE WHEN n <> 4 THEN 'invalid_qrel_row_format' WHEN query_id = '' THEN 'missing_qrel_query_id' WHEN doc_id = '' THEN 'missing_qrel_doc_id' WHEN relevance IS NULL THEN 'invalid_relevance'
   WHEN query_id NOT IN (FROM okq) THEN 'missing_query_ref' WHEN doc_id NOT IN (FROM okd) THEN 'missing_doc_ref' END AS e FROM rd),
 ro AS (SELECT *, row_number() OVER (PARTITION BY query_id, doc_id, e IS NULL ORDER BY judged_at, loaded_at, line) AS r, first_value(relevance) OVER (PARTITION BY query_id, doc_id, e IS NULL ORDER BY judged_at, loaded_at, line) AS f FROM rj),
@@ -200,9 +200,13 @@ rk AS (SELECT *, CASE WHEN e IS NOT NULL THEN e WHEN r = 1 THEN NULL WHEN releva
 JUDGED = ("judged_at", "loaded_at", "line")
 
 
-def checked_qrels(spark: SparkSession, folder: str) -> co.Checked:
-    queries = co.tsv_queries(query_lines(spark, folder), "train", ORDER).accepted
-    return co.tsv_qrels(judgment_lines(spark, folder), queries, doc_ids(spark, folder), "train", JUDGED)
+def checked_queries(spark: SparkSession, folder: str) -> co.Checked:
+    return co.tsv_queries(query_lines(spark, folder), "train", ORDER)
+
+
+def checked_qrels(spark: SparkSession, folder: str, queries: co.Checked | None = None) -> co.Checked:
+    known = (queries or checked_queries(spark, folder)).accepted
+    return co.tsv_qrels(judgment_lines(spark, folder), known, doc_ids(spark, folder), "train", JUDGED)
 
 
 @query(f"WITH {SQL_QRELS} SELECT query_id, doc_id, relevance FROM rk WHERE issue IS NULL")
@@ -237,12 +241,14 @@ UNION ALL SELECT 'train', 'qrels_count', count(*) FROM rk WHERE issue IS NULL UN
 UNION ALL SELECT 'train', 'positive_query_count', count(*) FROM b UNION ALL SELECT 'train', 'orphan_query_count', count(*) FROM a WHERE query_id NOT IN (FROM b)""")
 def build_stats(spark: SparkSession, folder: str) -> DataFrame:
     docs = co.tsv_docs(corpus(spark, folder, "tsv"))
-    return co.build_stats(docs, {"train": (co.tsv_queries(query_lines(spark, folder), "train", ORDER), checked_qrels(spark, folder))})
+    queries = checked_queries(spark, folder)
+    return co.build_stats(docs, {"train": (queries, checked_qrels(spark, folder, queries))})
 
 
 @query(f"WITH {SQL_QRELS} SELECT query_id FROM qk WHERE issue IS NULL AND query_id NOT IN (SELECT query_id FROM rk WHERE issue IS NULL)")
 def anti_orphans(spark: SparkSession, folder: str) -> DataFrame:
-    return co.orphans(co.tsv_queries(query_lines(spark, folder), "train", ORDER).accepted, checked_qrels(spark, folder).accepted)
+    queries = checked_queries(spark, folder)
+    return co.orphans(queries.accepted, checked_qrels(spark, folder, queries).accepted)
 
 
 @query("SELECT split, count(*) AS judgments FROM qrels WHERE query_id IN (SELECT query_id FROM queries WHERE query_text IS NOT NULL) GROUP BY 1")
@@ -276,7 +282,7 @@ rk AS (SELECT *, CASE WHEN e IS NULL AND row_number() OVER (PARTITION BY query_i
 """
 
 
-@query(f"WITH {SQL_SPACED} SELECT query_id, doc_id, 1 AS relevance FROM rk WHERE issue IS NULL")
+@query(f"WITH {SQL_SPACED} SELECT query_id, doc_id, 1::BIGINT AS relevance FROM rk WHERE issue IS NULL")
 def ws_qrels_parse(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "qrels").select("judged_at", "loaded_at", F.concat_ws(" ", "query_id", F.lit("Q0"), "doc_id", F.col("relevance").cast("string")).alias("line"))
     queries = co.tsv_queries(query_lines(spark, folder), "train", ORDER).accepted
@@ -294,7 +300,7 @@ def claim_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"""WITH {WS}, {SQL_QUERIES}, okd AS (SELECT DISTINCT doc_id FROM docs, w WHERE len({SQL_CLEAN}) > 0),
 b AS (SELECT query_id FROM qrels WHERE query_id IS NOT NULL AND doc_id IS NOT NULL GROUP BY 1 HAVING NOT bool_or(relevance IS NULL))
-SELECT DISTINCT query_id, doc_id, 1 AS relevance FROM qrels WHERE query_id IN (FROM b) AND doc_id IN (FROM okd) AND query_id IN (SELECT query_id FROM qk WHERE issue IS NULL)""")
+SELECT DISTINCT query_id, doc_id, 1::BIGINT AS relevance FROM qrels WHERE query_id IN (FROM b) AND doc_id IN (FROM okd) AND query_id IN (SELECT query_id FROM qk WHERE issue IS NULL)""")
 def evidence_qrels(spark: SparkSession, folder: str) -> DataFrame:
     lines = claim_lines(spark, folder).withColumnRenamed("query_id", "own")
     queries = co.tsv_queries(query_lines(spark, folder), "train", ORDER).accepted
@@ -339,7 +345,7 @@ def hotpot_docs(spark: SparkSession, folder: str) -> DataFrame:
     return hops(spark, folder).docs.accepted.withColumn("doc_text", F.array_join("doc_text", "|"))
 
 
-@query(f"WITH {SQL_HOPS} SELECT query_id, query_id || '::' || title AS doc_id, 1 AS relevance FROM facts SEMI JOIN good_docs USING (query_id, title)")
+@query(f"WITH {SQL_HOPS} SELECT query_id, query_id || '::' || title AS doc_id, 1::BIGINT AS relevance FROM facts SEMI JOIN good_docs USING (query_id, title)")
 def hotpot_qrels(spark: SparkSession, folder: str) -> DataFrame:
     return hops(spark, folder).qrels.accepted
 
@@ -373,7 +379,72 @@ def car_outline_queries(spark: SparkSession, folder: str) -> DataFrame:
 # Chunks
 
 
-@query()
+def _cjk(x: str) -> str:
+    return f"length(regexp_replace({x}, '[^一-鿿]', '', 'g'))"
+
+
+def _tokens(c: str, o: str) -> str:
+    return f"greatest(1, {c} + ({o}) // 4)"
+
+
+def _size(x: str) -> str:
+    return _tokens(_cjk(x), f"length({x}) - {_cjk(x)}")
+
+
+#: Each delivery of a doc (r) with its cleaned texts.
+SQL_TEXTS = f"""{WS}, texts AS (SELECT row_number() OVER () AS r, doc_id, {SQL_CLEAN} AS kept FROM docs, w),
+items AS (SELECT r, doc_id, generate_subscripts(kept, 1) AS b, unnest(kept) AS x FROM texts)"""
+
+
+def sql_pack(name: str, parts: str, glue: str, limit: int) -> str:
+    """CTEs from parts (r, b, i, part), i from 1 in each (r, b), to name (r, b, chunk, text, big): joined up to the limit. Without
+    glue a part beyond the limit stays alone (big)."""
+    alone = f"{_tokens('p.c', 'p.o')} > {limit}" if not glue else "false"
+    fresh = f"(q.big OR {alone} OR {_tokens('q.c + p.c', f'q.o + {len(glue)} + p.o')} > {limit})"
+    return f"""{name}_p AS (SELECT *, {_cjk("part")} AS c, length(part) - {_cjk("part")} AS o FROM {parts}),
+{name}_q AS (SELECT r, b, i, 1 AS chunk, c, o, {alone} AS big, part FROM {name}_p p WHERE i = 1
+  UNION ALL SELECT p.r, p.b, p.i, q.chunk + {fresh}::INT, CASE WHEN {fresh} THEN p.c ELSE q.c + p.c END, CASE WHEN {fresh} THEN p.o ELSE q.o + {len(glue)} + p.o END, {alone}, p.part
+  FROM {name}_q q JOIN {name}_p p ON p.r = q.r AND p.b = q.b AND p.i = q.i + 1),
+{name} AS (SELECT r, b, chunk, string_agg(part, '{glue}' ORDER BY i) AS text, bool_or(big) AS big FROM {name}_q GROUP BY r, b, chunk)"""
+
+
+def sql_chars(name: str, source: str, limit: int) -> str:
+    """CTEs from source (r, b, chunk, x) to name (..., s, text): the longest pieces within the limit, from the left."""
+    step = lambda at: f"list_max(list_filter(range(1, {4 * limit + 4}), lambda k: {at} + k - 1 <= length(x) AND {_size(f'substr(x, {at}, k)')} <= {limit}))"
+    return f"""{name}_q AS (SELECT r, b, chunk, x, 1::BIGINT AS s, {step("1")} AS n FROM {source} WHERE x <> ''
+  UNION ALL SELECT r, b, chunk, x, s + n, {step("(s + n)")} FROM {name}_q WHERE s + n <= length(x)),
+{name} AS (SELECT r, b, chunk, s, substr(x, s, n) AS text FROM {name}_q)"""
+
+
+def sql_merge(name: str, source: str, small: int = 200, goal: int = 600) -> str:
+    """CTEs from source (r, chunks: a list) to name (r, done: the list with small chunks merged)."""
+    n = lambda a, b: _tokens(f"{_cjk(a)} + {_cjk(b)}", f"length({a}) + length({b}) + 2 - {_cjk(a)} - {_cjk(b)}")
+    cost = lambda a, b: f"row({n(a, b)} > {goal}, abs({goal} - {n(a, b)}), {n(a, b)})"
+    glued = lambda a, b: f"rtrim({a}, {SQL_WHITE}) || chr(10) || chr(10) || ltrim({b}, {SQL_WHITE})"
+    left = f"len(done) > 0 AND (len(todo) = 1 OR {cost('done[-1]', 'todo[1]')} <= {cost('todo[1]', 'todo[2]')})"
+    return f"""{name}_q AS (SELECT r, []::VARCHAR[] AS done, chunks AS todo FROM {source}
+  UNION ALL SELECT r, CASE k WHEN 'keep' THEN list_append(done, todo[1]) WHEN 'left' THEN done[:-2] ELSE done END,
+    CASE k WHEN 'keep' THEN todo[2:] WHEN 'left' THEN list_prepend({glued("done[-1]", "todo[1]")}, todo[2:]) ELSE list_prepend({glued("todo[1]", "todo[2]")}, todo[3:]) END
+  FROM (SELECT *, CASE WHEN {_size("todo[1]")} >= {small} OR len(done) = 0 AND len(todo) = 1 THEN 'keep' WHEN {left} THEN 'left' ELSE 'right' END AS k FROM {name}_q WHERE len(todo) > 0)),
+{name} AS (SELECT r, done FROM {name}_q WHERE len(todo) = 0)"""
+
+
+SQL_SENTENCES = """list_filter(list_transform(string_split(regexp_replace(regexp_replace(x, '([.!?])\\s+', '\\1' || chr(30), 'g'), '([。！？])\\s*', '\\1' || chr(30), 'g'), chr(30)), lambda y: trim(y, ws)), lambda y: y <> '')"""
+SQL_PACKED = f"{SQL_TEXTS}, parts AS (SELECT r, 0 AS b, b AS i, x AS part FROM items), {sql_pack('packed', 'parts', ' ', 600)}"
+_AT = "(row_number() OVER (PARTITION BY r ORDER BY {}) - 1)::INT AS position"
+
+SQL_CANDIDATE_CHUNKS = f"""{SQL_TEXTS},
+one AS (SELECT r, kept[1] AS text FROM texts WHERE len(kept) = 1),
+para AS (SELECT r, ps, unnest(ps) AS p, generate_subscripts(ps, 1) AS i FROM (SELECT r, list_filter(list_transform(regexp_split_to_array(text, '\\n{{2,}}'), lambda y: trim(y, ws)), lambda y: y <> '') AS ps FROM one, w)),
+blocked AS (SELECT *, sum(CASE WHEN i > 1 AND regexp_matches(p, '^(?:[-*•]|(?:\\(?\\d+\\)?|[A-Z]|[IVXivx]+)[\\.\\):])\\s+') THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY i) AS b FROM para),
+block AS (SELECT r, b, string_agg(p, ' ' ORDER BY i) AS x FROM blocked GROUP BY 1, 2),
+cut AS (SELECT r, b, CASE WHEN {_size("x")} <= 600 THEN [x] ELSE {SQL_SENTENCES} END AS ss FROM block, w),
+parts AS (SELECT r, b, generate_subscripts(ss, 1) AS i, unnest(ss) AS part FROM cut UNION ALL SELECT r, 0, b, x FROM items WHERE r NOT IN (SELECT r FROM one)),
+{sql_pack("packed", "parts", " ", 600)},
+lists AS (SELECT r, list(text ORDER BY b, chunk) AS chunks FROM packed GROUP BY 1), {sql_merge("merged", "lists")}"""
+
+
+@query(f"""WITH RECURSIVE {SQL_CANDIDATE_CHUNKS} SELECT doc_id, (generate_subscripts(done, 1))::INT AS "order", unnest(done) AS text FROM merged JOIN texts USING (r)""")
 def split_to_candidates(spark: SparkSession, folder: str) -> DataFrame:
     return em.doc_candidates(table(spark, folder, "docs")).select("doc_id", F.inline("candidates"))
 
@@ -382,22 +453,30 @@ def over_texts(spark: SparkSession, folder: str, f) -> DataFrame:
     return table(spark, folder, "docs").select("doc_id", F.posexplode(chunking.texts_udf(f)(tx.clean_items("doc_text"))).alias("position", "chunk"))
 
 
-@query()
+@query(f"WITH RECURSIVE {SQL_PACKED} SELECT doc_id, {_AT.format('chunk')}, text AS chunk FROM packed JOIN texts USING (r)")
 def greedy_pack(spark: SparkSession, folder: str) -> DataFrame:
     return over_texts(spark, folder, chunking.Chunker().pack_sentences)
 
 
-@query()
+SQL_HARD = rf"""{SQL_TEXTS},
+long AS (SELECT r, b, list_filter(list_transform(regexp_extract_all(x, '[,，:：、\s\x0b\x1c-\x1f\x{{85}}\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]+|[^,，:：、\s\x0b\x1c-\x1f\x{{85}}\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]+'), lambda y: trim(y, ws)), lambda y: y <> '') AS ps FROM items, w WHERE {_size("x")} > 40),
+parts AS (SELECT r, b, generate_subscripts(ps, 1) AS i, unnest(ps) AS part FROM long),
+{sql_pack("packed", "parts", "", 40)},
+wide AS (SELECT r, b, chunk, text AS x FROM packed WHERE big), {sql_chars("narrow", "wide", 40)},
+every AS (SELECT r, b, 0 AS chunk, 0 AS s, x AS text FROM items WHERE {_size("x")} <= 40 UNION ALL SELECT r, b, chunk, 0, text FROM packed WHERE NOT big UNION ALL FROM narrow)"""
+
+
+@query(f"WITH RECURSIVE {SQL_HARD} SELECT doc_id, {_AT.format('b, chunk, s')}, text AS chunk FROM every JOIN texts USING (r)")
 def hard_split(spark: SparkSession, folder: str) -> DataFrame:
     return over_texts(spark, folder, lambda xs: [c for x in xs for c in chunking.Chunker().split_long(x, 40)])
 
 
-@query()
+@query(f"WITH RECURSIVE {SQL_TEXTS}, whole AS (SELECT r, b, 1 AS chunk, x FROM items), {sql_chars('narrow', 'whole', 40)} SELECT doc_id, {_AT.format('b, s')}, text AS chunk FROM narrow JOIN texts USING (r)")
 def char_split(spark: SparkSession, folder: str) -> DataFrame:
     return over_texts(spark, folder, lambda xs: [c for x in xs for c in chunking.Chunker().split_chars(x, 40)])
 
 
-@query()
+@query(f"WITH RECURSIVE {SQL_TEXTS}, lists AS (SELECT r, kept AS chunks FROM texts WHERE len(kept) > 0), {sql_merge('merged', 'lists')} SELECT doc_id, (generate_subscripts(done, 1) - 1)::INT AS position, unnest(done) AS chunk FROM merged JOIN texts USING (r)")
 def merge_small(spark: SparkSession, folder: str) -> DataFrame:
     return over_texts(spark, folder, chunking.Chunker().merge_small)
 
@@ -457,11 +536,11 @@ def direct_keep(spark: SparkSession, folder: str) -> DataFrame:
     return picks(em.selected_chunks(chunk_vectors(spark, folder, 3).where(F.size("vectors") <= 3)))
 
 
-@query(f"WITH {SQL_VECTORS}, u AS (SELECT doc_id, i, {SQL_UNIT} AS e FROM v0) SELECT doc_id, i AS chunk, round(e[1], 6) + 0.0 AS first, round(e[64], 6) + 0.0 AS last FROM u")
+@query(f"WITH {SQL_VECTORS}, u AS (SELECT doc_id, i, {SQL_UNIT} AS e FROM v0) SELECT doc_id, i AS chunk, (generate_subscripts(e, 1))::INT AS position, round(unnest(e), 6) + 0.0 AS value FROM u")
 def l2_normalize(spark: SparkSession, folder: str) -> DataFrame:
     unit = chunk_vectors(spark, folder).select("doc_id", F.posexplode(F.transform("vectors", vx.normalized)).alias("p", "e"))
-    at = lambda n: F.round(F.get("e", F.lit(n)), 6) + F.lit(0.0)
-    return unit.select("doc_id", (F.col("p") + 1).alias("chunk"), at(0).alias("first"), at(63).alias("last"))
+    each = unit.select("doc_id", (F.col("p") + 1).alias("chunk"), F.posexplode("e").alias("q", "x"))
+    return each.select("doc_id", "chunk", (F.col("q") + 1).alias("position"), (F.round("x", 6) + F.lit(0.0)).alias("value"))
 
 
 @query(f"WITH {sql_mmr(SQL_VECTORS)} SELECT doc_id, (generate_subscripts(e, 1))::INT AS position, round(unnest(e), 6) + 0.0 AS value FROM c")
@@ -491,23 +570,23 @@ def sql_profile(text: str) -> str:
     return "[" + ", ".join(f"(length(lower({text})) - length(replace(lower({text}), '{c}', '')))::DOUBLE" for c in STAND_IN.letters) + ", 1.0::DOUBLE]"
 
 
-@query(f"WITH {WS}, v AS (SELECT query_id, {sql_profile('query_text')} AS e FROM queries WHERE query_text IS NOT NULL), u AS (SELECT query_id, {SQL_UNIT} AS e FROM v) SELECT query_id, round(e[1], 6) AS first, round(e[{DIM}], 6) AS last FROM u")
+@query(f"WITH {WS}, v AS (SELECT query_id, {sql_profile('query_text')} AS e FROM queries WHERE query_text IS NOT NULL), u AS (SELECT query_id, {SQL_UNIT} AS e FROM v) SELECT query_id, (generate_subscripts(e, 1))::INT AS position, round(unnest(e), 6) AS value FROM u")
 def encode_queries(spark: SparkSession, folder: str) -> DataFrame:
     made = table(spark, folder, "queries").where("query_text is not null").select("query_id", encoders.encode_texts("stand-in", STAND_IN, DIM, True)("query_text").alias("e"))
-    return made.select("query_id", F.round(F.get("e", F.lit(0)), 6).alias("first"), F.round(F.get("e", F.lit(DIM - 1)), 6).alias("last"))
+    return made.select("query_id", F.posexplode("e").alias("p", "x")).select("query_id", (F.col("p") + 1).alias("position"), F.round("x", 6).alias("value"))
 
 
 SQL_CANDIDATES = f"""d AS (SELECT doc_id, row_number() OVER () AS row, c."text" AS text, c."order" AS o FROM (SELECT doc_id, unnest(candidates) AS c FROM doc_candidates)),
 w0 AS (SELECT doc_id, o, {sql_profile("coalesce(text, '')")} AS e FROM d)"""
 
 
-@query(f'WITH {SQL_CANDIDATES}, u AS (SELECT doc_id, o, {SQL_UNIT} AS e FROM w0) SELECT doc_id, o AS "order", round(e[1], 6) AS first, round(e[{DIM}], 6) AS last FROM u')
+@query(f'WITH {SQL_CANDIDATES}, u AS (SELECT doc_id, o, {SQL_UNIT} AS e FROM w0) SELECT doc_id, o AS "order", (generate_subscripts(e, 1))::INT AS position, round(unnest(e), 6) AS value FROM u')
 def encode_docs(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "doc_candidates").where(F.size("candidates") > 0)
     texts = F.transform("candidates", lambda c: F.coalesce(c["text"], F.lit("")))
     made = rows.select("doc_id", "candidates", encoders.encode_lists("stand-in", STAND_IN, DIM)(texts).alias("v"))
     each = made.select("doc_id", F.inline(F.arrays_zip(F.col("candidates.order").alias("o"), "v")))
-    return each.select("doc_id", F.col("o").alias("order"), F.round(F.get("v", F.lit(0)), 6).alias("first"), F.round(F.get("v", F.lit(DIM - 1)), 6).alias("last"))
+    return each.select("doc_id", F.col("o").alias("order"), F.posexplode("v").alias("p", "x")).select("doc_id", "order", (F.col("p") + 1).alias("position"), F.round("x", 6).alias("value"))
 
 
 @query()
@@ -529,11 +608,12 @@ def shard_assignment(spark: SparkSession, folder: str) -> DataFrame:
     return sinks.with_call_shards(table(spark, folder, "embeddings").withColumn("call", F.col("vec_id") + 1), "call", 100).select("vec_id", "shard")
 
 
-@query("SELECT query_id, query_text, round(query_embedding[1]::DOUBLE, 6) AS first FROM query_vectors")
+@query("SELECT query_id, query_text, query_embedding::VARCHAR IS NULL AS no_vector, (generate_subscripts(query_embedding, 1))::INT AS position, coalesce(round(unnest(query_embedding)::DOUBLE, 6), -9) + 0.0 AS value FROM query_vectors WHERE len(query_embedding) > 0")
 def parquet_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     at = _place(spark)
     sinks.write_shards(table(spark, folder, "query_vectors"), at, sinks.QUERY_COLUMNS, 1000)
-    return spark.read.parquet(at).select("query_id", "query_text", F.round(F.get("query_embedding", F.lit(0)).cast("double"), 6).alias("first"))
+    back = spark.read.parquet(at).select("query_id", "query_text", F.col("query_embedding").isNull().alias("no_vector"), F.posexplode("query_embedding").alias("p", "x"))
+    return back.select("query_id", "query_text", "no_vector", (F.col("p") + 1).alias("position"), (F.coalesce(F.round(F.col("x").cast("double"), 6), F.lit(-9.0)) + F.lit(0.0)).alias("value"))
 
 
 @query("SELECT query_id, doc_id, relevance FROM qrels")
@@ -547,5 +627,5 @@ def jsonl_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 def stream_candidates(spark: SparkSession, folder: str) -> DataFrame:
     at = _place(spark)
     docs = ingest.stream_parquet(spark, f"{folder}/docs.parquet*")
-    ingest.write_available(ingest.candidate_stream(docs), f"{at}/rows", f"{at}/checkpoint").awaitTermination()
+    ingest.write_available(ingest.candidate_stream(docs, "400 days"), f"{at}/rows", f"{at}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{at}/rows").select("doc_id", F.inline("candidates"))

@@ -6,6 +6,8 @@ import json
 from dataclasses import dataclass, fields, replace
 from pathlib import Path
 
+from . import storage
+
 
 class GranaryError(Exception):
     """Any failure that this library reports on purpose."""
@@ -103,10 +105,10 @@ def settings(raw) -> Settings:
 
 
 def load(path: str | Path) -> Settings:
-    p = Path(path)
-    if not p.is_file():
+    p = str(path)
+    if not storage.is_file(p):
         raise ConfigError(f"no settings file {p}")
-    text = p.read_text(encoding="utf-8")
+    text = storage.read_text(p)
     try:
         try:
             import yaml

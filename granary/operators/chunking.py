@@ -5,6 +5,7 @@ once per part and added up: a part's size is (its CJK characters, its other char
 
 from __future__ import annotations
 
+import importlib.util
 import re
 from collections import deque
 from collections.abc import Callable, Iterable
@@ -32,6 +33,19 @@ def regex_sentences(text: str) -> list[str]:
     return [s for s in map(str.strip, _SENTENCE.split(text)) if s]
 
 
+def native_sentences(text: str) -> list[str]:
+    """By the native segmenter, where it is installed."""
+    from blingfire import text_to_sentences_and_offsets
+
+    spans = text_to_sentences_and_offsets(text)[1] or [(0, len(text))]
+    return [s for s in (text[a:b].strip() for a, b in spans) if s]
+
+
+def segmenter() -> Segmenter:
+    """The native segmenter if it can be imported, else the stand-in."""
+    return native_sentences if importlib.util.find_spec("blingfire") else regex_sentences
+
+
 @dataclass(frozen=True)
 class Size:
     cjk: int = 0

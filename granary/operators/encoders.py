@@ -6,6 +6,7 @@ executors; batches are as large as the encoder wants, across rows. Every encoder
 from __future__ import annotations
 
 import json
+import logging
 import os
 import urllib.request
 from collections.abc import Callable
@@ -19,6 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+log = logging.getLogger("granary")
+
+
 class Encoder(Protocol):
     def encode(self, texts: list[str], is_query: bool) -> np.ndarray: ...
 
@@ -65,6 +69,18 @@ def token_lengths(encoder: Encoder, texts: list[str]) -> list[int] | None:
     return own(texts) if own else None
 
 
+def told_lengths(lengths: list[int], limit: int, name: str) -> dict[str, float]:
+    """Logs how many tokens a batch's texts have, and a warning for each from 80 % of the limit on; returns the figures."""
+    n = len(lengths)
+    told = {"texts": n, "least": min(lengths, default=0), "most": max(lengths, default=0), "mean": sum(lengths) / n if n else 0.0, "over_limit": sum(x > limit for x in lengths)}
+    log.info("%s: tokens of %d texts: %d to %d, %.2f on average, %d over %d", name, n, told["least"], told["most"], told["mean"], told["over_limit"], limit)
+    near = int(limit * 0.8)
+    for i, x in enumerate(lengths):
+        if 0 < near <= x:
+            log.warning("%s: text %d of the batch has %d tokens, limit %d", name, i, x, limit)
+    return told
+
+
 def post_json(url: str, body: dict, timeout: float) -> dict:
     request = urllib.request.Request(url, json.dumps(body).encode(), {"Content-Type": "application/json"})
     with urllib.request.urlopen(request, timeout=timeout) as reply:
@@ -120,6 +136,8 @@ class LocalEncoder:
             self.model.max_seq_length = self.length
 
     def encode(self, texts: list[str], is_query: bool = False) -> np.ndarray:
+        if self.provider == "sentence_transformers" and (lengths := token_lengths(self, texts)) is not None:
+            told_lengths(lengths, self.length, self.model_id)
         if self.provider == "flag_embedding":
             try:
                 out = self.model.encode(texts, batch_size=self.batch_size, max_length=self.length, return_dense=True)
@@ -208,8 +226,8 @@ def length_stats(df: DataFrame, length: Column, limit: int) -> DataFrame:
     )
 
 
-#: The environment variables that model libraries read, and their subfolders of the cache.
-CACHE_FOLDERS = {"HF_HOME": "hf_home", "HF_HUB_CACHE": "hf_hub", "HUGGINGFACE_HUB_CACHE": "hf_hub", "SENTENCE_TRANSFORMERS_HOME": "sentence_transformers"}
+#: The environment variables that model libraries read (the names; the folders are ours).
+CACHE_FOLDERS = {"HF_HOME": "shared", "HF_HUB_CACHE": "downloads", "HUGGINGFACE_HUB_CACHE": "downloads", "SENTENCE_TRANSFORMERS_HOME": "sentences"}
 
 
 def model_cache(root: str | Path | None = None, env: dict | None = None) -> tuple[Path, dict[str, str]]:

@@ -11,8 +11,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..runtime import checkpointed
-
 ISSUE = "struct<issue_type:string,record_id:string,detail:string>"
 
 
@@ -51,35 +49,39 @@ def with_reference(df: DataFrame, key: str, valid: DataFrame, issue_type: str, r
     return judged(joined, [Rule(issue_type, F.col("_ref").isNull(), record_id)]).drop("_ref")
 
 
-def first_wins(df: DataFrame, keys: list[str], order: Column, later: Column, carry: tuple[str, ...] = ()) -> DataFrame:
+def first_wins(df: DataFrame, keys: list[str], order: Column, later: Column, carry: tuple[str, ...] = (), unique: bool = False) -> DataFrame:
     """Marks every good row but the first of its keys with the issue `later`, a struct over the row and `first`, which has
     the first row's carried columns.
 
-    The first row is found by an aggregation that combines before the shuffle, and is joined back, so a key with very many
-    rows isn't one task's sort. Rows that tie in `order` are told apart among themselves only. The judged rows are read
-    several times for that, so they are written once: reading and parsing the source isn't repeated."""
-    rows = checkpointed(df.withColumn("_order", order))
-    ok, rest = rows.where(F.col("issue").isNull()), rows.where(F.col("issue").isNotNull())
+    The first row is found by an aggregation of keys, order and carried columns only, which combines before the shuffle, and
+    is joined back, so a key with very many rows isn't one task's sort and adaptive execution may split its join. Nothing
+    runs while the plan is made; the source is read twice, once by few columns. unique: order tells all rows apart. Else
+    rows of the same keys and order are numbered among themselves, and only those lie in one task."""
+    rows = df.withColumn("_order", order)
+    if unique:
+        rows = rows.withColumn("_copy", F.lit(1))
+    else:
+        rows = rows.withColumn("_copy", F.row_number().over(Window.partitionBy(*keys, "_order", F.col("issue").isNull()).orderBy(F.lit(1))))
+    ok = df.where(F.col("issue").isNull()).select(*keys, order.alias("_order"), *[c for c in carry if c not in keys])
     firsts = ok.groupBy(*keys).agg(F.min(F.struct("_order", *carry)).alias("first")).select(*[F.col(k).alias(f"_k_{k}") for k in keys], "first")
-    joined = ok.join(firsts, [F.col(k) == F.col(f"_k_{k}") for k in keys]).drop(*[f"_k_{k}" for k in keys])
-    tied = joined.where(F.col("_order") == F.col("first._order")).withColumn("_copy", F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(1))))
-    after = joined.where(F.col("_order") != F.col("first._order")).withColumn("_copy", F.lit(2))
-    marked = tied.unionByName(after).withColumn("issue", F.when(F.col("_copy") > 1, later.cast(ISSUE))).drop("first", "_copy")
-    return marked.unionByName(rest).drop("_order")
+    same = [F.col(k) == F.col(f"_k_{k}") for k in keys]
+    joined = rows.join(firsts, [F.col("issue").isNull(), *same], "left")
+    repeats = F.col("issue").isNull() & ((F.col("_copy") > 1) | (F.col("_order") != F.col("first._order")))
+    return joined.withColumn("issue", F.when(repeats, later.cast(ISSUE)).otherwise(F.col("issue"))).drop("_order", "_copy", "first", *[f"_k_{k}" for k in keys])
 
 
-def duplicates(df: DataFrame, key: str, order: Column, issue_type: str) -> DataFrame:
+def duplicates(df: DataFrame, key: str, order: Column, issue_type: str, unique: bool = False) -> DataFrame:
     """first_wins for an id: later rows of the id are issue_type, with the id as record_id."""
-    return first_wins(df, [key], order, _issue(issue_type, F.col(key), None))
+    return first_wins(df, [key], order, _issue(issue_type, F.col(key), None), unique=unique)
 
 
-def duplicate_judgments(df: DataFrame, order: Column) -> DataFrame:
+def duplicate_judgments(df: DataFrame, order: Column, unique: bool = False) -> DataFrame:
     """first_wins for (query_id, doc_id): same or conflicting by the relevance of the first row."""
     same = F.col("relevance") == F.col("first.relevance")
     new, old = F.col("relevance").cast("string"), F.col("first.relevance").cast("string")
     kind = F.when(same, "duplicate_qrel_same_relevance").otherwise("duplicate_qrel_conflicting_relevance")
     detail = F.when(same, new).otherwise(F.concat(F.lit("existing="), old, F.lit(", new="), new))
-    return first_wins(df, ["query_id", "doc_id"], order, _issue(kind, F.concat_ws("::", "query_id", "doc_id"), detail), ("relevance",))
+    return first_wins(df, ["query_id", "doc_id"], order, _issue(kind, F.concat_ws("::", "query_id", "doc_id"), detail), ("relevance",), unique)
 
 
 def issue_rows(df: DataFrame, record_type: str, split: str | None = None, action: str = "skip") -> DataFrame:

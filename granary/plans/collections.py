@@ -5,6 +5,7 @@ counts as the first."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +14,6 @@ from pyspark.sql import functions as F
 from ..functions.binding import computed
 from ..functions.text import strip
 from ..operators.rules import Rule, duplicate_judgments, duplicates, good, issue_rows, judged, with_reference
-from ..runtime import checkpointed
 from ..sources import json_records as js
 from ..sources import lines as ln
 from ..sources import paragraphs as pp
@@ -21,8 +21,19 @@ from ..sources import paragraphs as pp
 LINE_ORDER = ("file", "line_num")
 
 
-def _order(cols: tuple[str, ...]) -> Column:
-    return F.struct(*cols)
+def _order(cols: tuple[str, ...]) -> tuple[Column, bool]:
+    """The order as a value, and whether it tells the rows of a key apart, as file and line number do."""
+    return F.struct(*cols), cols[:2] in (LINE_ORDER, pp.ORDER)
+
+
+def unrepeated(rows: DataFrame, key: str, order: tuple[str, ...], issue_type: str) -> DataFrame:
+    by, unique = _order(order)
+    return duplicates(rows, key, by, issue_type, unique)
+
+
+def unrepeated_judgments(rows: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    by, unique = _order(order)
+    return duplicate_judgments(rows, by, unique)
 
 
 def pair_id() -> Column:
@@ -72,12 +83,12 @@ def _tsv_pairs(lines: DataFrame, record: str, key: str, text: str, split: str |
         Rule(f"missing_{record}_id", F.col(key) == ""),
         Rule(f"empty_{text}", F.col(text) == "", F.col(key)),
     ]
-    return Checked(duplicates(judged(rows, rules), key, _order(order), f"duplicate_{key}"), (key, text), record, split)
+    return Checked(unrepeated(judged(rows, rules), key, order, f"duplicate_{key}"), (key, text), record, split)
 
 
 def relevance(c: Column) -> Column:
-    """An integer as Python reads it: optional sign, digits, single underscores between them; null otherwise."""
-    return F.when(c.rlike(r"^[+-]?[0-9]+(_[0-9]+)*\z"), F.replace(c, F.lit("_"), F.lit("")).try_cast("int"))
+    """An integer of up to 64 bits as Python reads it: optional sign, digits, single underscores between them; null otherwise."""
+    return F.when(c.rlike(r"^[+-]?[0-9]+(_[0-9]+)*\z"), F.replace(c, F.lit("_"), F.lit("")).try_cast("bigint"))
 
 
 def tsv_qrels(lines: DataFrame, queries: DataFrame, docs: DataFrame, split: str, order: tuple[str, ...] = LINE_ORDER) -> Checked:
@@ -96,7 +107,7 @@ def referenced(rows: DataFrame, queries: DataFrame, docs: DataFrame, split: str
     """Judgments with their references checked, then their duplicates."""
     rows = with_reference(rows, "query_id", queries.select("query_id"), "missing_query_ref", query_record)
     rows = with_reference(rows, "doc_id", docs.select("doc_id"), "missing_doc_ref", pair_id())
-    return Checked(duplicate_judgments(rows, _order(order)), ("query_id", "doc_id", "relevance"), "qrel", split)
+    return Checked(unrepeated_judgments(rows, order), ("query_id", "doc_id", "relevance"), "qrel", split)
 
 
 # JSON-lines collections: docs with sentence lists, queries with evidence
@@ -130,14 +141,14 @@ def json_docs(lines: DataFrame, order: tuple[str, ...] = LINE_ORDER) -> Checked:
         Rule("invalid_abstract_format", F.col("abstract_kind") != "list", F.col("doc_id"), F.concat(F.lit("type="), F.col("abstract_kind"))),
         Rule("empty_doc_text", F.size("doc_text") == 0, F.col("doc_id")),
     ]
-    return Checked(duplicates(judged(rows, rules), "doc_id", _order(order), "duplicate_doc_id"), ("doc_id", "title", "doc_text"), "doc")
+    return Checked(unrepeated(judged(rows, rules), "doc_id", order, "duplicate_doc_id"), ("doc_id", "title", "doc_text"), "doc")
 
 
 def json_queries(lines: DataFrame, split: str, order: tuple[str, ...] = LINE_ORDER) -> Checked:
     v = F.col("v")
     rows = _fields(lines, {"query_id": js.as_text(js.member(v, "id")), "query_text": js.as_text(js.member(v, "claim"))})
     rules = [*_json_rules("query"), Rule("missing_query_id", F.col("query_id") == ""), Rule("empty_query_text", F.col("query_text") == "", F.col("query_id"))]
-    return Checked(duplicates(judged(rows, rules), "query_id", _order(order), "duplicate_query_id"), ("query_id", "query_text"), "query", split)
+    return Checked(unrepeated(judged(rows, rules), "query_id", order, "duplicate_query_id"), ("query_id", "query_text"), "query", split)
 
 
 def evidence_qrels(lines: DataFrame, queries: DataFrame, docs: DataFrame, split: str, order: tuple[str, ...] = LINE_ORDER) -> tuple[Checked, DataFrame]:
@@ -150,9 +161,9 @@ def evidence_qrels(lines: DataFrame, queries: DataFrame, docs: DataFrame, split:
     rows = judged(rows, [Rule("invalid_evidence_format", F.col("evidence_kind") != "dict", F.col("query_id"), F.concat(F.lit("type="), F.col("evidence_kind")))])
     keys = F.transform("doc_ids", strip)
     each = rows.where(F.col("issue").isNull()).select(*order, "query_id", F.explode(F.concat(F.array_distinct(F.filter(keys, lambda k: k != "")), F.filter(keys, lambda k: k == ""))).alias("doc_id"))
-    each = judged(each.withColumn("relevance", F.lit(1)), [Rule("missing_evidence_doc_id", F.col("doc_id") == "", F.col("query_id"))])
+    each = judged(each.withColumn("relevance", F.lit(1).cast("long")), [Rule("missing_evidence_doc_id", F.col("doc_id") == "", F.col("query_id"))])
     each = with_reference(each, "doc_id", docs.select("doc_id"), "missing_doc_ref", pair_id())
-    checked = Checked(duplicate_judgments(each, _order(order)), ("query_id", "doc_id", "relevance"), "qrel", split)
+    checked = Checked(unrepeated_judgments(each, order), ("query_id", "doc_id", "relevance"), "qrel", split)
     return checked, issue_rows(rows, "qrel", split)
 
 
@@ -167,8 +178,8 @@ class MultiHop:
     notes: DataFrame  # issues that skip nothing: a context or a list of facts of the wrong type
 
 
-def multi_hop(samples: DataFrame, split: str, order: tuple[str, ...] = LINE_ORDER) -> MultiHop:
-    """samples: (order columns, v VARIANT)."""
+def multi_hop(samples: DataFrame, split: str, order: tuple[str, ...] = LINE_ORDER, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> MultiHop:
+    """samples: (order columns, v VARIANT). keep may store the accepted samples, from which docs, facts and notes all start."""
     js.enable(samples.sparkSession)
     v = F.col("v")
     kind = js.python_type(v)
@@ -181,8 +192,8 @@ def multi_hop(samples: DataFrame, split: str, order: tuple[str, ...] = LINE_ORDE
         Rule("missing_query_id", F.col("query_id") == ""),
         Rule("empty_query_text", F.col("query_text") == "", F.col("query_id")),
     ]
-    queries = Checked(duplicates(judged(rows, rules), "query_id", _order(order), "duplicate_query_id"), ("query_id", "query_text"), "query", split)
-    kept = checkpointed(queries.rows.where(F.col("issue").isNull()).drop("issue"))  # docs, facts and notes all start from it
+    queries = Checked(unrepeated(judged(rows, rules), "query_id", order, "duplicate_query_id"), ("query_id", "query_text"), "query", split)
+    kept = keep(queries.rows.where(F.col("issue").isNull()).drop("issue"))
     wrong = lambda part, name, record: issue_rows(judged(kept, [Rule(name, F.col(f"{part}_kind") != "list", F.col("query_id"), F.concat(F.lit("type="), F.col(f"{part}_kind")))]), record, split)
     notes = wrong("context", "invalid_context_format", "doc").unionByName(wrong("facts", "invalid_supporting_facts_format", "qrel"))
 
@@ -203,10 +214,10 @@ def multi_hop(samples: DataFrame, split: str, order: tuple[str, ...] = LINE_ORDE
         Rule("invalid_context_sentences_format", F.col("second_kind") != "list", own, F.concat(F.lit("type="), F.col("second_kind"))),
         Rule("empty_doc_sentences", F.size("doc_text") == 0, own),
     ]
-    docs = Checked(duplicates(judged(context, rules), "doc_id", _order((*order, "at")), "duplicate_doc_id"), ("doc_id", "title", "doc_text"), "doc", split)
+    docs = Checked(unrepeated(judged(context, rules), "doc_id", (*order, "at"), "duplicate_doc_id"), ("doc_id", "title", "doc_text"), "doc", split)
     nth = F.concat(F.lit("fact_idx="), F.col("at").cast("string"))
     facts = judged(
-        entries("facts").drop("second_kind", "doc_text").withColumns({"doc_id": own, "relevance": F.lit(1)}),
+        entries("facts").drop("second_kind", "doc_text").withColumns({"doc_id": own, "relevance": F.lit(1).cast("long")}),
         [Rule("invalid_supporting_fact_entry_format", ~F.col("pair"), F.col("query_id"), nth), Rule("missing_supporting_fact_title", F.col("title") == "", F.col("query_id"), nth)],
     )
     columns = ["query_id", "doc_id", "relevance", "issue"]
@@ -240,19 +251,19 @@ def multi_hop_stats(builds: dict[str, MultiHop]) -> DataFrame:
 def paragraph_docs(rows: DataFrame, order: tuple[str, ...]) -> Checked:
     rows = rows.withColumns({"doc_id": pp.paragraph_id(), "doc_text": pp.paragraph_text()})
     rules = [Rule("missing_doc_id", F.col("doc_id") == ""), Rule("empty_doc_text", F.col("doc_text") == "", F.col("doc_id"))]
-    return Checked(duplicates(judged(rows, rules), "doc_id", _order(order), "duplicate_doc_id"), ("doc_id", "doc_text"), "doc")
+    return Checked(unrepeated(judged(rows, rules), "doc_id", order, "duplicate_doc_id"), ("doc_id", "doc_text"), "doc")
 
 
 def outline_queries(rows: DataFrame, split: str, order: tuple[str, ...]) -> Checked:
     rows = rows.withColumns({"query_id": F.coalesce(strip("page_id"), F.lit("")), "query_text": F.coalesce(strip("page_name"), F.lit(""))})
     rules = [Rule("missing_query_id", F.col("query_id") == ""), Rule("empty_query_text", F.col("query_text") == "", F.col("query_id"))]
-    return Checked(duplicates(judged(rows, rules), "query_id", _order(order), "duplicate_query_id"), ("query_id", "query_text"), "query", split)
+    return Checked(unrepeated(judged(rows, rules), "query_id", order, "duplicate_query_id"), ("query_id", "query_text"), "query", split)
 
 
 def spaced_qrels(lines: DataFrame, queries: DataFrame, docs: DataFrame, split: str, order: tuple[str, ...] = LINE_ORDER) -> Checked:
     """Four fields between white space; the fourth is ignored, every judgment has relevance 1."""
     cell = lambda i: F.coalesce(F.get("cells", F.lit(i)), F.lit(""))
-    rows = ln.blank_separated(lines).withColumns({"query_id": cell(0), "doc_id": cell(2), "relevance": F.lit(1)})
+    rows = ln.blank_separated(lines).withColumns({"query_id": cell(0), "doc_id": cell(2), "relevance": F.lit(1).cast("long")})
     rules = [Rule("invalid_qrel_row_format", F.size("cells") != 4, detail=F.left(strip("line"), F.lit(300)))]
     return referenced(judged(rows, rules), queries, docs, split, order, pair_id())
 

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import argparse
 import logging
+import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Model, ProcessingError, Settings
-from ..functions.binding import let
 from ..functions.text import chunk_id, clean_items, prepared, strip
-from ..functions.vectors import centroid, checked_dim, dot, mmr, normalized
-from ..operators.chunking import Chunker, chunk_candidates
-from ..operators.encoders import Factory, encode_lists, encode_texts, factory_for
+from ..operators.chunking import Chunker, chunk_candidates, segmenter
+from ..operators.encoders import Factory, encode_lists, encode_texts, factory_for, model_cache
+from ..operators.selection import representatives
 from ..sinks import tables as sinks
 from ..sources import json_records as js
 from ..sources import manifests
@@ -53,14 +54,13 @@ def selected_chunks(rows: DataFrame, top_n: int = 3, weight: float = 0.7, dim: i
     """The chosen chunks of rows (doc_id, candidates, vectors): centroid scores and MMR within the row. Rows with the same
     doc_id stay apart; a row whose candidates and vectors differ in number fails the run; none gives none."""
     count = F.when(F.size("candidates") != F.size("vectors"), F.raise_error(F.lit("vectors don't match candidate count")).cast("array<array<double>>")).otherwise(F.col("vectors"))
-    some = rows.where(F.size("candidates") > 0).select("doc_id", "candidates", count.alias("vectors"))
-    unit = some.withColumn("vectors", F.transform("vectors", lambda v: normalized(checked_dim(v, dim) if dim else v)))
-    scored = unit.withColumn("scores", let(centroid(F.col("vectors")), lambda c: F.transform("vectors", lambda v: dot(v, c))))
-    picked = scored.select("doc_id", "candidates", "vectors", F.size("candidates").alias("total"), F.inline(mmr(F.col("vectors"), F.col("scores"), top_n, weight)))
+    some = rows.where(F.size("candidates") > 0).select("doc_id", "candidates", F.size("candidates").alias("total"), count.alias("vectors"))
+    chosen = some.withColumn("chosen", representatives(top_n, weight, dim)("vectors"))
+    picked = chosen.select("doc_id", "candidates", "total", F.inline("chosen"))
     own = F.get("candidates", F.col("index"))
     return picked.select(
         "doc_id", chunk_id(F.col("doc_id"), own["order"], F.col("total")).alias("chunk_id"), own["text"].alias("chunk_text"),
-        F.get("vectors", F.col("index")).alias("chunk_vector"), F.col("score").alias("chunk_score"), F.col("rank").cast("long").alias("chunk_rank"),
+        F.col("vector").alias("chunk_vector"), F.col("score").alias("chunk_score"), F.col("rank").cast("long").alias("chunk_rank"),
     )
 
 
@@ -76,26 +76,38 @@ def embed_queries(queries: DataFrame, name: str, factory: Factory, model: Model)
     return queries.select("query_id", "query_text", encode_texts(name, factory, e.embedding_dim, True)(text).alias("query_embedding"))
 
 
+def in_cache(factory: Factory, variables: dict[str, str]) -> Factory:
+    """factory, run with the cache's environment variables where a worker hasn't set them."""
+
+    def made():
+        for name, value in variables.items():
+            os.environ.setdefault(name, value)
+        return factory()
+
+    return made
+
+
 def run(spark: SparkSession, dataset_root: str, settings: Settings, out: str, work: str, make: object = factory_for, shard_rows: int = 100_000) -> None:
     """Each model over each dataset, models first. A dataset's candidates are written once for each size limit and reused;
-    a run without any chunk fails before it writes."""
+    a run without any chunk fails before it writes. Executors get the driver's model cache folders where they have none."""
+    cached = model_cache()[1]
     ready: dict[tuple[str, int], DataFrame] = {}
     for model in settings.models:
-        factory = make(model, model.inference, model.experiment.embedding_dim, model.experiment.max_length)
+        factory = in_cache(make(model, model.inference, model.experiment.embedding_dim, model.experiment.max_length), cached)
         for name in settings.datasets:
             data = manifests.dataset(dataset_root, name)
             key = (name, model.experiment.max_length)
             if key not in ready:
                 path = f"{work}/{name}-{model.experiment.max_length}"
-                docs = docs_of_lines(numbered_lines(spark, str(data.docs)))
-                doc_candidates(docs, Chunker(hard=model.experiment.max_length)).write.mode("overwrite").parquet(path)
+                docs = docs_of_lines(numbered_lines(spark, data.docs))
+                doc_candidates(docs, Chunker(hard=model.experiment.max_length, segment=segmenter())).write.mode("overwrite").parquet(path)
                 ready[key] = spark.read.parquet(path)
             if ready[key].where("candidate_count > 0").limit(1).count() == 0:
                 raise ProcessingError(f"{name} has no chunks")
             base = sinks.output_path(out, model.model_id, name)
             dim = model.experiment.embedding_dim
             sinks.write_shards(embed_docs(ready[key], model.model_id, factory, model), sinks.doc_table(base, dim), sinks.DOC_COLUMNS, shard_rows)
-            sinks.write_shards(embed_queries(queries_of_lines(numbered_lines(spark, str(data.queries))), model.model_id, factory, model), sinks.query_table(base, dim), sinks.QUERY_COLUMNS, shard_rows)
+            sinks.write_shards(embed_queries(queries_of_lines(numbered_lines(spark, data.queries)), model.model_id, factory, model), sinks.query_table(base, dim), sinks.QUERY_COLUMNS, shard_rows)
             log.info("%s over %s: done", model.model_id, name)
 
 
@@ -113,3 +125,13 @@ def main(spark: SparkSession, dataset_root: str, settings_file: str, out: str, w
     except Exception:
         log.exception("the run failed")
     return 1
+
+
+def cli() -> None:
+    """granary-embed --datasets FOLDER --settings FILE --output FOLDER --work FOLDER; exits with 0 or 1."""
+    parser = argparse.ArgumentParser(prog="granary-embed", description="Encodes datasets: selected chunks of their documents, and their queries.")
+    for name, text in (("datasets", "folder of the datasets"), ("settings", "YAML or JSON file of models"), ("output", "folder of the tables"), ("work", "shared folder of the candidates")):
+        parser.add_argument(f"--{name}", required=True, help=text)
+    given = parser.parse_args()
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(levelname)s %(message)s")
+    raise SystemExit(main(SparkSession.builder.appName("granary-embed").getOrCreate(), given.datasets, given.settings, given.output, given.work))

@@ -31,12 +31,24 @@ def slots(spark: SparkSession) -> int:
     return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
+#: Logical operators whose execution shuffles, or may.
+_SHUFFLING = {"Aggregate", "Join", "Window", "Sort", "Distinct", "Deduplicate", "Repartition", "RepartitionByExpression", "RebalancePartitions", "GlobalLimit", "Except", "Intersect", "FlatMapGroupsInArrow", "FlatMapGroupsInPandas"}
+
+
+def _shuffles(plan) -> bool:
+    """Whether a logical plan has a node of an operator that shuffles."""
+    if plan.getClass().getSimpleName() in _SHUFFLING:
+        return True
+    children = plan.children()
+    return any(_shuffles(children.apply(i)) for i in range(children.size()))
+
+
 def widened(df: DataFrame) -> DataFrame:
     """df with enough partitions for a CPU-bound stage. What comes straight from a large scan has them and isn't shuffled; a
     small scan, which fits one or two splits, is spread. What comes from a shuffle is spread by a fixed number, as adaptive
     execution sizes its partitions by bytes; it isn't asked for its partitions, which would run it."""
     ship(df.sparkSession)
-    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+    if _shuffles(df._jdf.queryExecution().optimizedPlan()):
         return df.repartition(slots(df.sparkSession))
     n = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= n else df.repartition(n)

@@ -4,11 +4,14 @@ new one; a failed run writes nothing half."""
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import storage
+
 #: The columns of the output tables, in order.
 DOC_COLUMNS = ("doc_id", "chunk_id", "chunk_text", "chunk_vector", "chunk_score", "chunk_rank")
 QUERY_COLUMNS = ("query_id", "query_text", "query_embedding")
@@ -51,10 +54,8 @@ def query_table(root: str, dim: int) -> str:
     return f"{root}/queries_dim{dim}"
 
 
-def _write_json(path: str | Path, value) -> None:
-    p = Path(path)
-    p.parent.mkdir(parents=True, exist_ok=True)
-    p.write_text(json.dumps(value, ensure_ascii=False, indent=2), encoding="utf-8")
+def _json(value) -> str:
+    return json.dumps(value, ensure_ascii=False, indent=2)
 
 
 def stats_tree(stats: DataFrame) -> dict[str, dict[str, int]]:
@@ -65,34 +66,39 @@ def stats_tree(stats: DataFrame) -> dict[str, dict[str, int]]:
     return out
 
 
-def write_build_log(path: str | Path, issues: DataFrame, stats: dict, issue_folder: str | None = None, most: int = 10_000) -> dict:
-    """Writes {stats, error_summary, issue_logs}. The log file lists the issues themselves only up to `most` of them; all
-    of them go to issue_folder as JSON lines, if one is given, and a larger log without one is refused."""
-    summary = {r.issue_type: r["count"] for r in issues.groupBy("issue_type").count().orderBy("issue_type").collect()}
-    total = sum(summary.values())
+def write_build_log(path: str | Path, issues: DataFrame, stats: dict, issue_folder: str | None = None) -> dict[str, int]:
+    """Writes one JSON object {stats, error_summary, issue_logs} that lists every issue, however many; returns the summary. The
+    issues come to the driver a partition at a time and go straight into the file. issue_folder gets them as JSON lines too,
+    written by the executors, from which the log is then made."""
     if issue_folder:
         write_json_lines(issues, issue_folder)
-    elif total > most:
-        raise ValueError(f"{total} issues are too many for one file; give an issue_folder")
-    listed = [{k: v for k, v in r.asDict().items() if v is not None} for r in issues.collect()] if total <= most else []
-    log = {"stats": stats, "error_summary": summary, "issue_logs": listed}
-    _write_json(path, log)
-    return log
+        issues = issues.sparkSession.read.schema(issues.schema).json(issue_folder)
+    summary = {r.issue_type: r["count"] for r in issues.groupBy("issue_type").count().orderBy("issue_type").collect()}
+    place = [c for c in ("record_type", "split", "file", "line_num") if c in issues.columns]
 
+    def parts() -> Iterator[str]:
+        yield _json({"stats": stats, "error_summary": summary})[:-2] + ',\n  "issue_logs": ['
+        between = "\n"
+        for r in (issues.orderBy(*place) if place else issues).toLocalIterator():
+            yield between + "    " + json.dumps({k: v for k, v in r.asDict().items() if v is not None}, ensure_ascii=False)
+            between = ",\n"
+        yield ("\n  " if between != "\n" else "") + "]\n}"
 
-#: Names of a dataset's files.
-_SPLIT_FILES = ("queries_file", "qrels_file")
+    storage.write_text(path, parts())
+    return summary
 
 
-def manifest(name: str, stats: dict, splits: tuple[str, ...], docs_per_split: bool = False, subset: str = "", domain: str = "general", version: str = "v1") -> dict:
-    files = {s: {f: f"{s}/{f.removesuffix('_file')}.jsonl" for f in (("docs_file",) if docs_per_split else ()) + _SPLIT_FILES} for s in splits}
+def manifest(name: str, stats: dict, splits: tuple[str, ...], docs_per_split: bool = False, subset: str = "", domain: str = "general", version: str = "v1", task: str = "doc_retrieval") -> dict:
+    # The keys of a manifest and the names of a dataset's files.
+    own = ("docs", "queries", "qrels") if docs_per_split else ("queries", "qrels")
+    files = {s: {f"{f}_file": f"{s}/{f}.jsonl" for f in own} for s in splits}
     shared = {} if docs_per_split else {"docs_file": "docs.jsonl"}
     meta = {"domain": domain, "language": "en", "source_dataset": name, "source_subset": subset, "version": version}
-    return {"dataset_name": name, "version": version, "subset": subset, "task": "doc_retrieval", **shared, "splits": files, "metadata": meta, "stats": stats}
+    return {"dataset_name": name, "version": version, "subset": subset, "task": task, **shared, "splits": files, "metadata": meta, "stats": stats}
 
 
 def write_manifest(path: str | Path, value: dict) -> None:
-    _write_json(path, value)
+    storage.write_text(path, [_json(value)])
 
 
 def report(stats: dict, summary: dict) -> str:

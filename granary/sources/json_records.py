@@ -15,6 +15,7 @@ from .lines import not_blank
 
 
 def enable(spark: SparkSession) -> None:
+    """Sets the session's spark.sql.variant.allowDuplicateKeys. Every reader of JSON here does so while its plan is made."""
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
 
 
@@ -63,19 +64,10 @@ def json_objects(lines: DataFrame) -> DataFrame:
     return read.withColumn("kind", F.when(F.col("v").isNull(), broken).otherwise(F.col("kind"))).where(F.col("kind") == "dict")
 
 
-def json_array_files(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
-    """Files that are one JSON array each: (samples (file, line_num, v), issues (file, issue_type, detail)). line_num is
-    the ordinal of the sample. A file that is malformed or no array is skipped as a whole."""
-    enable(spark)
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), whole_json(F.col("value")).alias("root"))
-    return samples_of(files)
-
-
-def samples_of(files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """json_array_files over a table (file, root VARIANT)."""
-    kind = python_type(F.col("root"))
-    issue = F.when(F.col("root").isNull(), "invalid_json_file").when(kind != "list", "invalid_json_root_type")
-    issues = files.withColumn("issue_type", issue).where("issue_type is not null").select("file", "issue_type", F.when(F.col("issue_type") == "invalid_json_root_type", F.concat(F.lit("type="), kind)).alias("detail"))
-    items = F.try_variant_get("root", "$", "array<variant>")
-    samples = files.where(kind == "list").select("file", F.posexplode(items).alias("at", "v"))
-    return samples.select("file", (F.col("at") + 1).cast("long").alias("line_num"), "v"), issues
+def samples_of(read: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of a table of array elements (file, line_num, text, issue_type, detail): samples (file, line_num, v) and issues
+    (file, issue_type, detail)."""
+    enable(read.sparkSession)
+    issues = read.where("issue_type is not null").select("file", "issue_type", "detail")
+    samples = read.where("issue_type is null").select("file", "line_num", F.explode(F.array(whole_json(F.col("text")))).alias("v"))
+    return samples, issues

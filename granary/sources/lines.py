@@ -12,8 +12,15 @@ from pyspark.sql import functions as F
 from ..functions.text import is_blank, strip
 
 
-def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(file, line_num, line): every physical line, blank ones too, numbered from 1 in its file."""
+#: Splits that a file's counts may have to be sent to all tasks: some 40 MB there, and 6 TB of text at 64 MB a split.
+MOST_BLOCKS = 100_000
+
+
+def numbered_lines(spark: SparkSession, path: str | list[str], most_blocks: int = MOST_BLOCKS) -> DataFrame:
+    """(file, line_num, line): every physical line, blank ones too, numbered from 1 in its file.
+
+    The counts of the splits, a row each, are taken in a pass over the text. Up to most_blocks of them are sent to all tasks, so
+    no line is shuffled; more are joined by a shuffle."""
     raw = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("line")
     )
@@ -21,7 +28,8 @@ def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     sizes = raw.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
     before = F.sum("n").over(Window.partitionBy("file").orderBy("block")) - F.col("n")
     starts = sizes.select("file", "block", (before - F.col("first") + 1).alias("shift"))
-    return raw.join(starts, ["file", "block"]).select("file", (F.col("at") + F.col("shift")).alias("line_num"), "line")
+    few = raw.rdd.getNumPartitions() + len(raw.inputFiles()) <= most_blocks
+    return raw.join(F.broadcast(starts) if few else starts, ["file", "block"]).select("file", (F.col("at") + F.col("shift")).alias("line_num"), "line")
 
 
 def not_blank(lines: DataFrame) -> DataFrame:

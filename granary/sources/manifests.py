@@ -6,48 +6,49 @@ import json
 from dataclasses import dataclass
 from pathlib import Path
 
+from .. import storage
 from ..config import DatasetError
 
 
 @dataclass(frozen=True)
 class Dataset:
     name: str
-    folder: Path
-    docs: Path
-    queries: Path
+    folder: str
+    docs: str
+    queries: str
 
 
 def require(*paths: str | Path) -> None:
-    """Fails on the first path that isn't there."""
-    for p in paths:
-        if not Path(p).exists():
-            raise FileNotFoundError(str(p))
+    """Fails if any path isn't there, naming all that aren't."""
+    missing = [str(p) for p in paths if not storage.exists(p)]
+    if missing:
+        raise FileNotFoundError(f"not there: {', '.join(missing)}")
 
 
 def require_inputs(dataset_root: str | Path, settings_file: str | Path) -> None:
-    if not Path(dataset_root).is_dir():
+    if not storage.is_folder(dataset_root):
         raise DatasetError(f"no folder {dataset_root}")
-    if not Path(settings_file).is_file():
+    if not storage.is_file(settings_file):
         raise DatasetError(f"no file {settings_file}")
 
 
 def dataset(root: str | Path, name: str) -> Dataset:
     """The training part of the dataset whose folder has exactly that name."""
-    folder = Path(root) / name
-    if name not in ({p.name for p in Path(root).iterdir() if p.is_dir()} if Path(root).is_dir() else ()):
+    folder = f"{root}/{name}"
+    if name not in storage.folders(root):
         raise DatasetError(f"no dataset {name} in {root}")
-    about = folder / "dataset.json"
+    about = f"{folder}/dataset.json"
     try:
-        meta = json.loads(about.read_text(encoding="utf-8"))
-    except (OSError, ValueError) as e:
+        meta = json.loads(storage.read_text(about)) if storage.is_file(about) else None
+    except ValueError as e:
         raise DatasetError(f"{about}: {e}") from e
     splits = meta.get("splits") if isinstance(meta, dict) else None
     train = splits.get("train") if isinstance(splits, dict) else None
     if not isinstance(train, dict):
         raise DatasetError(f"{about} has no splits.train")
-    docs = folder / (meta.get("docs_file") or train.get("docs_file") or "train/docs.jsonl")
-    queries = folder / (train.get("queries_file") or "train/queries.jsonl")
+    docs = f"{folder}/{meta.get('docs_file') or train.get('docs_file') or 'train/docs.jsonl'}"
+    queries = f"{folder}/{train.get('queries_file') or 'train/queries.jsonl'}"
     for p in (docs, queries):
-        if not p.exists():
+        if not storage.exists(p):
             raise DatasetError(f"{about} names {p}, which isn't there")
     return Dataset(name, folder, docs, queries)

@@ -1,23 +1,28 @@
 """Streams of decoded paragraph and outline objects (CBOR), as a Python data source.
 
 The decoder isn't part of this library: option `decoder` names an importable function that yields the objects of an open
-binary file. Each file is a partition."""
+binary file. Such a stream can only be read from its beginning, so each file is a partition; deliver large ones in parts.
+The files are listed through Hadoop's file system API and opened through Arrow's, so they may lie on shared storage."""
 
 from __future__ import annotations
 
-import glob
 import importlib
+import json
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from .. import storage
 from ..functions.text import clean_items, strip
+from ..runtime import ship
 
 #: Where an object may hold its id and its text, in order of preference.
 ID_FIELDS = ("para_id", "paragraph_id", "id")
 TEXT_FIELDS = ("get_text", "text", "paragraph_text", "paragraph")
-SCHEMA = "ordinal long, " + ", ".join(f"{f} string" for f in (*ID_FIELDS, *TEXT_FIELDS)) + ", bodies array<string>, page_id string, page_name string"
+#: An object's place in its delivery.
+ORDER = ("file", "ordinal")
+SCHEMA = "file string, ordinal long, " + ", ".join(f"{f} string" for f in (*ID_FIELDS, *TEXT_FIELDS)) + ", bodies array<string>, page_id string, page_name string"
 
 
 def _text(x) -> str | None:
@@ -41,25 +46,44 @@ class ParagraphSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
-        return _Reader(self.options["path"], self.options["decoder"])
+        return _Reader(json.loads(self.options["files"]), self.options["decoder"])
+
+
+def opened(path: str):
+    """A binary file on any storage that Arrow knows, buffered."""
+    from pyarrow import fs
+
+    if "://" not in path and not path.startswith("file:"):
+        return open(path, "rb")
+    if path.startswith("file:"):
+        return open("/" + path.removeprefix("file:").lstrip("/"), "rb")
+    system, at = fs.FileSystem.from_uri(path)
+    return system.open_input_stream(at, buffer_size=1 << 20)
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, path: str, decoder: str):
-        self.path, self.decoder = path, decoder
+    def __init__(self, files: list[str], decoder: str):
+        self.files, self.decoder = files, decoder
 
     def partitions(self):
-        found = sorted(glob.glob(self.path))
-        if not found:
-            raise FileNotFoundError(self.path)
-        return [InputPartition(p) for p in found]
+        return [InputPartition(p) for p in self.files]
 
     def read(self, partition):
         module, _, name = self.decoder.rpartition(".")
         decode = getattr(importlib.import_module(module), name)
-        with open(partition.value, "rb") as f:
+        with opened(partition.value) as f:
             for i, thing in enumerate(decode(f), 1):
-                yield (i, *fields_of(thing))
+                yield (partition.value, i, *fields_of(thing))
+
+
+def read_paragraphs(spark: SparkSession, pattern: str, decoder: str) -> DataFrame:
+    """The objects of the files that a path or pattern names: (file, ordinal, raw fields)."""
+    found = storage.files(pattern)
+    if not found:
+        raise FileNotFoundError(pattern)
+    ship(spark)
+    spark.dataSource.register(ParagraphSource)
+    return spark.read.format("paragraphs").option("files", json.dumps(found)).option("decoder", decoder).load()
 
 
 def first_present(fields: tuple[str, ...]) -> Column:

@@ -18,15 +18,16 @@ def stream_parquet(spark: SparkSession, path: str, files_per_trigger: int | None
     return (reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader).parquet(path)
 
 
-def validated_docs(docs: DataFrame, event_time: str = "loaded_at", delay: str = "400 days") -> DataFrame:
-    """(doc_id, doc_text, event time) of a stream of docs: rows with an id and a text, each id once within the delay."""
+def validated_docs(docs: DataFrame, delay: str, event_time: str = "loaded_at") -> DataFrame:
+    """(doc_id, doc_text, event time) of a stream of docs: rows with an id and a text, each id once within the delay, for which
+    its ids are kept as state."""
     rows = docs.select(F.coalesce(strip("doc_id"), F.lit("")).alias("doc_id"), clean_items("doc_text").alias("doc_text"), event_time)
     rules = [Rule("missing_doc_id", F.col("doc_id") == ""), Rule("empty_doc_text", F.size("doc_text") == 0)]
     return good(judged(rows, rules)).withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["doc_id"])
 
 
-def candidate_stream(docs: DataFrame, chunker: Chunker = Chunker()) -> DataFrame:
-    return doc_candidates(validated_docs(docs), chunker)
+def candidate_stream(docs: DataFrame, delay: str, chunker: Chunker = Chunker()) -> DataFrame:
+    return doc_candidates(validated_docs(docs, delay), chunker)
 
 
 def write_available(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

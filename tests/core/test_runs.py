@@ -14,7 +14,7 @@ from granary.streaming import ingest
 RAW = {"datasets": [" toy "], "experiment": {"embedding_dim": 17, "max_length": 300, "doc_prefix": "D: "}, "inference": {"batch_size": "8"}, "models": [{"model_id": "org/m", "provider": "sentence_transformers", "query_prefix": "Q: ", "batch_size": 2, "embedding_dim": 5}]}
 
 
-def test_settings_and_defaults(tmp_path):
+def test_settings_and_defaults(spark, tmp_path):
     s = config.settings(RAW)
     m = s.models[0]
     assert s.datasets == ("toy",) and m.experiment == config.Experiment(17, 300, "Q: ", "D: ", "") and m.inference == config.Inference(2)
@@ -76,10 +76,27 @@ def test_local_encoder_and_factory():
         en.checked(np.zeros(2), 2, 4)
 
 
+def test_token_lengths_are_logged(caplog):
+    import logging
+
+    with caplog.at_level(logging.INFO, "granary"):
+        told = en.told_lengths([3, 6, 90], 100, "m")
+        assert told == {"texts": 3, "least": 3, "most": 90, "mean": 33.0, "over_limit": 0} and en.told_lengths([], 10, "m")["most"] == 0
+        e = en.LocalEncoder("sentence_transformers", "m", max_length=2, loader=lambda *_: Model())
+        e.encode(["a b", "c"])
+    said = [r.getMessage() for r in caplog.records if r.levelname == "WARNING"]
+    assert said == ["m: text 2 of the batch has 90 tokens, limit 100", "m: text 0 of the batch has 2 tokens, limit 2", "m: text 1 of the batch has 1 tokens, limit 2"]
+
+
+def test_workers_get_the_cache(monkeypatch):
+    monkeypatch.delenv("HF_HOME", raising=False)
+    assert em.in_cache(lambda: en.os.environ["HF_HOME"], {"HF_HOME": "there"})() == "there"
+
+
 def test_model_cache(tmp_path):
     env = {"HF_HOME": "kept"}
     root, given = en.model_cache(tmp_path / "c", env)
-    assert given["HF_HOME"] == "kept" and given["HF_HUB_CACHE"] == str(root / "hf_hub") and (root / "sentence_transformers").is_dir()
+    assert given["HF_HOME"] == "kept" and given["HF_HUB_CACHE"] == str(root / "downloads") and (root / "sentences").is_dir()
 
 
 def test_stand_in_is_the_same_in_both_engines(spark):
@@ -122,9 +139,9 @@ def test_bad_runs_fail(spark, tmp_path, docs):
     assert em.main(spark, str(tmp_path / "none"), "x", "o", "w") == 1
 
 
-def test_manifests(tmp_path):
+def test_manifests(spark, tmp_path):
     dataset(tmp_path, [])
-    assert manifests.dataset(tmp_path, "toy").docs.name == "docs.jsonl"
+    assert manifests.dataset(tmp_path, "toy").docs.endswith("toy/docs.jsonl")
     for name in ("TOY", "none"):
         with pytest.raises(config.DatasetError):
             manifests.dataset(tmp_path, name)
@@ -152,10 +169,16 @@ def test_sinks(spark, tmp_path):
         with pytest.raises(ValueError):
             f(df, str(tmp_path / "p"), ("k",), 0)
     issues = spark.createDataFrame([("x", "skip", None), ("x", "skip", "d"), ("y", "skip", None)], "issue_type string, action string, detail string")
-    log = sinks.write_build_log(tmp_path / "log/build.json", issues, {"docs": {"n": 1}}, str(tmp_path / "all"))
-    assert log["error_summary"] == {"x": 2, "y": 1} and {"issue_type": "y", "action": "skip"} in log["issue_logs"] and json.loads((tmp_path / "log/build.json").read_text()) == log
-    with pytest.raises(ValueError):
-        sinks.write_build_log(tmp_path / "b.json", issues, {}, most=2)
+    at = tmp_path / "log/build.json"
+    for folder in (None, str(tmp_path / "all")):
+        assert sinks.write_build_log(at, issues, {"docs": {"n": 1}}, folder) == {"x": 2, "y": 1}
+        log = json.loads(at.read_text())
+        assert log["stats"] == {"docs": {"n": 1}} and log["error_summary"] == {"x": 2, "y": 1} and {"issue_type": "y", "action": "skip"} in log["issue_logs"] and len(log["issue_logs"]) == 3
+    sinks.write_build_log(at, issues.limit(0), {})
+    assert json.loads(at.read_text()) == {"stats": {}, "error_summary": {}, "issue_logs": []}
+    many = spark.range(10_001).selectExpr("'f' as file", "id as line_num", "'x' as issue_type")
+    sinks.write_build_log(at, many, {})
+    assert [x["line_num"] for x in json.loads(at.read_text())["issue_logs"]] == list(range(10_001))
     assert sinks.report({"docs": {"n": 1}}, {"x": 2}) == "docs.n = 1\nissue x: 2"
 
 
@@ -163,6 +186,6 @@ def test_stream_equals_batch(spark, tmp_path):
     docs = [("a", ["one."], "2025-01-01"), ("a", [" one. "], "2025-01-02"), ("b", None, "2025-01-01"), (" ", ["x"], "2025-01-01"), ("c", ["x. ", "y."], "2025-01-03")]
     df = spark.createDataFrame(docs, "doc_id string, doc_text array<string>, t string").select("doc_id", "doc_text", F.to_timestamp("t").alias("loaded_at"))
     df.coalesce(1).write.parquet(str(tmp_path / "in"))
-    stream = ingest.candidate_stream(ingest.stream_parquet(spark, str(tmp_path / "in"), 1))
+    stream = ingest.candidate_stream(ingest.stream_parquet(spark, str(tmp_path / "in"), 1), "30 days")
     ingest.write_available(stream, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
     assert sorted((r.doc_id, r.candidates[0].text) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [("a", "one."), ("c", "x. y.")]
