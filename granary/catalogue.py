@@ -4,8 +4,6 @@ The tables stand in for raw deliveries: lines and records are derived from their
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +15,7 @@ from .operators.rules import ISSUE, duplicates, good
 from .plans import collections as co
 from .plans import embedding as em
 from .queries import SQL_WHITE, query, table
-from .runtime import shared_folder
+from .runtime import scratch_folder
 from .sinks import tables as sinks
 from .sources import json_records as js
 from .sources import paragraphs as pp
@@ -307,10 +305,9 @@ def evidence_qrels(spark: SparkSession, folder: str) -> DataFrame:
     return co.evidence_qrels(lines, queries, doc_ids(spark, folder), "train", ("own",))[0].accepted
 
 
-def samples(spark: SparkSession, folder: str) -> DataFrame:
+def sample_lines(spark: SparkSession, folder: str) -> DataFrame:
     """A nested JSON sample a delivery of a query: the docs of its judgments as context, those of positive relevance as
     supporting facts."""
-    js.enable(spark)
     q = table(spark, folder, "qrels").where("query_id is not null and doc_id is not null").groupBy("query_id", "doc_id").agg(F.max("relevance").alias("relevance"))
     docs = table(spark, folder, "docs").where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("loaded_at", F.coalesce("doc_text", F.array().cast("array<string>")).alias("t"))).getField("t").alias("t"))
     text = lambda c: F.regexp_extract(F.to_json(F.array(c)), r"(?s)^\[(.*)\]$", 1)
@@ -320,7 +317,12 @@ def samples(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "queries").select("query_id", "query_text", "loaded_at").join(per, "query_id", "left")
     question = F.coalesce(text(F.col("query_text")), F.lit("null"))
     line = F.concat(F.lit('{"_id":'), F.coalesce(text(F.col("query_id")), F.lit("null")), F.lit(',"question":'), question, F.lit(',"context":['), txt("context"), F.lit('],"supporting_facts":['), txt("facts"), F.lit("]}"))
-    return computed(rows, "v", js.whole_json(line)).select("loaded_at", txt("query_text").alias("q"), "v")
+    return rows.select("loaded_at", txt("query_text").alias("q"), line.alias("line"))
+
+
+def samples(spark: SparkSession, folder: str) -> DataFrame:
+    js.enable(spark)
+    return computed(sample_lines(spark, folder), "v", js.whole_json(F.col("line"))).drop("line")
 
 
 SQL_HOPS = f"""{WS},
@@ -508,14 +510,15 @@ SQL_VECTORS = "v0 AS (SELECT 'd' || (vec_id // 8) AS doc_id, (vec_id % 8 + 1)::I
 
 def sql_mmr(vectors: str, unit: str = SQL_UNIT) -> str:
     """CTEs from v0 (doc_id, i, e) to picks (doc_id, i, score, rank, n)."""
-    best = "QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 9) DESC, i) = 1"
+    first = "lambda p, q: CASE WHEN q.g > p.g AND abs(q.g - p.g) > 1e-8 + 1e-5 * abs(p.g) THEN q ELSE p END"  # up the indices, a close score doesn't win
+    best = lambda x: f"SELECT x.* FROM {x} x JOIN (SELECT doc_id, list_reduce(list({{'i': i, 'g': score}} ORDER BY i), {first}).i AS i FROM {x} GROUP BY 1) USING (doc_id, i)"
     return f"""{vectors}, v AS (SELECT doc_id, i, {unit} AS e, count(*) OVER (PARTITION BY doc_id) AS n FROM v0),
 m AS (SELECT doc_id, d, avg(x) AS x FROM (SELECT doc_id, unnest(e) AS x, generate_subscripts(e, 1) AS d FROM v) GROUP BY 1, 2),
 c0 AS (SELECT doc_id, list(x ORDER BY d) AS e FROM m GROUP BY 1), c AS (SELECT doc_id, {SQL_UNIT} AS e FROM c0),
 s AS (SELECT doc_id, i, n, v.e, list_inner_product(v.e, c.e) AS rep FROM v JOIN c USING (doc_id)),
-a AS (SELECT doc_id, i, n, e, rep AS score FROM s {best}),
-b AS (FROM (SELECT s.doc_id, s.i, s.n, s.e, 0.7 * s.rep - 0.3 * list_inner_product(s.e, a.e) AS score FROM s JOIN a USING (doc_id) WHERE s.i <> a.i) {best}),
-t AS (FROM (SELECT s.doc_id, s.i, s.n, s.e, 0.7 * s.rep - 0.3 * greatest(list_inner_product(s.e, a.e), list_inner_product(s.e, b.e)) AS score FROM s JOIN a USING (doc_id) JOIN b USING (doc_id) WHERE s.i <> a.i AND s.i <> b.i) {best}),
+a0 AS (SELECT doc_id, i, n, e, rep AS score FROM s), a AS ({best("a0")}),
+b0 AS (FROM (SELECT s.doc_id, s.i, s.n, s.e, 0.7 * s.rep - 0.3 * list_inner_product(s.e, a.e) AS score FROM s JOIN a USING (doc_id) WHERE s.i <> a.i)), b AS ({best("b0")}),
+t0 AS (FROM (SELECT s.doc_id, s.i, s.n, s.e, 0.7 * s.rep - 0.3 * greatest(list_inner_product(s.e, a.e), list_inner_product(s.e, b.e)) AS score FROM s JOIN a USING (doc_id) JOIN b USING (doc_id) WHERE s.i <> a.i AND s.i <> b.i)), t AS ({best("t0")}),
 picks AS (SELECT doc_id, i, n, score, 1 AS rank FROM a UNION ALL SELECT doc_id, i, n, score, 2 FROM b UNION ALL SELECT doc_id, i, n, score, 3 FROM t)"""
 
 
@@ -589,20 +592,24 @@ def encode_docs(spark: SparkSession, folder: str) -> DataFrame:
     return each.select("doc_id", F.col("o").alias("order"), F.posexplode("v").alias("p", "x")).select("doc_id", "order", (F.col("p") + 1).alias("position"), F.round("x", 6).alias("value"))
 
 
-@query()
+SQL_EMBEDDED = f"""{SQL_CANDIDATE_CHUNKS}, chunks AS (SELECT r, generate_subscripts(done, 1) AS i, unnest(done) AS text, len(done) AS total FROM merged),
+v0 AS (SELECT r AS doc_id, i, {sql_profile("text")} AS e FROM chunks)"""
+
+
+@query(f"""WITH RECURSIVE {sql_mmr(SQL_EMBEDDED)}
+SELECT t.doc_id, t.doc_id || '#c' || lpad(p.i::VARCHAR, greatest(3, length(total::VARCHAR))::INT, '0') AS chunk_id, text AS chunk_text, rank::BIGINT AS chunk_rank, round(score, 5) + 0.0 AS chunk_score, (generate_subscripts(v.e, 1))::INT AS position, round(unnest(v.e), 6) AS value
+FROM picks p JOIN chunks k ON k.r = p.doc_id AND k.i = p.i JOIN v ON v.doc_id = p.doc_id AND v.i = p.i JOIN texts t ON t.r = p.doc_id""")
 def embedded_docs(spark: SparkSession, folder: str) -> DataFrame:
     rows = em.doc_candidates(table(spark, folder, "docs"))
     vectors = encoders.encode_lists("stand-in", STAND_IN, DIM)(F.col("candidates.text"))
-    return em.selected_chunks(rows.withColumn("vectors", vectors), dim=DIM)
+    chosen = em.selected_chunks(rows.withColumn("vectors", vectors), dim=DIM)
+    each = chosen.select("doc_id", "chunk_id", "chunk_text", "chunk_rank", (F.round("chunk_score", 5) + F.lit(0.0)).alias("chunk_score"), F.posexplode("chunk_vector").alias("p", "x"))
+    return each.select("doc_id", "chunk_id", "chunk_text", "chunk_rank", "chunk_score", (F.col("p") + 1).alias("position"), F.round("x", 6).alias("value"))
 
 
 # Sinks and streams
 
 
-def _place(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/granary-{uuid.uuid4().hex}"
-
-
 @query("SELECT vec_id, (vec_id // 100)::INT AS shard FROM embeddings")
 def shard_assignment(spark: SparkSession, folder: str) -> DataFrame:
     return sinks.with_call_shards(table(spark, folder, "embeddings").withColumn("call", F.col("vec_id") + 1), "call", 100).select("vec_id", "shard")
@@ -610,7 +617,7 @@ def shard_assignment(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT query_id, query_text, query_embedding::VARCHAR IS NULL AS no_vector, (generate_subscripts(query_embedding, 1))::INT AS position, coalesce(round(unnest(query_embedding)::DOUBLE, 6), -9) + 0.0 AS value FROM query_vectors WHERE len(query_embedding) > 0")
 def parquet_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    at = _place(spark)
+    at = scratch_folder(spark)
     sinks.write_shards(table(spark, folder, "query_vectors"), at, sinks.QUERY_COLUMNS, 1000)
     back = spark.read.parquet(at).select("query_id", "query_text", F.col("query_embedding").isNull().alias("no_vector"), F.posexplode("query_embedding").alias("p", "x"))
     return back.select("query_id", "query_text", "no_vector", (F.col("p") + 1).alias("position"), (F.coalesce(F.round(F.col("x").cast("double"), 6), F.lit(-9.0)) + F.lit(0.0)).alias("value"))
@@ -618,14 +625,14 @@ def parquet_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT query_id, doc_id, relevance FROM qrels")
 def jsonl_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    at = _place(spark)
+    at = scratch_folder(spark)
     sinks.write_json_lines(table(spark, folder, "qrels").select("query_id", "doc_id", "relevance"), at)
     return spark.read.schema("query_id string, doc_id string, relevance int").json(at)
 
 
-@query()
+@query(f"""WITH RECURSIVE {SQL_CANDIDATE_CHUNKS} SELECT DISTINCT doc_id, "order", text FROM (SELECT trim(doc_id, ws) AS doc_id, (generate_subscripts(done, 1))::INT AS "order", unnest(done) AS text FROM merged JOIN texts USING (r), w) WHERE doc_id <> ''""")
 def stream_candidates(spark: SparkSession, folder: str) -> DataFrame:
-    at = _place(spark)
+    at = scratch_folder(spark)
     docs = ingest.stream_parquet(spark, f"{folder}/docs.parquet*")
     ingest.write_available(ingest.candidate_stream(docs, "400 days"), f"{at}/rows", f"{at}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{at}/rows").select("doc_id", F.inline("candidates"))

@@ -36,6 +36,7 @@ class Build:
 
     spark: SparkSession
     out: str
+    say: Callable[[str], None] = print
     issues: list[str] = field(default_factory=list)
     counts: dict[tuple[str | None, str], tuple[int, int]] = field(default_factory=dict)
 
@@ -74,18 +75,18 @@ class Build:
         sinks.write_manifest(f"{self.out}/dataset.json", sinks.manifest(name, stats, splits, **about))
         issues = reduce(DataFrame.unionByName, [self.spark.read.schema(LOG).json(p) for p in self.issues])
         summary = sinks.write_build_log(f"{self.out}/build_log.json", issues, stats)
-        print(sinks.report(stats, summary))
+        self.say(sinks.report(stats, summary))
         return stats
 
 
 # Fixed values below: the file names of the deliveries, and the names and tasks of their datasets.
 
 
-def tab_separated(spark: SparkSession, root: str, out: str) -> dict[str, dict[str, int]]:
+def tab_separated(spark: SparkSession, root: str, out: str, say: Callable[[str], None] = print) -> dict[str, dict[str, int]]:
     lines = lambda name: numbered_lines(spark, f"{root}/{name}")
     splits = ("train", "dev")
     manifests.require(f"{root}/collection.tsv", *[f"{root}/{part}.{s}.tsv" for part in ("queries", "qrels") for s in splits])
-    b = Build(spark, out)
+    b = Build(spark, out, say)
     docs = b.add("docs", co.tsv_docs(lines("collection.tsv")))
     stats = {"docs": b.doc_stats()}
     for s in splits:
@@ -95,10 +96,10 @@ def tab_separated(spark: SparkSession, root: str, out: str) -> dict[str, dict[st
     return b.finish("msmarco", stats)
 
 
-def claims(spark: SparkSession, root: str, out: str, corpus: str = "corpus.jsonl", train: str = "claims_train.jsonl", dev: str = "claims_dev.jsonl") -> dict[str, dict[str, int]]:
+def claims(spark: SparkSession, root: str, out: str, corpus: str = "corpus.jsonl", train: str = "claims_train.jsonl", dev: str = "claims_dev.jsonl", say: Callable[[str], None] = print) -> dict[str, dict[str, int]]:
     given = {"train": f"{root}/{train}", "dev": f"{root}/{dev}"}
     manifests.require(f"{root}/{corpus}", *given.values())
-    b = Build(spark, out)
+    b = Build(spark, out, say)
     docs = b.add("docs", co.json_docs(numbered_lines(spark, f"{root}/{corpus}")), listed=True)
     stats = {"docs": b.doc_stats()}
     for s, path in given.items():
@@ -108,10 +109,10 @@ def claims(spark: SparkSession, root: str, out: str, corpus: str = "corpus.jsonl
     return b.finish("scifact", stats, domain="scientific", task="scientific_doc_retrieval")
 
 
-def nested_samples(spark: SparkSession, root: str, out: str, train: str = "hotpot_train_v1.1.json", dev: str = "hotpot_dev_distractor_v1.json") -> dict[str, dict[str, int]]:
+def nested_samples(spark: SparkSession, root: str, out: str, train: str = "hotpot_train_v1.1.json", dev: str = "hotpot_dev_distractor_v1.json", say: Callable[[str], None] = print) -> dict[str, dict[str, int]]:
     given = {"train": f"{root}/{train}", "dev": f"{root}/{dev}"}
     manifests.require(*given.values())
-    b = Build(spark, out)
+    b = Build(spark, out, say)
     stats: dict[str, dict[str, int]] = {}
     for s, path in given.items():
         samples, broken = json_array_files(spark, path)
@@ -127,11 +128,11 @@ def nested_samples(spark: SparkSession, root: str, out: str, train: str = "hotpo
 
 def paragraphs(
     spark: SparkSession, root: str, out: str, decoder: str, outline_decoder: str | None = None, docs: str = "base.train.cbor-paragraphs.cbor",
-    outlines: str = "base.train.cbor-outlines.cbor", qrels: str = "base.train.cbor-article.qrels",
+    outlines: str = "base.train.cbor-outlines.cbor", qrels: str = "base.train.cbor-article.qrels", say: Callable[[str], None] = print,
 ) -> dict[str, dict[str, int]]:
     """decoder, outline_decoder: importable functions that yield the objects of an open file (sources.paragraphs)."""
     manifests.require(*[f"{root}/{name}" for name in (docs, outlines, qrels)])
-    b = Build(spark, out)
+    b = Build(spark, out, say)
     known = b.add("docs", co.paragraph_docs(read_paragraphs(spark, f"{root}/{docs}", decoder), ORDER))
     queries = b.add("queries", co.outline_queries(read_paragraphs(spark, f"{root}/{outlines}", outline_decoder or decoder), "train", ORDER), "train")
     judged = b.add("qrels", co.spaced_qrels(numbered_lines(spark, f"{root}/{qrels}"), queries, known, "train"), "train")

@@ -81,6 +81,16 @@ def p3_reasons(spark: SparkSession, folder: str) -> DataFrame:
     return failed.groupBy("layout", "reason").agg(F.count(F.lit(1)).alias("failed_lines"))
 
 
-@query()
+_UNQUOTED = "CASE WHEN {0} LIKE '\"%' THEN replace(substr({0}, 2, length({0}) - 2), '\"\"', '\"') ELSE {0} END"
+SQL_P3_LOADED = (
+    SQL_P3
+    + f"""SELECT file, line_num, line_id, 'csv' AS layout, trim({_UNQUOTED.format("f.a")}, csv.ws) AS doc_id, {_UNQUOTED.format("f.b")} AS title, {_UNQUOTED.format("f.c")} AS texts FROM csv JOIN corpus_lines USING (line_id) WHERE line_id IN (FROM good)
+UNION ALL SELECT file, line_num, line_id, 'tsv', trim(substr(r.line, 1, strpos(r.line, chr(9)) - 1), ws), NULL, substr(r.line, strpos(r.line, chr(9)) + 1) FROM raw r JOIN corpus_lines USING (line_id) WHERE r.layout = 'tsv' AND line_id IN (FROM good)
+UNION ALL SELECT file, line_num, line_id, 'jsonl', trim(j->>'$.doc_id', js.ws), CASE WHEN json_type(j, '$.title') = 'VARCHAR' THEN j->>'$.title' END, array_to_string(list_transform(json_extract_string(j, '$.abstract[*]'), lambda x: coalesce(x, '(null)')), '|') FROM js JOIN corpus_lines USING (line_id) WHERE line_id IN (FROM good)"""
+)
+
+
+@query(SQL_P3_LOADED)
 def p3_loaded(spark: SparkSession, folder: str) -> DataFrame:
-    return parse_failures.strict_load(table(spark, folder, "corpus_lines")).drop("line_hash")
+    loaded = parse_failures.strict_load(table(spark, folder, "corpus_lines")).drop("line_hash")
+    return loaded.withColumn("texts", F.array_join("texts", "|", "(null)"))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -72,12 +75,30 @@ def shared_folder(spark: SparkSession) -> str:
             if not sc.master.startswith("local["):
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="granary-checkpoint-")
+            atexit.register(shutil.rmtree, folder, True)
         sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new name in the shared folder, for tables that this application writes and reads back; removed when it ends."""
+    from . import storage
+
+    at = f"{shared_folder(spark)}/granary-{uuid.uuid4().hex}"
+
+    def remove() -> None:
+        try:
+            storage.remove(at)
+        except Exception:  # noqa: BLE001 - the session may be gone; what is left is in the shared folder
+            pass
+
+    atexit.register(remove)
+    return at
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df, computed once and written to the shared folder, so that a lost executor costs a read only."""
+    """df, computed once and written to the shared folder, so that a lost executor costs a read only. Spark deletes a
+    checkpoint that nothing refers to any more if the session has spark.cleaner.referenceTracking.cleanCheckpoints."""
     ship(df.sparkSession)
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
