@@ -65,22 +65,27 @@ def pattern_of(path: str) -> str:
 
 
 @lru_cache(maxsize=1)
-def unsettled() -> re.Pattern:
-    """Finds a letter or number by the newest Unicode that an older one doesn't know, on which libraries differ."""
+def unsettled() -> Callable[[str], bool]:
+    """Tells whether a text has a letter or number by the newest Unicode that an older one doesn't know, on which libraries
+    differ. Those of the first plane make a class that is looked up at once; the others are sought only in texts that have
+    a character beyond that plane."""
     newest = regex.findall(r"[\p{L}\p{N}]", "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)])))
-    return re.compile("[" + "".join(c for c in newest if unicodedata.category(c) == "Cn") + "\U0010ffff]")
+    new = {c for c in newest if unicodedata.category(c) == "Cn"}
+    near = re.compile("[\uffff" + "".join(sorted(c for c in new if c < "\uffff")) + "]").search
+    far = re.compile("[\U00010000-\U0010ffff]").search
+    return lambda text: not text.isascii() and (near(text) is not None or far(text) is not None and not new.isdisjoint(text))
 
 
 @lru_cache(maxsize=4)
 def splitter(path: str) -> Callable[[str], list[str]]:
     """The pieces of a text, by the file's normalizer and pre-splitting. A text with unsettled characters is split by the
     tokenizer library."""
-    find, newer = regex.compile(pattern_of(path)).findall, unsettled().search
+    find, newer = regex.compile(pattern_of(path)).findall, unsettled()
     normal = str if _file(path).get("normalizer") is None else library(path).normalizer.normalize_str
 
     def split(text: str) -> list[str]:
         text = normal(text)
-        if text.isascii() or not newer(text):
+        if not newer(text):
             return find(text)
         return [text[a:b] for _, (a, b) in library(path).pre_tokenizer.pre_tokenize_str(text)]
 
