@@ -69,7 +69,7 @@ def unsettled() -> Callable[[str], bool]:
     """Tells whether a text has a letter or number by the newest Unicode that an older one doesn't know, on which libraries
     differ. Those of the first plane make a class that is looked up at once; the others are sought only in texts that have
     a character beyond that plane."""
-    newest = regex.findall(r"[\p{L}\p{N}]", "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)])))
+    newest = regex.findall(r"[\p{L}\p{N}]", "".join(map(chr, [*range(0xD800), *range(0xE000, 0x40000), *range(0xE0000, 0xE1000)])))  # planes with letters
     new = {c for c in newest if unicodedata.category(c) == "Cn"}
     near = re.compile("[\uffff" + "".join(sorted(c for c in new if c < "\uffff")) + "]").search
     far = re.compile("[\U00010000-\U0010ffff]").search
@@ -101,7 +101,8 @@ class Merges:
         odd = {k: model[k] for k in ("dropout", "continuing_subword_prefix", "byte_fallback", "ignore_merges") if model.get(k)}
         if model.get("type", "BPE") != "BPE" or odd:
             raise NotHonoured(f"{path}: model {model.get('type')} with {odd}")
-        self.pieces = splitter(path)
+        pattern_of(path)  # refuses what isn't honoured
+        self.path = path
         vocab, suffix = model["vocab"], model.get("end_of_word_suffix") or ""
         try:
             self.bytes = [vocab[c] for c in byte_characters()]
@@ -113,6 +114,9 @@ class Merges:
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             self.table.setdefault(vocab[a] << 32 | vocab[b], (rank, vocab[a + b]))
 
+    def pieces(self, text: str) -> list[str]:
+        return splitter(self.path)(text)
+
     def replay(self, words: list[str]) -> list[list[int]]:
         """The token ids of each word. An inverted index leads from a pair of neighbours to all positions of the
         vocabulary that have it. The merge of lowest rank among the pairs present is applied at all its positions,
