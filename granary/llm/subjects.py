@@ -24,6 +24,7 @@ or no examples give an empty result; other columns are ignored.
 from __future__ import annotations
 
 import html
+import re
 import unicodedata
 from dataclasses import dataclass
 
@@ -40,6 +41,7 @@ _MARKS = regex.compile(r"[\p{Mn}\p{Cf}]+")
 _TAG = regex.compile(r"<[^<>]{1,200}>")
 _ITEM = regex.compile(r"(?m)^[\s>]*(?:\d+[.)]\s|[-*•]\s|>)\s*")  # list items and quoted lines
 _TERM = regex.compile(r"[一-鿿]+|[\p{L}--[一-鿿]]+", regex.V1)
+_PLAIN = re.compile("[a-z]{2,}")
 # A stop after a single letter (p. 3, e.g.) ends no sentence; else one ends where the next begins as sentences do.
 _STOP = r"(?<!\b\p{L})[.!?…]+[\"'”’»)\]]*\s+"
 _BEGIN = r"(?=[\"'“‘«(\[¿¡]*[\p{Lu}\p{Lo}\p{N}])"
@@ -48,26 +50,40 @@ _CASED = regex.compile(_STOP + _BEGIN + _SURE + r"|\)\s+(?=\p{Lu}\p{Ll})")
 _ANY = regex.compile(_STOP + _SURE)
 
 
-def sentences(text: str, least: int = 3) -> list[str]:
-    """The sentences of a text, folded to lower case without accents and markup. A part of fewer than `least` terms belongs
-    to the sentence before it. Where most stops aren't followed by a capital, a text isn't written with them."""
-    clean = _ITEM.sub("", _TAG.sub(" ", _MARKS.sub("", html.unescape(text))))
-    end = _CASED if 2 * len(_CASED.findall(clean)) >= len(_ANY.findall(clean)) else _ANY
-    out: list[str] = []
-    for part in end.split(clean):
-        folded = _MARKS.sub("", unicodedata.normalize("NFKD", part)).lower()
-        n = len(terms(folded))
-        if 0 < n < least and out:
-            out[-1] += " " + folded
-        elif n:
-            out.append(folded)
+def parsed(text: str, least: int = 3) -> list[tuple[str, list[str]]]:
+    """The sentences of a text, folded to lower case without accents and markup, each with its terms. A part of fewer than
+    `least` terms belongs to the sentence before it. Where most stops aren't followed by a capital, a text isn't written
+    with them."""
+    clean = html.unescape(text) if "&" in text else text
+    clean = clean if clean.isascii() else _MARKS.sub("", clean)
+    clean = _ITEM.sub("", _TAG.sub(" ", clean) if "<" in clean else clean)
+    ends = [m.span() for m in _CASED.finditer(clean)]
+    if 2 * len(ends) < len(_ANY.findall(clean)):
+        ends = [m.span() for m in _ANY.finditer(clean)]
+    out: list[tuple[str, list[str]]] = []
+    at = 0
+    for end, begin in [*ends, (len(clean), len(clean))]:
+        part = clean[at:end]
+        at = begin
+        folded = part.lower() if part.isascii() else _MARKS.sub("", unicodedata.normalize("NFKD", part)).lower()
+        words = terms(folded)
+        if 0 < len(words) < least and out:
+            out[-1] = (f"{out[-1][0]} {folded}", out[-1][1] + words)
+        elif words:
+            out.append((folded, words))
     return out
 
 
-def terms(sentence: str) -> list[str]:
+def sentences(text: str) -> list[str]:
+    return [s for s, _ in parsed(text)]
+
+
+def terms(folded: str) -> list[str]:
     """Words without a final s, and pairs of neighbouring CJK characters."""
+    if folded.isascii():
+        return [w[:-1] if len(w) > 3 and w[-1] == "s" else w for w in _PLAIN.findall(folded)]
     out = []
-    for w in _TERM.findall(sentence):
+    for w in _TERM.findall(folded):
         if "一" <= w[0] <= "鿿":
             out += [w[i : i + 2] for i in range(len(w) - 1)]
         elif len(w) > 1:
@@ -89,8 +105,8 @@ def sentence_terms(texts: DataFrame, key: str, text: str) -> DataFrame:
             values, ends, offsets, end_offsets = [], [], [0], [0]
             for t in b.column("text").to_pylist():
                 n = 0
-                for s in sentences(t) if t else ():
-                    for w in terms(s):
+                for _, words in parsed(t) if t else ():
+                    for w in words:
                         k = memo.get(w)
                         if k is None:
                             if len(memo) > 500_000:
@@ -201,7 +217,7 @@ class Subjects:
         taken = [(r.subject, r.lang, r.text) for r in labelled.orderBy(F.xxhash64("subject", "text"), "lang").limit(self.most_examples).collect()]
         subjects, langs = sorted({x[0] for x in taken}), sorted({x[1] for x in taken})
         n, free = len(subjects), self.free
-        used_in = [(langs.index(lang), subjects.index(s), sorted({term_id(w) for w in terms(sentence)})) for s, lang, t in taken for sentence in sentences(t)]
+        used_in = [(langs.index(lang), subjects.index(s), sorted({term_id(w) for w in words})) for s, lang, t in taken for _, words in parsed(t)]
         labelled_terms = np.array(sorted({k for *_, ids in used_in for k in ids}), dtype=np.int64)
         if not len(labelled_terms):
             return Model([], labelled_terms, np.zeros((0, 0)), np.zeros((0, 0, 0)))
