@@ -15,6 +15,9 @@ every input row gives one row, repeated ones too; a null id stays null; an empty
 
 from __future__ import annotations
 
+from itertools import islice
+
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -24,6 +27,14 @@ from ..runtime import checkpointed, spread, widened
 from .bpe import merges
 
 
+class Numbers(dict):
+    """Numbers pieces in the order in which they are first asked for."""
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = n = len(self)
+        return n
+
+
 def numbered_pieces(docs: DataFrame, key: str, text: str, path: str, block_chars: int) -> DataFrame:
     """(block, nr, piece, id, nrs): for each block of texts a row (nr, piece) per distinct piece and a row (id, nrs)
     per text, nrs being the numbers of its pieces in order."""
@@ -32,33 +43,29 @@ def numbered_pieces(docs: DataFrame, key: str, text: str, path: str, block_chars
 
     def run(batches):
         split, block, chars = merges(path).pieces, TaskContext.get().partitionId() << 32, 0
-        known: dict[str, int] = {}
+        known = Numbers()
 
-        def out(fresh, ids, lists):
+        def out(before, ids, lists):
+            fresh = list(islice(known, before, None))
             n, m = len(fresh), len(lists)
             return pa.RecordBatch.from_arrays(
-                [pa.array([block] * (n + m), pa.int64()), pa.array([*fresh.values(), *[None] * m], pa.int32()), pa.array([*fresh, *[None] * m], pa.string()),
-                 pa.concat_arrays([pa.nulls(n, ids.type), ids]), pa.array([*[None] * n, *lists], pa.list_(pa.int32()))],
+                [pa.array(np.full(n + m, block, np.int64)), pa.array(np.r_[np.arange(before, before + n), np.zeros(m, np.int64)].astype(np.int32), mask=np.r_[np.zeros(n, bool), np.ones(m, bool)]), pa.array(fresh + [None] * m, pa.string()),
+                 pa.concat_arrays([pa.nulls(n, ids.type), ids]), pa.array([None] * n + lists, pa.list_(pa.int32()))],
                 ["block", "nr", "piece", "id", "nrs"],
             )
 
         for b in batches:
             ids = b.column("id")
-            fresh, lists, done = {}, [], 0
+            lists, done, before = [], 0, len(known)
             for i, t in enumerate(b.column("text").to_pylist()):
-                nrs = []
-                for p in split(t) if t else ():
-                    k = known.get(p)
-                    if k is None:
-                        k = known[p] = fresh[p] = len(known)
-                    nrs.append(k)
-                lists.append(nrs)
+                lists.append(list(map(known.__getitem__, split(t))) if t else [])
                 chars += len(t or "")
                 if chars >= block_chars or i + 1 == len(ids):
-                    yield out(fresh, ids.slice(done, len(lists)), lists)
-                    done, fresh, lists = i + 1, {}, []
+                    yield out(before, ids.slice(done, len(lists)), lists)
+                    done, lists = i + 1, []
                     if chars >= block_chars:
-                        block, chars, known = block + 1, 0, {}
+                        block, chars, known = block + 1, 0, Numbers()
+                    before = len(known)
 
     return rows.mapInArrow(run, f"block long, nr int, piece string, id {kind}, nrs array<int>")
 
@@ -86,24 +93,53 @@ def vocabulary_ids(pieces: DataFrame, path: str, chunk_chars: int = 4_000_000) -
     return pieces.mapInArrow(run, "piece string, ids array<int>")
 
 
+class Dictionary:
+    """The ids of a block's pieces, by their numbers 0, 1, ..., which come in order."""
+
+    def __init__(self):
+        self.lengths, self.values, self.starts = [np.empty(0, np.int64)], [np.empty(0, np.int32)], None
+
+    def add(self, own: pa.Array) -> None:
+        offsets = own.offsets.to_numpy()
+        self.lengths.append(np.diff(offsets).astype(np.int64))
+        self.values.append(own.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]])
+        self.starts = None
+
+    def read(self, nrs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Of lists of numbers: the ids of all of them, one after another, and how many each list has."""
+        if self.starts is None:
+            self.lengths, self.values = [np.concatenate(self.lengths)], [np.concatenate(self.values)]
+            self.starts = np.cumsum(self.lengths[0]) - self.lengths[0]
+        offsets = nrs.offsets.to_numpy()
+        pieces = nrs.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
+        n = self.lengths[0][pieces]
+        ends = np.cumsum(n)
+        at = np.arange(ends[-1] if len(n) else 0) + np.repeat(self.starts[pieces] - (ends - n), n)
+        upto = np.r_[0, ends][offsets - offsets[0]]
+        return self.values[0][at], np.diff(upto)
+
+
 def _assemble(batches):
-    block, known = None, {}
+    block, known = None, Dictionary()
     for b in batches:
-        ids, lists = [], []
-        keep = []
-        for i, (at, nr, own, nrs) in enumerate(zip(*[b.column(c).to_pylist() for c in ("block", "nr", "own", "nrs")])):
-            if at != block:
-                block, known = at, {}
-            if nr is not None:
-                known[nr] = own
+        if not b.num_rows:
+            continue
+        at, is_text = b.column("block").to_numpy(), b.column("nr").is_null().to_numpy(zero_copy_only=False)
+        cuts = np.flatnonzero((at[1:] != at[:-1]) | (is_text[1:] != is_text[:-1])) + 1
+        ids, values, counts = [], [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+        for start, end in zip([0, *cuts], [*cuts, len(at)]):
+            if at[start] != block:
+                block, known = at[start], Dictionary()
+            if is_text[start]:
+                got, n = known.read(b.column("nrs").slice(start, end - start))
+                ids.append(b.column("id").slice(start, end - start))
+                values.append(got)
+                counts.append(n)
             else:
-                keep.append(i)
-                flat: list[int] = []
-                for n in nrs:
-                    flat += known[n]
-                lists.append(flat)
-        ids = b.column("id").take(pa.array(keep, pa.int64()))
-        yield pa.RecordBatch.from_arrays([ids, pa.array(lists, pa.list_(pa.int32()))], ["id", "ids"])
+                known.add(b.column("own").slice(start, end - start))
+        offsets = np.r_[0, np.cumsum(np.concatenate(counts))].astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values)))
+        yield pa.RecordBatch.from_arrays([pa.concat_arrays(ids) if ids else b.column("id").slice(0, 0), lists], ["id", "ids"])
 
 
 def encode_corpus(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", block_chars: int = 2_000_000) -> DataFrame:
