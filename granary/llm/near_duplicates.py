@@ -35,7 +35,7 @@ from ..operators.deliveries import first_delivery
 from ..runtime import checkpointed, pairs_within_key
 from .components import connected_components
 from .meetings import met_pairs
-from .signatures import Layout, columns, differing, flat, gram_hashes, layout_for, min_hashes, multi_index_keys, packed, similarity
+from .signatures import Layout, columns, differing, flat, gram_hashes, layout_for, min_hashes, multi_index_keys, packed, similarity, unpacked
 
 
 @dataclass(frozen=True)
@@ -68,26 +68,36 @@ class NearDuplicates:
         return members, numbered.where(F.size("grams") > 0).select("rid", "grams")
 
     def signed(self, classes: DataFrame) -> DataFrame:
-        """(rid, n, s0, s1, ..., keys): of each class the size of its set, its signature, and its lookup keys."""
-        layout = self.layout
-        names = columns(layout)
+        """(rid, n, s0, s1, ...): of each class the size of its set and its signature."""
+        layout, names = self.layout, columns(self.layout)
 
         def run(batches):
             for b in batches:
                 if b.num_rows:
                     symbols = min_hashes(*flat(b.column("grams")), layout.symbols) & np.uint64(2**layout.bits - 1)
-                    keys = multi_index_keys(symbols, layout)
-                    listed = pa.ListArray.from_arrays(pa.array(range(0, keys.size + 1, keys.shape[1]), pa.int32()), pa.array(keys.ravel()))
-                    yield pa.RecordBatch.from_arrays([b.column("rid"), b.column("n"), *map(pa.array, packed(symbols, layout.bits)), listed], ["rid", "n", *names, "keys"])
+                    yield pa.RecordBatch.from_arrays([b.column("rid"), b.column("n"), *map(pa.array, packed(symbols, layout.bits))], ["rid", "n", *names])
 
-        return classes.select("rid", F.size("grams").alias("n"), "grams").mapInArrow(run, ", ".join(["rid long, n int", *[f"{w} long" for w in names], "keys array<long>"]))
+        return classes.select("rid", F.size("grams").alias("n"), "grams").mapInArrow(run, ", ".join(["rid long, n int", *[f"{w} long" for w in names]]))
+
+    def keys(self, signed: DataFrame) -> DataFrame:
+        """(key, rid): the lookup keys of each signature."""
+        layout, names = self.layout, columns(self.layout)
+
+        def run(batches):
+            for b in batches:
+                if b.num_rows:
+                    keys = multi_index_keys(unpacked([b.column(w).to_numpy() for w in names], layout), layout)
+                    for i in range(0, len(keys), 1000):  # some rows at a time, as each has many keys
+                        part = keys[i : i + 1000]
+                        yield pa.RecordBatch.from_arrays([pa.array(part.ravel()), pa.array(np.repeat(b.column("rid").to_numpy()[i : i + 1000], part.shape[1]))], ["key", "rid"])
+
+        return signed.select("rid", *names).mapInArrow(run, "key long, rid long")
 
     def links(self, classes: DataFrame) -> DataFrame:
         """(a, b, likeness) of each two classes, a < b, that are at least threshold alike."""
         t, layout = F.lit(self.threshold), self.layout
         signed = checkpointed(self.signed(classes))
-        names = [c for c in signed.columns if c not in ("rid", "n", "keys")]
-        keys = signed.select(F.explode("keys").alias("key"), "rid")
+        names, keys = columns(layout), self.keys(signed)
 
         def near(pairs: DataFrame) -> DataFrame:
             """Those within the layout's distance or without a second part."""

@@ -116,6 +116,12 @@ def packed(symbols: np.ndarray, bits: int) -> list[np.ndarray]:
     return out
 
 
+def unpacked(words: list[np.ndarray], layout: Layout) -> np.ndarray:
+    """The symbols of packed signatures: shape (rows, symbols)."""
+    per, mask = 63 // layout.bits, np.uint64(2**layout.bits - 1)
+    return np.stack([words[i // per].view(np.uint64) >> np.uint64(layout.bits * (i % per)) & mask for i in range(layout.symbols)], axis=1)
+
+
 def columns(layout: Layout) -> list[str]:
     """Names for the columns of a packed signature."""
     return [f"s{i}" for i in range(-(-layout.symbols // (63 // layout.bits)))]

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from granary.llm.components import connected_components
 from granary.llm.meetings import meeting
 from granary.llm.near_duplicates import NearDuplicates
-from granary.llm.signatures import Layout, layout_for, multi_index_keys, packed
+from granary.llm.signatures import Layout, layout_for, multi_index_keys, packed, unpacked
 from granary.runtime import pairs_across, pairs_within_key
 
 SCHEMA = "doc_id string, doc_text array<string>, loaded_at int, rid string, grams string"  # clashing names must not matter
@@ -125,6 +125,7 @@ def test_packed_signatures_count_their_differences(spark, bits):
     a, b = rng.integers(0, 2**bits, (50, 23), dtype=np.uint64), rng.integers(0, 2**bits, (50, 23), dtype=np.uint64)
     b[:, ::2] = a[:, ::2]
     words = len(packed(a, bits))
+    assert (unpacked(packed(a, bits), Layout(23, 1, 0, bits)) == a).all()
     rows = [tuple(int(w[i]) for w in (*packed(a, bits), *packed(b, bits))) for i in range(50)]
     df = spark.createDataFrame(rows, ", ".join(f"{s}{i} long" for s in "ab" for i in range(words)))
     got = [r[0] for r in df.select(differing([(F.col(f"a{i}"), F.col(f"b{i}")) for i in range(words)], bits)).collect()]
