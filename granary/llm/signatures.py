@@ -66,12 +66,12 @@ def _multipliers(n: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, 2**63, size=n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def min_hashes(values: np.ndarray, starts: np.ndarray, n: int, seed: int = 42) -> np.ndarray:
-    """For each run of values beginning at starts (none empty), its n symbols of 32 bits: shape (runs, n)."""
+def min_hashes(values: np.ndarray, starts: np.ndarray, n: int, seed: int = 42, first: int = 0) -> np.ndarray:
+    """For each run of values beginning at starts (none empty), its n symbols of 32 bits from the first on: shape (runs, n)."""
     out = np.empty((len(starts), n), dtype=np.uint64)
     mix = values.astype(np.uint64, copy=True)
     mix ^= mix >> np.uint64(31)
-    for i, a in enumerate(_multipliers(n, seed)):
+    for i, a in enumerate(_multipliers(first + n, seed)[first:]):
         h = mix * a
         h ^= h >> np.uint64(29)
         out[:, i] = np.minimum.reduceat(h * np.uint64(0x9E3779B97F4A7C15), starts)
@@ -94,14 +94,12 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return column.values.to_numpy(zero_copy_only=False).view(np.uint64)[offsets[0] : offsets[-1]], offsets[:-1] - offsets[0]
 
 
-def multi_index_keys(symbols: np.ndarray, layout: Layout) -> np.ndarray:
-    """The lookup keys of each signature: of each chunk, one for every way to ignore `errors` of its symbols. Two signatures
-    that differ in at most layout.distance symbols share a key. symbols: those that are compared, of layout.bits bits."""
-    keys = []
-    for c in range(layout.chunks):
-        for j, kept in enumerate(combinations(range(c * layout.width, (c + 1) * layout.width), layout.width - layout.errors)):
-            keys.append(fold([symbols[:, i] for i in kept], c * 1000 + j))
-    return np.stack(keys, axis=1)
+def multi_index_keys(symbols: np.ndarray, layout: Layout, which: slice = slice(None)) -> np.ndarray:
+    """The lookup keys of each signature (or some of them): of each chunk, one for every way to ignore `errors` of its symbols.
+    Two signatures that differ in at most layout.distance symbols share a key. symbols: those that are compared, of
+    layout.bits bits."""
+    ways = [(c * 1000 + j, kept) for c in range(layout.chunks) for j, kept in enumerate(combinations(range(c * layout.width, (c + 1) * layout.width), layout.width - layout.errors))]
+    return np.stack([fold([symbols[:, i] for i in kept], tag) for tag, kept in ways[which]], axis=1)
 
 
 def packed(symbols: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -127,10 +125,25 @@ def columns(layout: Layout) -> list[str]:
     return [f"s{i}" for i in range(-(-layout.symbols // (63 // layout.bits)))]
 
 
+def _masks(bits: int) -> tuple[int, int]:
+    """Of a packed word: each symbol's highest bit, and its other bits."""
+    ones = sum(1 << (bits * i) for i in range(63 // bits))
+    return ones << (bits - 1), ones * (2 ** (bits - 1) - 1)
+
+
+def differences(pairs: list[tuple[np.ndarray, np.ndarray]], bits: int) -> np.ndarray:
+    """differing, of arrays."""
+    top, rest = _masks(bits)
+    total = np.zeros(len(pairs[0][0]), np.int64)
+    for a, b in pairs:
+        x = a ^ b
+        total += np.bitwise_count((((x & rest) + rest) | x) & top)
+    return total
+
+
 def differing(pairs: list[tuple[Column, Column]], bits: int) -> Column:
     """In how many symbols two packed signatures differ."""
-    top = sum(1 << (bits * i + bits - 1) for i in range(63 // bits))
-    rest = sum(1 << (bits * i) for i in range(63 // bits)) * (2 ** (bits - 1) - 1)
+    top, rest = _masks(bits)
     total = F.lit(0)
     for a, b in pairs:
         x = a.bitwiseXOR(b)
