@@ -8,7 +8,9 @@ Two operators over canonical texts (lower case, runs of other characters than le
 * NearOverlaps, for texts that aren't equal, which a hash of the record can't find: a canonical text has `bands` hashes of
   `rows` min-wise symbols of its character n-grams each; the evaluation hashes are joined with the training hashes, and what
   meets is checked exactly. Texts of likeness s share a hash with probability 1 - (1 - s ** rows) ** bands: 0.99985 at 0.75,
-  more above. (The index of near_duplicates was tried in its place: over questions, which are alike throughout, its shorter
+  more above. A row carries which of 128 bins hold an odd number of its n-grams; the bins in which two texts differ are at most
+  the n-grams that only one of them has, so pairs beyond the likeness are refused where they meet, and none within it is. The
+  hashes are joined round_bands at a time, or as many as make round_rows rows. (The index of near_duplicates was tried in its place: over questions, which are alike throughout, its shorter
   keys made 20 to 70 times as many pairs.)
 
 SplitOverlaps puts both together with the ids that have judgments under both.
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import canonical, label, strip
 from ..operators.deliveries import first_delivery
-from ..runtime import checkpointed, pairs_across, widened
+from ..runtime import Stored, checkpointed, pairs_across, slots, stored
 from .meetings import met_pairs
 from .signatures import flat, fold, gram_hashes, min_hashes, similarity
 
@@ -80,6 +82,14 @@ def across(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ((a & 1) & (b >> 1 & 1) | (a >> 1 & 1) & (b & 1)).astype(bool)
 
 
+def parities(values: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+    """For each run of values beginning at starts (none empty): which of 128 bins have an odd number of them, as two words."""
+    mixed = values * np.uint64(0x9E3779B97F4A7C15)
+    bit = np.uint64(1) << (mixed >> np.uint64(57) & np.uint64(63))
+    low = (mixed >> np.uint64(63)).astype(bool)
+    return [np.bitwise_xor.reduceat(np.where(own, bit, np.uint64(0)), starts).view(np.int64) for own in (low, ~low)]
+
+
 @dataclass(frozen=True)
 class NearOverlaps:
     threshold: float = 0.75
@@ -88,43 +98,63 @@ class NearOverlaps:
     bands: int = 45
     block_rows: int = 512
     splits: Splits = field(default_factory=Splits)
+    round_bands: int = 12
+    round_rows: int = 1 << 18
 
-    def classes(self, records: DataFrame) -> DataFrame:
-        """(h, rid, grams) of each distinct canonical text with an n-gram; rid is coded as in across. Checkpointed."""
+    def classes(self, records: DataFrame) -> Stored:
+        """(h, rid, grams) of each distinct canonical text with an n-gram; rid is coded as in across."""
         is_train = F.col("split") == self.splits.train
         known = records.where(F.col("h").isNotNull() & (F.char_length("text") >= self.n))
         each = known.groupBy("h").agg(F.max(is_train).alias("t"), F.max(~is_train).alias("e"), F.first("text").alias("text"))
         coded = F.monotonically_increasing_id() * 4 + F.col("t").cast("long") + 2 * F.col("e").cast("long")
-        return checkpointed(each.select("h", coded.alias("rid"), gram_hashes(F.split("text", ""), self.n).alias("grams")))
+        even = each.repartition(slots(records.sparkSession), "h")  # bytes say little about the cost of the hashes
+        return stored(even.select("h", coded.alias("rid"), gram_hashes(F.split("text", ""), self.n).alias("grams")))
 
-    def links(self, classes: DataFrame) -> DataFrame:
-        """(a, b): two classes, one of each side, that are at least threshold alike."""
-        rows, bands = self.rows, self.bands
+    def keys(self, classes: DataFrame, first: int, bands: int) -> DataFrame:
+        """(key, rid, n, k0, k1): hashes of bands from the first on, the number of n-grams and the parities of their bins."""
+        rows = self.rows
 
         def run(batches):
             for b in batches:
                 if b.num_rows:
-                    symbols = min_hashes(*flat(b.column("grams")), rows * bands)
-                    keys = np.stack([fold([symbols[:, j] for j in range(i * rows, (i + 1) * rows)], i) for i in range(bands)], axis=1)
-                    listed = pa.ListArray.from_arrays(pa.array(range(0, keys.size + 1, bands), pa.int32()), pa.array(keys.ravel()))
-                    yield pa.RecordBatch.from_arrays([b.column("rid"), listed], ["rid", "keys"])
+                    values, starts = flat(b.column("grams"))
+                    symbols = min_hashes(values, starts, rows * bands, first=rows * first)
+                    keys = np.stack([fold([symbols[:, j] for j in range(i * rows, (i + 1) * rows)], first + i) for i in range(bands)], axis=1)
+                    each = [b.column("rid").to_numpy(), np.diff(np.r_[starts, len(values)]).astype(np.int64), *parities(values, starts)]
+                    yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *[pa.array(np.repeat(c, bands)) for c in each]], ["key", "rid", "n", "k0", "k1"])
+
+        return classes.select("rid", "grams").mapInArrow(run, "key long, rid long, n long, k0 long, k1 long")
+
+    def links(self, classes: DataFrame) -> DataFrame:
+        """(a, b): two classes, one of each side, that are at least threshold alike. Checkpointed."""
+        # Of x and y n-grams, alike by t or more, at most (x + y) (1 - t) / (1 + t) are not in both.
+        share = (1 - self.threshold) / (1 + self.threshold)
+
+        def wanted(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+            apart = sum(np.bitwise_count((a[i] ^ b[i]).view(np.uint64)).astype(np.int64) for i in (2, 3))
+            return across(a[0], b[0]) & (apart <= (a[1] + b[1]) * share + 1e-6)
 
-        keys = widened(classes.select("rid", "grams")).mapInArrow(run, "rid long, keys array<long>").select(F.explode("keys").alias("key"), "rid")
-        met = met_pairs(keys, self.block_rows, lambda pairs: pairs, across)
         code = lambda c, bit: F.col(c).bitwiseAND(F.lit(bit)) > 0
-        met = met.where(code("a", 1) & code("b", 2) | code("a", 2) & code("b", 1))
+        apart = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in ("k0", "k1")), F.lit(0))
+        sides = code("rid_a", 1) & code("rid_b", 2) | code("rid_a", 2) & code("rid_b", 1)
+        step = max(self.round_bands, self.round_rows // max(1, classes.count()))
+        rounds = (self.keys(classes, i, min(step, self.bands - i)) for i in range(0, self.bands, step))
+        met = met_pairs(rounds, self.block_rows, ["n", "k0", "k1"], wanted, sides & (apart <= (F.col("n_a") + F.col("n_b")) * share + 1e-6))
         side = lambda s: classes.select(F.col("rid").alias(s), F.col("grams").alias(f"grams_{s}"))
         alike = similarity(F.col("grams_a"), F.col("grams_b")) >= self.threshold
-        return met.join(side("a"), "a").join(side("b"), "b").where(alike).select("a", "b")
+        links = checkpointed(met.rows.join(side("a"), "a").join(side("b"), "b").where(alike).select("a", "b"))
+        met.drop()
+        return links
 
     def _by_side(self, records: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         """links as (e, t) by classes, an evaluating one and a training one; and the classes' records of both sides."""
         classes = self.classes(records)
-        both = self.links(classes)
+        both = self.links(classes.rows)
         turned = both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).toDF("e", "t")
         linked = turned.where(F.col("e").bitwiseAND(F.lit(2)) > 0).where(F.col("t").bitwiseAND(F.lit(1)) > 0)
         evaluated, trained = self.splits.sides(records)
-        own = classes.select("h", "rid")
+        own = checkpointed(classes.rows.select("h", "rid"))
+        classes.drop()
         return linked, evaluated.join(own, "h"), trained.join(own, "h")
 
     def pairs(self, records: DataFrame) -> DataFrame:

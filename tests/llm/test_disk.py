@@ -5,7 +5,10 @@ import random
 import threading
 import time
 
+import numpy as np
+
 from granary.llm.near_duplicates import NearDuplicates
+from granary.llm.split_overlaps import NearOverlaps, SplitOverlaps, parities
 from granary.runtime import shared_folder
 
 
@@ -50,3 +53,22 @@ def test_near_duplicates_store_a_part_of_their_keys_at_a_time(spark):
     how = NearDuplicates(n=3, threshold=0.6, round_rows=1)
     rows_a_key = 8 + 8  # and 160 keys a text
     assert peak(spark, lambda: how.pairs(df).collect()) < 0.6 * 160 * 2000 * rows_a_key
+
+
+def test_near_overlaps_store_a_part_of_their_hashes_at_a_time(spark):
+    rng = random.Random(5)
+    rows = [(f"q{i}", "".join(rng.choices("abcdefgh ", k=30)), rng.choice(["train", "dev"]), "s", 1) for i in range(8000)]
+    df = spark.createDataFrame(rows, "query_id string, query_text string, split string, source string, loaded_at int")
+    rows_a_hash = 8 + 8  # and 45 hashes a text
+    assert peak(spark, lambda: SplitOverlaps(NearOverlaps(round_rows=1)).pairs(df).collect()) < 45 * 8000 * rows_a_hash
+
+
+def test_parities_differ_at_most_as_often_as_the_sets():
+    rng = np.random.default_rng(6)
+    sets = [set(rng.integers(0, 400, n).tolist()) for n in (1, 5, 40, 40, 120, 300)]
+    values = np.array([x for s in sets for x in sorted(s)], dtype=np.uint64)
+    words = parities(values, np.cumsum([0, *map(len, sets)])[:-1])
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            apart = sum((int(w[i] ^ w[j]) & (2**64 - 1)).bit_count() for w in words)
+            assert apart <= len(a ^ b) and (apart - len(a ^ b)) % 2 == 0
