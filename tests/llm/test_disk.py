@@ -8,6 +8,7 @@ import time
 import numpy as np
 
 from granary.llm.near_duplicates import NearDuplicates
+from granary.llm.neighbours import Neighbours
 from granary.llm.split_overlaps import NearOverlaps, SplitOverlaps, parities
 from granary.runtime import shared_folder
 
@@ -72,3 +73,11 @@ def test_parities_differ_at_most_as_often_as_the_sets():
         for j, b in enumerate(sets):
             apart = sum((int(w[i] ^ w[j]) & (2**64 - 1)).bit_count() for w in words)
             assert apart <= len(a ^ b) and (apart - len(a ^ b)) % 2 == 0
+
+
+def test_a_vector_is_not_stored_once_for_each_leaf_it_visits(spark):
+    rng = np.random.default_rng(7)
+    rows = [(f"v{i}", v) for i, v in enumerate(rng.normal(size=(3000, 64)).astype(np.float32).tolist())]
+    df = spark.createDataFrame(rows, "id string, v array<float>")
+    how = Neighbours(dim=64, recall=1.0, leaf_rows=100, round_rows=1)  # visits nearly all of some 30 leaves
+    assert peak(spark, lambda: how.search(df, "id", "v").collect()) < 12 * 3000 * 64 * 4
